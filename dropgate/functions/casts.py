@@ -1,67 +1,82 @@
-"""Column conversions of the declared types.  All return null on bad input and never raise."""
+"""Conversions to the declared types, as SQL text over a SQL expression.
+
+All yield null on bad input and never raise.  Text keeps a rule set of a hundred conditions cheap to
+build: it reaches Spark as a handful of expressions, not as thousands of Column calls.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
 from ..model import Field, precision_scale
 
-# A decimal-looking number whose fraction may be dropped: optional sign, digits, optional point and digits.
-_FRACTIONAL = r"^[\x00-\x20]*[+-]?(?=[0-9.])[0-9]*[.][0-9]*[\x00-\x20]*$"
-_WHOLE_PART = r"^[\x00-\x20]*([+-]?[0-9]*)"
-_ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_ISO_SECONDS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+def literal(value: str | None) -> str:
+    """A SQL string literal."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(column: str) -> str:
+    """A quoted column name."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+# A decimal-looking number whose fraction may be dropped: optional sign, digits, point, digits.
+_FRACTIONAL = literal(r"^[\x00-\x20]*[+-]?(?=[0-9.])[0-9]*[.][0-9]*[\x00-\x20]*$")
+_WHOLE_PART = literal(r"^[\x00-\x20]*([+-]?[0-9]*)")
+_ISO_DATE = literal(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+_ISO_SECONDS = literal(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$")
 
 
-def lenient_integer(c: Column, target: str = "int", strict: bool = False) -> Column:
+def lenient_integer(c: str, target: str = "int", strict: bool = False) -> str:
     """Text to integer, dropping a fraction: '12.9' is 12, '.5' is 0, '1e2' and overflow are null.
 
     Plain integers take the first branch; the patterns only run on values it rejects.
     """
     if strict:
-        return c.try_cast(target)
-    whole = F.regexp_extract(c, _WHOLE_PART, 1)
-    truncated = F.when(
-        c.contains(".") & c.rlike(_FRACTIONAL),
-        F.when(whole.isin("", "+", "-"), F.lit(0).cast(target)).otherwise(whole.try_cast(target)),
+        return f"try_cast({c} AS {target})"
+    whole = f"regexp_extract({c}, {_WHOLE_PART}, 1)"
+    return (
+        f"coalesce(try_cast({c} AS {target}), CASE WHEN contains({c}, '.') AND {c} RLIKE {_FRACTIONAL} THEN "
+        f"CASE WHEN {whole} IN ('', '+', '-') THEN CAST(0 AS {target}) ELSE try_cast({whole} AS {target}) END END)"
     )
-    return F.coalesce(c.try_cast(target), truncated)
 
 
-def decimal(c: Column, precision: int, scale: int, symbol: str | None = None) -> Column:
+def decimal(c: str, precision: int, scale: int, symbol: str | None = None) -> str:
     """Text to decimal: extra scale is rounded half up, overflow is null.
 
     ``symbol`` replaces another decimal mark by a point first.
     """
     if symbol and symbol != ".":
-        c = F.replace(c, F.lit(symbol), F.lit("."))
-    return c.try_cast(T.DecimalType(precision, scale))
+        c = f"replace({c}, {literal(symbol)}, '.')"
+    return f"try_cast({c} AS DECIMAL({precision},{scale}))"
 
 
-def date(c: Column, pattern: str | None) -> Column:
+def date(c: str, pattern: str | None) -> str:
     """Text to date by a pattern; without a pattern nothing parses.
 
     The default pattern first tries the plain cast on values of exactly that shape, which is
     several times cheaper than the formatter and agrees with it there.
     """
     if pattern is None:
-        return F.lit(None).cast("date")
-    parsed = F.try_to_date(c, pattern)
+        return "CAST(NULL AS DATE)"
+    parsed = f"try_to_date({c}, {literal(pattern)})"
     if pattern == "yyyy-MM-dd":
-        return F.coalesce(F.when(c.rlike(_ISO_DATE), c.try_cast("date")), parsed)
+        return f"coalesce(CASE WHEN {c} RLIKE {_ISO_DATE} THEN try_cast({c} AS DATE) END, {parsed})"
     return parsed
 
 
-def timestamp(c: Column, pattern: str | None) -> Column:
+def timestamp(c: str, pattern: str | None) -> str:
     """Text to timestamp by a pattern; ``epoch_millis`` reads milliseconds since 1970."""
     if pattern is None:
-        return F.lit(None).cast("timestamp")
+        return "CAST(NULL AS TIMESTAMP)"
     if pattern == "epoch_millis":
-        return F.timestamp_millis(c.try_cast("bigint"))
-    parsed = F.try_to_timestamp(c, F.lit(pattern))
+        return f"timestamp_millis(try_cast({c} AS BIGINT))"
+    parsed = f"try_to_timestamp({c}, {literal(pattern)})"
     if pattern == "yyyy-MM-dd HH:mm:ss":
-        return F.coalesce(F.when(c.rlike(_ISO_SECONDS), c.try_cast("timestamp")), parsed)
+        return f"coalesce(CASE WHEN {c} RLIKE {_ISO_SECONDS} THEN try_cast({c} AS TIMESTAMP) END, {parsed})"
     return parsed
 
 
@@ -80,14 +95,14 @@ def is_text_class(data_type: str) -> bool:
 
 def declared_value(
     f: Field,
-    c: Column,
+    c: str,
     date_format: str | None,
     timestamp_format: str | None,
     source_type: T.DataType = T.StringType(),
     strict: bool = False,
     use_decimal_symbol: bool = False,
-) -> Column:
-    """The column converted to its declared type.
+) -> str:
+    """The value converted to its declared type.
 
     Text goes through the parsers above.  Files that carry their own types (Parquet, ORC, JSON)
     are converted type to type; a pair Spark cannot cast yields null, that is, an invalid type.
@@ -101,13 +116,13 @@ def declared_value(
         if kind == "decimal":
             return decimal(c, *precision_scale(f.length), f.decimal_symbol if use_decimal_symbol else None)
         return date(c, date_format) if kind == "date" else timestamp(c, timestamp_format)
-    target = T.DecimalType(*precision_scale(f.length)) if kind == "decimal" else kind
+    target = "DECIMAL({},{})".format(*precision_scale(f.length)) if kind == "decimal" else kind
     numeric = isinstance(source_type, T.NumericType)
     moment = isinstance(source_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
     if kind in ("int", "bigint") and numeric:
         return c  # a number of any width is a valid integer
     if (kind in ("date", "timestamp") and moment) or (kind == "decimal" and numeric):
-        return c.try_cast(target)
+        return f"try_cast({c} AS {target})"
     if isinstance(source_type, T.BooleanType) and kind in ("int", "bigint", "decimal"):
-        return c.cast("int").try_cast(target)
-    return F.lit(None).cast(target)
+        return f"try_cast(CAST({c} AS INT) AS {target})"
+    return f"CAST(NULL AS {target})"

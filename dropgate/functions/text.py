@@ -1,4 +1,4 @@
-"""Text predicates of the contract checks."""
+"""Text predicates of the contract checks (SQL text) and path helpers."""
 
 from __future__ import annotations
 
@@ -6,23 +6,25 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from .casts import literal
 
-def unescaped_quote(c: Column, quote: str | None, escape: str | None) -> Column:
+
+def unescaped_quote(c: str, quote: str | None, escape: str | None) -> str:
     """True where the quote character occurs without the escape character right before it.
 
     The plain search runs first, so the pattern is only tried on values that hold a quote.
     """
     if not quote:
-        return F.lit(False)
+        return "false"
     pattern = re.escape(quote)
     if escape:
         pattern = f"(?<!{re.escape(escape)}){pattern}"
-    return c.contains(quote) & c.rlike(pattern)
+    return f"(contains({c}, {literal(quote)}) AND {c} RLIKE {literal(pattern)})"
 
 
-def bad_text(c: Column, delimiter: str, quote: str | None, escape: str | None) -> Column:
+def bad_text(c: str, delimiter: str, quote: str | None, escape: str | None) -> str:
     """True where text holds the field delimiter or an unescaped quote."""
-    return c.contains(delimiter) | unescaped_quote(c, quote, escape)
+    return f"(contains({c}, {literal(delimiter)}) OR {unescaped_quote(c, quote, escape)})"
 
 
 def file_name_of(path: Column) -> Column:

@@ -1,7 +1,7 @@
-"""Rules: a contract and a list of business rules compiled to ordered boolean columns.
+"""Rules: a contract and a list of business rules compiled to ordered boolean SQL conditions.
 
-A rule's place in the list is its priority in the verdict cascade.  Conditions are ordinary Column
-expressions over a *prepared* frame, which holds for every contract column its raw value and its value
+A rule's place in the list is its priority in the verdict cascade.  Conditions are SQL text over a
+*prepared* frame, which holds for every contract column its raw value and its value
 in the declared type, each computed once.
 """
 
@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
-from typing import Callable, Sequence
+from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .. import model
 from ..functions import casts, text
+from ..functions.casts import literal, name
 
 CORRUPT = "__corrupt"
 
@@ -26,8 +27,8 @@ class Rule:
     phase: str
     field: str | None
     message: str
-    # None: not a row condition (decided per file)
-    condition: Callable[[], Column] | None = None
+    # SQL over a prepared frame, true where a row breaks the rule; None: decided per file
+    condition: str | None = None
 
 
 @dataclass(frozen=True)
@@ -42,16 +43,17 @@ class Options:
     use_decimal_symbol: bool = False  # True: the contract's decimal mark is accepted
 
 
-def raw(name: str) -> Column:
-    return F.col(f"`__raw_{name}`")
+def raw(f: model.Field) -> str:
+    return name(f.field_name)
 
 
-def value(name: str) -> Column:
-    return F.col(f"`{name}`")
+def value(f: model.Field) -> str:
+    """The prepared value of a contract column in its declared type."""
+    return name(f"__v_{f.field_name}") if casts.type_class(f.data_type) else raw(f)
 
 
-def as_of_column(options: Options) -> Column:
-    return F.current_date() if options.as_of is None else F.lit(options.as_of)
+def as_of_column(options: Options) -> str:
+    return "current_date()" if options.as_of is None else f"DATE'{options.as_of.isoformat()}'"
 
 
 def prepare(
@@ -61,64 +63,64 @@ def prepare(
     options: Options = Options(),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Raw and converted columns side by side: ``__raw_<name>`` and ``<name>``.
+    """Raw columns under their names, and ``__v_<name>`` for each that has a declared type.
 
-    Business rules name the plain columns, so those carry the declared type.  In ``truncate`` mode
-    numbers compare as integers, as text against an integer literal did in non-ANSI Spark.
+    Raw columns are not renamed: Catalyst derives constraints through aliases, and renaming thirty
+    columns that share one predicate makes it enumerate every mix of old and new names.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = [F.col(f"`{c}`") for c in keep]
-    for f in contract:
-        c = F.col(f"`{f.field_name}`")
-        converted = casts.declared_value(
-            f, c, profile.date_format, profile.timestamp_format, types[f.field_name],
+    converted = [
+        casts.declared_value(
+            f, raw(f), profile.date_format, profile.timestamp_format, types[f.field_name],
             options.strict_int, options.use_decimal_symbol,
         )
-        out += [c.alias(f"__raw_{f.field_name}"), converted.alias(f.field_name)]
-    return df.select(*out)
+        + f" AS {value(f)}"
+        for f in contract
+        if casts.type_class(f.data_type)
+    ]
+    return df.selectExpr(*[name(c) for c in keep], *[raw(f) for f in contract], *converted)
 
 
-def business_frame(df: DataFrame, contract: Sequence[model.Field], options: Options) -> dict[str, Column]:
-    """Columns to swap in before business rules are evaluated in ``truncate`` mode."""
-    if options.compare != "truncate":
-        return {}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return {
-        f.field_name: casts.lenient_integer(raw(f.field_name))
-        for f in contract
-        if casts.type_class(f.data_type) in ("int", "bigint", "decimal")
-        and isinstance(types[f"__raw_{f.field_name}"], T.StringType)
-    }
+def business_values(types: dict[str, T.DataType], contract: Sequence[model.Field], options: Options) -> list[str]:
+    """What business rules see under the contract's names: values in the declared type.
 
+    In ``truncate`` mode numbers in text compare as integers, as text against an integer literal did
+    in non-ANSI Spark.
+    """
+    out = []
+    for f in contract:
+        number = casts.type_class(f.data_type) in ("int", "bigint", "decimal")
+        if options.compare == "truncate" and number and isinstance(types[f.field_name], T.StringType):
+            out.append(f"{casts.lenient_integer(raw(f))} AS {raw(f)}")
+        else:
+            out.append(f"{value(f)} AS {raw(f)}" if casts.type_class(f.data_type) else raw(f))
+    return out
 
-def _type_rule(f: model.Field) -> Rule:
-    return Rule(
-        "35", "typing", f.field_name, model.MSG_TYPE,
-        lambda: raw(f.field_name).isNotNull() & value(f.field_name).isNull(),
-    )
 
+def _text_of(f: model.Field) -> str:
+    return f"CAST({raw(f)} AS STRING)"
 
-def _null_rule(f: model.Field) -> Rule:
-    return Rule("36", "typing", f.field_name, model.MSG_NULL, lambda: raw(f.field_name).isNull())
 
+def type_rule(f: model.Field) -> Rule:
+    return Rule("35", "typing", f.field_name, model.MSG_TYPE, f"{raw(f)} IS NOT NULL AND {value(f)} IS NULL")
 
-def _length_rule(f: model.Field) -> Rule:
-    return Rule(
-        "37", "typing", f.field_name, model.MSG_LENGTH,
-        lambda: F.length(raw(f.field_name).cast("string")) > int(f.length),
-    )
 
+def null_rule(f: model.Field) -> Rule:
+    return Rule("36", "typing", f.field_name, model.MSG_NULL, f"{raw(f)} IS NULL")
+
+
+def length_rule(f: model.Field) -> Rule:
+    return Rule("37", "typing", f.field_name, model.MSG_LENGTH, f"length({_text_of(f)}) > {int(f.length)}")
 
-def _text_rule(f: model.Field, profile: model.Profile) -> Rule:
-    return Rule(
-        "38", "typing", f.field_name, model.MSG_TEXT,
-        lambda: text.bad_text(raw(f.field_name).cast("string"), profile.delimiter, profile.quote_char, profile.escape_char),
-    )
 
+def text_rule(f: model.Field, profile: model.Profile) -> Rule:
+    bad = text.bad_text(_text_of(f), profile.delimiter, profile.quote_char, profile.escape_char)
+    return Rule("38", "typing", f.field_name, model.MSG_TEXT, bad)
 
-def _business_rule(r: model.BusinessRule) -> Rule:
-    # :as_of is a column of the prepared frame, see add_as_of
-    return Rule(r.flag, "functional", r.field, r.message, lambda: F.expr(r.violation.replace(":as_of", "__as_of")))
+
+def business_rule(r: model.BusinessRule) -> Rule:
+    # :as_of is the frame's column __as_of
+    return Rule(r.flag, "functional", r.field, r.message, r.violation.replace(":as_of", "__as_of"))
 
 
 def is_sized_text(f: model.Field) -> bool:
@@ -136,10 +138,10 @@ def structural_rules() -> list[Rule]:
 def typing_rules(contract: Sequence[model.Field], profile: model.Profile) -> list[Rule]:
     """Step by step, and within a step by field position."""
     return (
-        [_type_rule(f) for f in contract if casts.type_class(f.data_type)]
-        + [_null_rule(f) for f in contract if not f.nullable]
-        + [_length_rule(f) for f in contract if is_sized_text(f)]
-        + [_text_rule(f, profile) for f in contract if casts.is_text_class(f.data_type)]
+        [type_rule(f) for f in contract if casts.type_class(f.data_type)]
+        + [null_rule(f) for f in contract if not f.nullable]
+        + [length_rule(f) for f in contract if is_sized_text(f)]
+        + [text_rule(f, profile) for f in contract if casts.is_text_class(f.data_type)]
     )
 
 
@@ -152,7 +154,7 @@ def key_fields(contract: Sequence[model.Field]) -> list[str]:
 
 
 def business_rules(rules: Sequence[model.BusinessRule]) -> list[Rule]:
-    return [_business_rule(r) for r in rules]
+    return [business_rule(r) for r in rules]
 
 
 def cascade(
@@ -163,33 +165,21 @@ def cascade(
     return structural_rules() + typing_rules(contract, profile) + [key_rule(contract)] + business_rules(rules)
 
 
-def first_violation(rules: Sequence[Rule], phases: Sequence[str], offset: int = 0) -> Column:
+def first_violation(rules: Sequence[Rule], phases: Sequence[str]) -> str:
     """Index of the first violated row rule of these phases, null when the row is clean.
 
     One CASE: evaluation stops at the first hit, and a null condition is no violation.
     """
-    out = None
-    for i, r in enumerate(rules):
-        if r.condition is not None and r.phase in phases:
-            out = F.when(r.condition(), F.lit(i + offset)) if out is None else out.when(r.condition(), F.lit(i + offset))
-    return F.lit(None).cast("int") if out is None else out
+    whens = [f"WHEN {r.condition} THEN {i}" for i, r in enumerate(rules) if r.condition and r.phase in phases]
+    return f"CASE {' '.join(whens)} END" if whens else "CAST(NULL AS INT)"
 
 
-def all_violations(rules: Sequence[Rule], phases: Sequence[str] = model.PHASES) -> Column:
+def all_violations(rules: Sequence[Rule], phases: Sequence[str] = model.PHASES) -> str:
     """Indexes of every violated row rule, ascending; empty when the row is clean."""
-    hits = [F.when(r.condition(), F.lit(i)) for i, r in enumerate(rules) if r.condition is not None and r.phase in phases]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<int>")
-
-
-def rule_attributes(rules: Sequence[Rule], index: Column) -> Column:
-    """Struct (flag, phase, field, message) of a rule index, as one constant array lookup."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(r.flag).alias("flag"), F.lit(r.phase).alias("phase"),
-                F.lit(r.field).cast("string").alias("field"), F.lit(r.message).alias("message"),
-            )
-            for r in rules
-        ]
-    )
-    return F.get(table, index)
+    hits = [f"CASE WHEN {r.condition} THEN {i} END" for i, r in enumerate(rules) if r.condition and r.phase in phases]
+    return f"array_compact(array({', '.join(hits)}))" if hits else "CAST(array() AS ARRAY<INT>)"
+
+
+def rule_attribute(rules: Sequence[Rule], attribute: str, index: str) -> str:
+    """An attribute (flag, field, message) of a rule index, as a lookup in a constant array."""
+    return f"get(array({', '.join(literal(getattr(r, attribute)) for r in rules)}), {index})"

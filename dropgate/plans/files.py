@@ -17,6 +17,7 @@ from .. import model
 from ..functions.text import extension_of
 from ..operators import rules as R
 from ..sources import files as src
+from ..sources.tables import local_frame
 from . import verdict as V
 
 JUDGED = T.StructType(
@@ -85,10 +86,10 @@ def lookup_profiles(listing: DataFrame, file_configuration: DataFrame) -> DataFr
     Spark picks it from the measured size of the configuration table.
     """
     names = [c for c in file_configuration.columns if c != "file_name"]
-    first = file_configuration.groupBy("file_name").agg(
-        *[F.min_by(c, "id").alias(f"cfg_{c}") if c != "id" else F.min("id").alias("cfg_id") for c in names]
+    first = file_configuration.groupBy("file_name").agg(F.min_by(F.struct(*names), "id").alias("__cfg"))
+    return listing.join(first, "file_name", "left").select(
+        *listing.columns, *[F.col(f"__cfg.{c}").alias(f"cfg_{c}") for c in names]
     )
-    return listing.join(first, "file_name", "left")
 
 
 def collect_drops(listing: DataFrame, file_configuration: DataFrame) -> list[Drop]:
@@ -118,16 +119,17 @@ def groups_of(drops: Sequence[Drop], book: Rulebook) -> dict[tuple, list[Drop]]:
 
 
 def _error_text(e: Exception) -> str:
-    return str(e)
+    """The message without the JVM stack that follows it."""
+    return str(e).split("\n\tat ", 1)[0].split("\nDriver stacktrace:", 1)[0].strip()
 
 
 def is_read_error(e: Exception) -> bool:
-    return any(marker in _error_text(e) for marker in READ_ERRORS)
+    return any(marker in str(e) for marker in READ_ERRORS)
 
 
 def _fixed(spark: SparkSession, drops: Sequence[Drop], flag: str, message: str | None) -> DataFrame:
     rows = [(d.path, d.profile.id if d.profile else 0, d.file_name, flag, message, None, None) for d in drops]
-    return spark.createDataFrame(rows, JUDGED)
+    return local_frame(spark, rows, JUDGED)
 
 
 def _with_files(spark: SparkSession, drops: Sequence[Drop], per_file: DataFrame, on: str, rules, absent: int) -> DataFrame:
@@ -135,13 +137,12 @@ def _with_files(spark: SparkSession, drops: Sequence[Drop], per_file: DataFrame,
     schema = T.StructType(
         [T.StructField(on, T.LongType() if on == "key" else T.StringType())] + JUDGED.fields[:3]
     )
-    files = spark.createDataFrame([(getattr(d, on), d.path, d.profile.id, d.file_name) for d in drops], schema)
+    files = local_frame(spark, [(getattr(d, on), d.path, d.profile.id, d.file_name) for d in drops], schema)
     found = per_file.withColumn("__found", F.lit(True))
     joined = files.join(found, files[on] == found["__file"], "left")
-    index = F.when(F.col("__found").isNull(), F.lit(absent)).otherwise(F.col("__rule"))
-    return joined.select(
-        "path", "file_config_id", "file_name", *V.verdict_columns(rules, index),
-        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+    index = f"CASE WHEN __found IS NULL THEN {absent} ELSE __rule END"
+    return joined.selectExpr(
+        "path", "file_config_id", "file_name", *V.verdict_columns(rules, index), "CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows"
     )
 
 
@@ -209,8 +210,8 @@ def judge_drops(
     """Verdicts of all files, schema ``JUDGED``.
 
     ``materialise`` runs a group (for instance writes it to a staging table and reads it back).  When a
-    group fails on a read error it is halved until the bad files stand alone and get flag 30; the rest
-    are judged normally.  Without it only errors of analysis are isolated and the result stays lazy.
+    group fails on a read error, the files the error names get flag 30 and the rest runs again; an error
+    that names none halves the group until the bad files stand alone.  Without it only errors of analysis are isolated and the result stays lazy.
     """
     run = materialise or (lambda df: df)
 
@@ -221,8 +222,12 @@ def judge_drops(
         except Exception as e:
             if not is_read_error(e):
                 raise
+            text = _error_text(e)
             if len(group) == 1:
-                return [_fixed(spark, group, "30", _error_text(e))]
+                return [_fixed(spark, group, "30", text)]
+            named = [d for d in group if d.file_uri in text]
+            if named and len(named) < len(group):
+                return [_fixed(spark, named, "30", text)] + judge([d for d in group if d not in named])
             half = len(group) // 2
             return judge(group[:half]) + judge(group[half:])
 
@@ -266,7 +271,8 @@ def judge_paths(
 
     rows = listing(list(paths))
     errors = {r[0]: r[3] for r in rows if r[3] is not None}
-    frame = spark.createDataFrame([r[:3] for r in rows], "path string, file_uri string, file_name string")
+    names = T.StructType([T.StructField(n, T.StringType()) for n in ("path", "file_uri", "file_name")])
+    frame = local_frame(spark, [r[:3] for r in rows], names)
     drops = collect_drops(frame, file_configuration)
     lost = [d for d in drops if d.path in errors and d.profile is not None]
     judged = judge_drops(spark, [d for d in drops if d not in lost], book, materialise)

@@ -9,11 +9,13 @@ One scan, one shuffle of the keys, one tiny shuffle of per-file partials, whatev
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import model
+from ..functions.casts import literal, name
 from ..operators import rules as R
 from ..operators.joins import salted_left_join
 
@@ -35,25 +37,22 @@ def evaluated(
     under the same name (``truncate`` mode).
     """
     keys = R.key_fields(contract)
-    prepared = R.prepare(df, contract, profile, options, keep)
-    swap = R.business_frame(prepared, contract, options)
-    passed = [F.col(f"`{k}`") for k in keep]
-    early = {n: R.first_violation(rules, [p for p in ph if p != "functional"]) for n, ph in outputs.items()}
-    step = prepared.select(
+    passed = [name(k) for k in keep]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    step = R.prepare(df, contract, profile, options, keep).selectExpr(
         *passed,
-        *[R.raw(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[c.alias(f"__early_{n}") for n, c in early.items()],
-        *[swap.get(f.field_name, R.value(f.field_name)).alias(f.field_name) for f in contract],
-        R.as_of_column(options).alias("__as_of"),
+        *[f"{name(k)} AS __k{i}" for i, k in enumerate(keys)],
+        *R.business_values(types, contract, options),
+        f"{R.as_of_column(options)} AS __as_of",
+        *[f"{R.first_violation(rules, [p for p in ph if p != 'functional'])} AS __early_{n}" for n, ph in outputs.items()],
     )
-    late = {
-        n: R.first_violation(rules, ["functional"]) if "functional" in ph else F.lit(None).cast("int")
-        for n, ph in outputs.items()
-    }
-    return step.select(
+    return step.selectExpr(
         *passed,
-        *[F.col(f"__k{i}") for i in range(len(keys))],
-        *[F.coalesce(F.col(f"__early_{n}"), late[n]).alias(n) for n in outputs],
+        *[f"__k{i}" for i in range(len(keys))],
+        *[
+            f"coalesce(__early_{n}, {R.first_violation(rules, [p for p in ph if p == 'functional'])}) AS {n}"
+            for n, ph in outputs.items()
+        ],
     )
 
 
@@ -66,20 +65,21 @@ def violations(
     keep: Sequence[str],
     keep_raw: bool = False,
 ) -> DataFrame:
-    """``keep`` + ``__hits``, the ascending array of all violated row rules."""
-    prepared = R.prepare(df, contract, profile, options, keep)
-    swap = R.business_frame(prepared, contract, options)
-    passed = [F.col(f"`{k}`") for k in keep]
-    originals = [R.raw(f.field_name) for f in contract] if keep_raw else [R.raw(k) for k in R.key_fields(contract)]
-    step = prepared.select(
+    """``keep`` (+ the raw columns) + ``__hits``, the ascending array of all violated row rules."""
+    passed = [name(k) for k in keep]
+    names = [f.field_name for f in contract] if keep_raw else []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    step = R.prepare(df, contract, profile, options, keep).selectExpr(
         *passed,
-        *originals,
-        R.all_violations(rules, ["structural", "typing"]).alias("__early"),
-        *[swap.get(f.field_name, R.value(f.field_name)).alias(f.field_name) for f in contract],
-        R.as_of_column(options).alias("__as_of"),
+        *[f"{name(n)} AS {name('__raw_' + n)}" for n in names],
+        *R.business_values(types, contract, options),
+        f"{R.as_of_column(options)} AS __as_of",
+        f"{R.all_violations(rules, ['structural', 'typing'])} AS __early",
     )
-    return step.select(
-        *passed, *originals, F.concat("__early", R.all_violations(rules, ["functional"])).alias("__hits")
+    return step.selectExpr(
+        *passed,
+        *[f"{name('__raw_' + n)} AS {name(n)}" for n in names],
+        f"concat(__early, {R.all_violations(rules, ['functional'])}) AS __hits",
     )
 
 
@@ -87,13 +87,12 @@ def _index(rules: Sequence[R.Rule], flag: str) -> int:
     return next(i for i, r in enumerate(rules) if r.flag == flag)
 
 
-def verdict_columns(rules: Sequence[R.Rule], index: Column) -> list[Column]:
-    """(validation_flag, error_message, field_name) of a first-violation index; null index = passed."""
-    a = R.rule_attributes(rules, index)
+def verdict_columns(rules: Sequence[R.Rule], index: str) -> list[str]:
+    """SQL for (validation_flag, error_message, field_name) of a first-violation index; null = passed."""
     return [
-        F.coalesce(a["flag"], F.lit(model.PASSED)).alias("validation_flag"),
-        a["message"].alias("error_message"),
-        a["field"].alias("field_name"),
+        f"coalesce({R.rule_attribute(rules, 'flag', index)}, '{model.PASSED}') AS validation_flag",
+        f"{R.rule_attribute(rules, 'message', index)} AS error_message",
+        f"{R.rule_attribute(rules, 'field', index)} AS field_name",
     ]
 
 
@@ -113,10 +112,8 @@ def file_verdicts(
     rules = R.cascade(contract, profile, business)
     rows = evaluated(df, contract, profile, rules, options, by, {"__rule": ("typing", "functional")})
     per_file = _reduce(rows, by, len(R.key_fields(contract)), _index(rules, "39"))
-    index = F.least("__rule", F.when(F.col("n_rows") == 0, F.lit(_index(rules, "34"))))
-    return per_file.select(
-        *[F.col(f"`{c}`") for c in by], *verdict_columns(rules, index), "n_rows"
-    )
+    index = f"least(__rule, CASE WHEN n_rows = 0 THEN {_index(rules, '34')} END)"
+    return per_file.selectExpr(*[name(c) for c in by], *verdict_columns(rules, index), "n_rows")
 
 
 def _reduce(rows: DataFrame, by: Sequence[str], n_keys: int, key_index: int) -> DataFrame:
@@ -150,29 +147,25 @@ def csv_verdicts(
     names = [f.field_name for f in contract]
     width_rule, key_index = _index(rules, "34"), _index(rules, "39")
 
-    complete = F.col(R.CORRUPT).isNull()
-    same_as_header = complete
-    for n in names:
-        same_as_header = same_as_header & F.col(f"`{n}`").eqNullSafe(F.lit(n))
-    header_like = F.col("__first_block") & same_as_header if profile.has_header else F.lit(False)
-    line = F.col(R.CORRUPT)
+    lines_up = " AND ".join([f"{R.CORRUPT} IS NULL", *[f"{name(n)} <=> {literal(n)}" for n in names]])
+    header_like = f"(__first_block AND {lines_up})" if profile.has_header else "false"
+    line = R.CORRUPT
     if profile.quote_char:
-        q = "\\" + profile.quote_char
-        line = F.regexp_replace(line, f"{q}[^{q}]*{q}", "")
-    # with a one-column contract a complete row has no delimiter either
-    lone = F.coalesce(~line.contains(profile.delimiter), F.lit(options.header_compat and len(names) == 1))
-    state = F.when(header_like, HEADER_OK).when(lone, HEADER_ONE_COLUMN)
-    if options.header_compat and len(names) == 1:
-        state = F.when(lone, HEADER_ONE_COLUMN).when(header_like, HEADER_OK)
-    state = state.otherwise(HEADER_DIFFERS if profile.has_header or options.header_compat else HEADER_OK)
-
-    marked = scan.select(
-        *[F.col(f"`{n}`") for n in names],
+        q = re.escape(profile.quote_char)
+        line = f"regexp_replace({line}, {literal(f'{q}[^{q}]*{q}')}, '')"
+    # a complete row has a delimiter, unless the contract has one column
+    one_column = options.header_compat and len(names) == 1
+    lone = f"coalesce(NOT contains({line}, {literal(profile.delimiter)}), {str(one_column).lower()})"
+    checks = [f"WHEN {header_like} THEN {HEADER_OK}", f"WHEN {lone} THEN {HEADER_ONE_COLUMN}"]
+    otherwise = HEADER_DIFFERS if profile.has_header or options.header_compat else HEADER_OK
+    state = f"CASE {' '.join(checks[::-1] if one_column else checks)} ELSE {otherwise} END"
+    marked = scan.selectExpr(
+        *[name(n) for n in names],
         "__file",
-        header_like.alias("__header_like"),
-        (F.lit(options.row_width) & F.col(R.CORRUPT).isNotNull()).alias("__bad_width"),
-        F.when(F.col("__first_block"), F.col("__seq")).alias("__seq"),
-        F.when(F.col("__first_block"), state).alias("__state"),
+        f"{header_like} AS __header_like",
+        f"{str(options.row_width).lower()} AND {R.CORRUPT} IS NOT NULL AS __bad_width",
+        "CASE WHEN __first_block THEN __seq END AS __seq",
+        f"CASE WHEN __first_block THEN {state} END AS __state",
     )
     keep = ["__file", "__header_like", "__bad_width", "__seq", "__state"]
     rows = evaluated(marked, contract, profile, rules, options, keep, {"__row_rule": ("typing", "functional")})
@@ -239,15 +232,14 @@ def phase_verdicts(
             F.array(*[F.struct(F.lit(p).alias("phase"), F.col(p).cast("int").alias("__rule")) for p in model.PHASES])
         ).alias("__p"),
     )
-    a = R.rule_attributes(rules, F.col("__p.__rule"))
-    passed = F.create_map(*[F.lit(x) for kv in model.PHASE_PASSED.items() for x in kv])
-    return long.select(
-        *[F.col(f"`{c}`") for c in by],
-        F.col("__p.phase").alias("phase"),
-        F.coalesce(a["flag"], passed[F.col("__p.phase")]).alias("flag"),
-        F.col("__p.__rule").isNull().alias("ok"),
-        a["message"].alias("error_message"),
-        a["field"].alias("field_name"),
+    passed = "CASE __p.phase " + " ".join(f"WHEN '{p}' THEN '{f}'" for p, f in model.PHASE_PASSED.items()) + " END"
+    return long.selectExpr(
+        *[name(c) for c in by],
+        "__p.phase AS phase",
+        f"coalesce({R.rule_attribute(rules, 'flag', '__p.__rule')}, {passed}) AS flag",
+        "__p.__rule IS NULL AS ok",
+        f"{R.rule_attribute(rules, 'message', '__p.__rule')} AS error_message",
+        f"{R.rule_attribute(rules, 'field', '__p.__rule')} AS field_name",
     )
 
 
@@ -275,9 +267,12 @@ def violation_counts(
             repeated.groupBy(*by).agg(F.sum("__n").alias("n_rows"))
             .withColumn("__rule", F.lit(_index(rules, "39"))).filter("n_rows IS NOT NULL")
         )
-    a = R.rule_attributes(rules, F.col("__rule"))
-    return parts.select(
-        *cols, a["flag"].alias("flag"), a["field"].alias("field_name"), a["message"].alias("error_message"), "n_rows"
+    return parts.selectExpr(
+        *[name(c) for c in by],
+        f"{R.rule_attribute(rules, 'flag', '__rule')} AS flag",
+        f"{R.rule_attribute(rules, 'field', '__rule')} AS field_name",
+        f"{R.rule_attribute(rules, 'message', '__rule')} AS error_message",
+        "n_rows",
     )
 
 
@@ -295,9 +290,8 @@ def split_rows(
     with salt: one key may own a large share of the rows.
     """
     rules = R.cascade(contract, profile, business)
-    hits = violations(df, contract, profile, rules, options, by, keep_raw=True)
+    rows = violations(df, contract, profile, rules, options, by, keep_raw=True)
     names = [f.field_name for f in contract]
-    rows = hits.select(*[F.col(f"`{c}`") for c in by], *[R.raw(n).alias(n) for n in names], "__hits")
     keys = R.key_fields(contract)
     if keys:
         repeated = (
@@ -308,9 +302,8 @@ def split_rows(
         rows = rows.withColumn(
             "__hits", F.when(F.col("__dup").isNotNull(), F.array_sort(F.array_append("__hits", F.col("__dup")))).otherwise(F.col("__hits"))
         ).drop("__dup")
-    flag_of = F.array(*[F.lit(r.flag) for r in rules])
-    flags = F.array_distinct(F.transform("__hits", lambda i: F.get(flag_of, i)))
-    return rows.select(*[F.col(f"`{c}`") for c in by], *[F.col(f"`{n}`") for n in names], flags.alias("flags"))
+    flags = f"array_distinct(transform(__hits, i -> {R.rule_attribute(rules, 'flag', 'i')})) AS flags"
+    return rows.selectExpr(*[name(c) for c in by], *[name(n) for n in names], flags)
 
 
 def quarantined(split: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 from .. import model
 from ..functions.text import extension_of, file_name_of
 from ..operators.rules import CORRUPT
+from .tables import local_frame
 
 # Reader defaults per format; other formats have none.
 READ_DEFAULTS: dict[str, dict[str, str]] = {
@@ -90,12 +93,25 @@ def list_landing(spark: SparkSession, directory: str, name_filter: str | None =
     """Files below a landing directory: path, file_uri, file_name, length, modification_time.
 
     Only file metadata is read.  Spark itself hides names starting with '.' or '_' and names ending
-    in '._COPYING_' (files still being copied).
+    in '._COPYING_' (files still being copied).  A scan has no rows for files of zero bytes, so those
+    are added from the file index, with length 0 and no time.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    return listing_columns(reader.load(directory))
+    found = reader.load(directory)
+    listed = listing_columns(found)
+    # the index writes file:///x where the scan writes file:/x
+    uris = [(unquote(u), u) for u in (re.sub("^file:/+", "file:/", f) for f in found.inputFiles())]
+    index = local_frame(spark, uris, T.StructType([T.StructField(n, T.StringType()) for n in ("path", "file_uri")]))
+    empty = index.join(listed, "path", "left_anti").select(
+        "path",
+        "file_uri",
+        file_name_of(F.col("path")).alias("file_name"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.lit(None).cast("timestamp").alias("modification_time"),
+    )
+    return listed.unionByName(empty)
 
 
 def listing_columns(binary_files: DataFrame) -> DataFrame:

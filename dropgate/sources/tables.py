@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SCAN_PARTITIONS = 12
 SCAN_LIMIT = 3_000_000
@@ -21,6 +23,13 @@ def read_table(spark: SparkSession, link: str) -> DataFrame:
     return spark.read.parquet(link) if "/" in link else spark.read.table(link)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Control data of the driver as a frame, handed over as Arrow so that no Python worker is started."""
+    target = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(target)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=target), schema)
+
+
 def schema_probe(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and types without reading rows."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
