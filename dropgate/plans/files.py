@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -119,8 +120,10 @@ def groups_of(drops: Sequence[Drop], book: Rulebook) -> dict[tuple, list[Drop]]:
 
 
 def _error_text(e: Exception) -> str:
-    """The message without the JVM stack that follows it."""
-    return str(e).split("\n\tat ", 1)[0].split("\nDriver stacktrace:", 1)[0].strip()
+    """The error condition and its sentence, without the JVM stack around them."""
+    text = re.sub("file:/+", "file:/", str(e))
+    found = re.search(r"\[[A-Z0-9_]+(\.[A-Z0-9_]+)*\] [^\n]*", text)
+    return found.group(0) if found else text.split("\n", 1)[0]
 
 
 def is_read_error(e: Exception) -> bool:
@@ -225,7 +228,7 @@ def judge_drops(
             text = _error_text(e)
             if len(group) == 1:
                 return [_fixed(spark, group, "30", text)]
-            named = [d for d in group if d.file_uri in text]
+            named = [d for d in group if re.sub("file:/+", "file:/", d.file_uri) in text]
             if named and len(named) < len(group):
                 return [_fixed(spark, named, "30", text)] + judge([d for d in group if d not in named])
             half = len(group) // 2

@@ -9,17 +9,15 @@ One scan, one shuffle of the keys, one tiny shuffle of per-file partials, whatev
 
 from __future__ import annotations
 
-import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import model
-from ..functions.casts import literal, name
+from ..functions.casts import name
 from ..operators import rules as R
 from ..operators.joins import salted_left_join
-
-HEADER_OK, HEADER_ONE_COLUMN, HEADER_DIFFERS = 0, 1, 2
+from ..operators.structural import HEADER_DIFFERS, HEADER_ONE_COLUMN, MARKS, mark_lines
 
 
 def evaluated(
@@ -138,38 +136,18 @@ def csv_verdicts(
 
     ``scan`` comes from ``sources.files.csv_scan``: contract columns as text, the malformed line in
     ``__corrupt``, ``__file`` (the file's key), ``__first_block`` and ``__seq`` (increasing within a file's block).
-    The header arrives as a data row; it is the row with the least ``__seq`` in the first block.  Only
-    rows equal to the expected header can be a correct header, so those are counted apart: one of
-    them is the header, any further one is data and is judged as such.
+    See ``operators.structural`` for how the header is told from the rows.
     Columns: __file, __rule (null = passed), n_rows.
     """
     rules = R.cascade(contract, profile, business)
-    names = [f.field_name for f in contract]
     width_rule, key_index = _index(rules, "34"), _index(rules, "39")
 
-    lines_up = " AND ".join([f"{R.CORRUPT} IS NULL", *[f"{name(n)} <=> {literal(n)}" for n in names]])
-    header_like = f"(__first_block AND {lines_up})" if profile.has_header else "false"
-    line = R.CORRUPT
-    if profile.quote_char:
-        q = re.escape(profile.quote_char)
-        line = f"regexp_replace({line}, {literal(f'{q}[^{q}]*{q}')}, '')"
-    # a complete row has a delimiter, unless the contract has one column
-    one_column = options.header_compat and len(names) == 1
-    lone = f"coalesce(NOT contains({line}, {literal(profile.delimiter)}), {str(one_column).lower()})"
-    checks = [f"WHEN {header_like} THEN {HEADER_OK}", f"WHEN {lone} THEN {HEADER_ONE_COLUMN}"]
-    otherwise = HEADER_DIFFERS if profile.has_header or options.header_compat else HEADER_OK
-    state = f"CASE {' '.join(checks[::-1] if one_column else checks)} ELSE {otherwise} END"
-    marked = scan.selectExpr(
-        *[name(n) for n in names],
-        "__file",
-        f"{header_like} AS __header_like",
-        f"{str(options.row_width).lower()} AND {R.CORRUPT} IS NOT NULL AS __bad_width",
-        "CASE WHEN __first_block THEN __seq END AS __seq",
-        f"CASE WHEN __first_block THEN {state} END AS __state",
-    )
-    keep = ["__file", "__header_like", "__bad_width", "__seq", "__state"]
-    rows = evaluated(marked, contract, profile, rules, options, keep, {"__row_rule": ("typing", "functional")})
-    rows = rows.withColumn("__rule", F.when(F.col("__bad_width"), F.lit(width_rule)).otherwise(F.col("__row_rule")))
+    marked = mark_lines(scan, contract, profile, options)
+    rows = evaluated(marked, contract, profile, rules, options, MARKS, {"__row_rule": ("typing", "functional")})
+    if options.row_width:
+        rows = rows.withColumn("__rule", F.when(F.col("__bad_width"), F.lit(width_rule)).otherwise(F.col("__row_rule")))
+    else:
+        rows = rows.withColumnRenamed("__row_rule", "__rule")
 
     keys = [f"__k{i}" for i in range(len(R.key_fields(contract)))]
     per_key = rows.groupBy("__file", *keys).agg(
@@ -283,14 +261,18 @@ def split_rows(
     profile: model.Profile = model.Profile(),
     by: Sequence[str] = (),
     options: R.Options = R.Options(),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every row with its ``flags``, the distinct violated flags in cascade order (empty = accepted).
 
+    Columns: by.., keep.. (passed through), the contract's columns, flags.
+
     All rows sharing a key with another row of the file carry 39.  The repeated keys are joined back
     with salt: one key may own a large share of the rows.
     """
     rules = R.cascade(contract, profile, business)
-    rows = violations(df, contract, profile, rules, options, by, keep_raw=True)
+    labels = [*by, *keep]
+    rows = violations(df, contract, profile, rules, options, labels, keep_raw=True)
     names = [f.field_name for f in contract]
     keys = R.key_fields(contract)
     if keys:
@@ -303,7 +285,7 @@ def split_rows(
             "__hits", F.when(F.col("__dup").isNotNull(), F.array_sort(F.array_append("__hits", F.col("__dup")))).otherwise(F.col("__hits"))
         ).drop("__dup")
     flags = f"array_distinct(transform(__hits, i -> {R.rule_attribute(rules, 'flag', 'i')})) AS flags"
-    return rows.selectExpr(*[name(c) for c in by], *[name(n) for n in names], flags)
+    return rows.selectExpr(*[name(c) for c in labels], *[name(n) for n in names], flags)
 
 
 def quarantined(split: DataFrame) -> DataFrame:

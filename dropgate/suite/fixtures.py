@@ -141,7 +141,7 @@ SELECT cast(c_custkey + 1 as int) AS id,
   concat('accounts_', cast(c_custkey as string), '.csv') AS file_name,
   CASE WHEN c_custkey % 23 = 7 THEN NULL ELSE c_custkey % 10 <> 3 END AS has_header,
   CASE c_custkey % 13 WHEN 0 THEN ';' WHEN 1 THEN '|' WHEN 2 THEN '||' WHEN 3 THEN NULL WHEN 4 THEN '' ELSE ',' END AS delimiter,
-  CASE c_custkey % 17 WHEN 0 THEN '''' WHEN 1 THEN NULL ELSE '"' END AS quote_char,
+  CASE c_custkey % 17 WHEN 0 THEN chr(39) WHEN 1 THEN NULL ELSE '"' END AS quote_char,
   CASE c_custkey % 19 WHEN 0 THEN '"' WHEN 1 THEN '~~' WHEN 2 THEN NULL ELSE '~' END AS escape_char,
   CASE c_custkey % 7 WHEN 0 THEN 'dd/MM/yyyy' WHEN 1 THEN NULL ELSE 'yyyy-MM-dd' END AS date_format,
   CASE c_custkey % 5 WHEN 0 THEN 'epoch_millis' WHEN 1 THEN NULL ELSE 'yyyy-MM-dd HH:mm:ss' END AS timestamp_format,
