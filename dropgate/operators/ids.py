@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 256
+ROWS_PER_BUCKET = 1_000_000
 
 
 def with_next_ids(
@@ -20,13 +20,14 @@ def with_next_ids(
 
     Rows are numbered inside buckets of the (unique) ``order`` columns and shifted by the sizes of the
     buckets before.  Nothing depends on partition numbers or arrival order, so a re-run task yields
-    the same ids; no window spans more than one bucket, and hashing unique columns keeps buckets even.
-    ``new`` is read twice: pass a stored table, not a long plan.
-    ``BUCKETS`` bounds the parallelism of the numbering, not the number of rows.
+    the same ids.  Buckets grow in number, not in size: no window sees more than about
+    ``ROWS_PER_BUCKET`` rows (a ``bucket`` of the caller's must keep to that too), and the window over
+    bucket sizes has one row per bucket.  ``new`` is read more than once: pass a stored table.
     """
-    b = F.pmod(F.xxhash64(*order), F.lit(BUCKETS)) if bucket is None else bucket
-    rows = new.withColumn("__bucket", b.cast("bigint"))
-    # one row per bucket: small whatever the data
+    if bucket is None:
+        buckets = max(1, -(-new.count() // ROWS_PER_BUCKET))
+        bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
+    rows = new.withColumn("__bucket", bucket.cast("bigint"))
     sizes = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint")).scalar()

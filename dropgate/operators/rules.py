@@ -1,8 +1,7 @@
 """Rules: a contract and a list of business rules compiled to ordered boolean SQL conditions.
 
-A rule's place in the list is its priority in the verdict cascade.  Conditions are SQL text over a
-*prepared* frame, which holds for every contract column its raw value and its value
-in the declared type, each computed once.
+A rule's place in the list is its priority in the verdict cascade.  Contract checks are SQL text over
+the raw columns; business rules are SQL over the same names in the declared types.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ class Rule:
     phase: str
     field: str | None
     message: str
-    # SQL over a prepared frame, true where a row breaks the rule; None: decided per file
+    # SQL, true where a row breaks the rule; None: decided per file
     condition: str | None = None
 
 
@@ -47,62 +46,65 @@ def raw(f: model.Field) -> str:
     return name(f.field_name)
 
 
-def value(f: model.Field) -> str:
-    """The prepared value of a contract column in its declared type."""
-    return name(f"__v_{f.field_name}") if casts.type_class(f.data_type) else raw(f)
-
-
 def as_of_column(options: Options) -> str:
     return "current_date()" if options.as_of is None else f"DATE'{options.as_of.isoformat()}'"
 
 
-def prepare(
-    df: DataFrame,
-    contract: Sequence[model.Field],
-    profile: model.Profile,
-    options: Options = Options(),
-    keep: Sequence[str] = (),
-) -> DataFrame:
-    """Raw columns under their names, and ``__v_<name>`` for each that has a declared type.
+def types_of(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
 
-    Raw columns are not renamed: Catalyst derives constraints through aliases, and renaming thirty
-    columns that share one predicate makes it enumerate every mix of old and new names.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    converted = [
-        casts.declared_value(
-            f, raw(f), profile.date_format, profile.timestamp_format, types[f.field_name],
-            options.strict_int, options.use_decimal_symbol,
-        )
-        + f" AS {value(f)}"
-        for f in contract
-        if casts.type_class(f.data_type)
-    ]
-    return df.selectExpr(*[name(c) for c in keep], *[raw(f) for f in contract], *converted)
+
+TEXT = T.StringType()
+
+
+def converted(
+    f: model.Field, profile: model.Profile, options: Options = Options(), source_type: T.DataType = TEXT
+) -> str:
+    """The column in its declared type."""
+    return casts.declared_value(
+        f, raw(f), profile.date_format, profile.timestamp_format, source_type, options.strict_int, options.use_decimal_symbol
+    )
 
 
-def business_values(types: dict[str, T.DataType], contract: Sequence[model.Field], options: Options) -> list[str]:
-    """What business rules see under the contract's names: values in the declared type.
+def business_values(
+    contract: Sequence[model.Field], profile: model.Profile, options: Options, types: dict[str, T.DataType]
+) -> list[str]:
+    """What business rules see under the contract's names, and ``__as_of``: values in the declared type.
 
     In ``truncate`` mode numbers in text compare as integers, as text against an integer literal did
     in non-ANSI Spark.
     """
-    out = []
+    out = [f"{as_of_column(options)} AS __as_of"]
     for f in contract:
+        source = types.get(f.field_name, TEXT)
         number = casts.type_class(f.data_type) in ("int", "bigint", "decimal")
-        if options.compare == "truncate" and number and isinstance(types[f.field_name], T.StringType):
+        if options.compare == "truncate" and number and isinstance(source, T.StringType):
             out.append(f"{casts.lenient_integer(raw(f))} AS {raw(f)}")
+        elif casts.type_class(f.data_type):
+            out.append(f"{converted(f, profile, options, source)} AS {raw(f)}")
         else:
-            out.append(f"{value(f)} AS {raw(f)}" if casts.type_class(f.data_type) else raw(f))
+            out.append(raw(f))
     return out
 
 
+def business_frame(
+    df: DataFrame,
+    contract: Sequence[model.Field],
+    profile: model.Profile = model.Profile(),
+    options: Options = Options(),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``keep`` (SQL) + the frame business rules are evaluated on."""
+    return df.selectExpr(*keep, *business_values(contract, profile, options, types_of(df)))
+
+
 def _text_of(f: model.Field) -> str:
     return f"CAST({raw(f)} AS STRING)"
 
 
-def type_rule(f: model.Field) -> Rule:
-    return Rule("35", "typing", f.field_name, model.MSG_TYPE, f"{raw(f)} IS NOT NULL AND {value(f)} IS NULL")
+def type_rule(f: model.Field, profile: model.Profile, options: Options, source_type: T.DataType) -> Rule:
+    invalid = f"{raw(f)} IS NOT NULL AND {converted(f, profile, options, source_type)} IS NULL"
+    return Rule("35", "typing", f.field_name, model.MSG_TYPE, invalid)
 
 
 def null_rule(f: model.Field) -> Rule:
@@ -119,7 +121,7 @@ def text_rule(f: model.Field, profile: model.Profile) -> Rule:
 
 
 def business_rule(r: model.BusinessRule) -> Rule:
-    # :as_of is the frame's column __as_of
+    # the judging date is the frame's column __as_of
     return Rule(r.flag, "functional", r.field, r.message, r.violation.replace(":as_of", "__as_of"))
 
 
@@ -135,10 +137,16 @@ def structural_rules() -> list[Rule]:
     ]
 
 
-def typing_rules(contract: Sequence[model.Field], profile: model.Profile) -> list[Rule]:
-    """Step by step, and within a step by field position."""
+def typing_rules(
+    contract: Sequence[model.Field],
+    profile: model.Profile,
+    options: Options = Options(),
+    types: dict[str, T.DataType] | None = None,
+) -> list[Rule]:
+    """Step by step, and within a step by field position.  ``types``: column types of the data, default text."""
+    types = types or {}
     return (
-        [type_rule(f) for f in contract if casts.type_class(f.data_type)]
+        [type_rule(f, profile, options, types.get(f.field_name, TEXT)) for f in contract if casts.type_class(f.data_type)]
         + [null_rule(f) for f in contract if not f.nullable]
         + [length_rule(f) for f in contract if is_sized_text(f)]
         + [text_rule(f, profile) for f in contract if casts.is_text_class(f.data_type)]
@@ -158,19 +166,25 @@ def business_rules(rules: Sequence[model.BusinessRule]) -> list[Rule]:
 
 
 def cascade(
-    contract: Sequence[model.Field], profile: model.Profile, rules: Sequence[model.BusinessRule]
+    contract: Sequence[model.Field],
+    profile: model.Profile,
+    rules: Sequence[model.BusinessRule],
+    options: Options = Options(),
+    types: dict[str, T.DataType] | None = None,
 ) -> list[Rule]:
     """All rules in verdict order."""
     contract = sorted(model.check_contract(list(contract)), key=lambda f: f.field_position)
-    return structural_rules() + typing_rules(contract, profile) + [key_rule(contract)] + business_rules(rules)
+    return structural_rules() + typing_rules(contract, profile, options, types) + [key_rule(contract)] + business_rules(rules)
 
 
-def first_violation(rules: Sequence[Rule], phases: Sequence[str]) -> str:
+def first_violation(rules: Sequence[Rule], phases: Sequence[str], after: str | None = None) -> str:
     """Index of the first violated row rule of these phases, null when the row is clean.
 
-    One CASE: evaluation stops at the first hit, and a null condition is no violation.
+    One CASE: evaluation stops at the first hit (``after`` is an earlier one), and a null condition is
+    no violation.
     """
-    whens = [f"WHEN {r.condition} THEN {i}" for i, r in enumerate(rules) if r.condition and r.phase in phases]
+    whens = [f"WHEN {after} IS NOT NULL THEN {after}"] if after else []
+    whens += [f"WHEN {r.condition} THEN {i}" for i, r in enumerate(rules) if r.condition and r.phase in phases]
     return f"CASE {' '.join(whens)} END" if whens else "CAST(NULL AS INT)"
 
 

@@ -17,13 +17,12 @@ from ..functions.casts import literal, name
 from .rules import CORRUPT, Options
 
 HEADER_OK, HEADER_ONE_COLUMN, HEADER_DIFFERS = 0, 1, 2
-MARKS = ["__file", "__header_like", "__bad_width", "__seq", "__state"]
 
 
-def mark_lines(
-    scan: DataFrame, contract: Sequence[model.Field], profile: model.Profile, options: Options = Options()
-) -> DataFrame:
-    """Contract columns + ``MARKS`` for a frame of ``sources.files.csv_scan``.
+def line_marks(
+    contract: Sequence[model.Field], profile: model.Profile, options: Options = Options()
+) -> dict[str, str]:
+    """SQL of the marks of a row of ``sources.files.csv_scan``, by name.
 
     ``__state`` is what the row would mean as the file's first line, ``__bad_width`` that its number of
     fields is wrong; both ``__seq`` and ``__state`` are null outside the first block.
@@ -41,15 +40,14 @@ def mark_lines(
     checks = [f"WHEN {header_like} THEN {HEADER_OK}", f"WHEN {lone} THEN {HEADER_ONE_COLUMN}"]
     otherwise = HEADER_DIFFERS if profile.has_header or options.header_compat else HEADER_OK
     state = f"CASE {' '.join(checks[::-1] if one_column else checks)} ELSE {otherwise} END"
-    return scan.selectExpr(
-        *[name(n) for n in names],
-        "__file",
-        f"{header_like} AS __header_like",
+    return {
+        "__file": "__file",
+        "__header_like": header_like,
         # names a data column too: Spark refuses queries on the malformed-line column alone
-        f"({CORRUPT} IS NOT NULL OR coalesce(length({name(names[0])}), 0) < 0) AS __bad_width",
-        "CASE WHEN __first_block THEN __seq END AS __seq",
-        f"CASE WHEN __first_block THEN {state} END AS __state",
-    )
+        "__bad_width": f"({CORRUPT} IS NOT NULL OR coalesce(length({name(names[0])}), 0) < 0)",
+        "__seq": "CASE WHEN __first_block THEN __seq END",
+        "__state": f"CASE WHEN __first_block THEN {state} END",
+    }
 
 
 def structural_report(
@@ -57,7 +55,7 @@ def structural_report(
 ) -> DataFrame:
     """Per file: __file, one_column, header_ok, n_rows, n_bad_rows, validation_flag (null = passed)."""
     per_file = (
-        mark_lines(scan, contract, profile, options)
+        scan.selectExpr(*[f"{sql} AS {n}" for n, sql in line_marks(contract, profile, options).items()])
         .groupBy("__file")
         .agg(
             F.min_by("__state", "__seq").alias("state"),

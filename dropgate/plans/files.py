@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .. import model
 from ..functions.text import extension_of
 from ..operators import rules as R
+from ..operators.joins import salted_left_join
 from ..sources import files as src
 from ..sources.tables import local_frame
 from . import verdict as V
@@ -33,6 +34,9 @@ JUDGED = T.StructType(
     ]
 )
 
+# bounds the file index the driver holds for one scan
+MAX_FILES_PER_SCAN = 100_000
+
 # Failures that belong to a file; anything else (lost executors, memory) must not become a verdict.
 READ_ERRORS = (
     "PATH_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE",
@@ -84,11 +88,12 @@ def lookup_profiles(listing: DataFrame, file_configuration: DataFrame) -> DataFr
     """Left join of files to profiles by exact file name; the lowest id wins when a name repeats.
 
     Profile columns are prefixed ``cfg_`` (``cfg_id`` null = unconfigured).  No broadcast is forced:
-    Spark picks it from the measured size of the configuration table.
+    Spark picks it from the measured size of the configuration table.  Beyond that size the join is
+    salted, since one file name may be dropped over and over.
     """
     names = [c for c in file_configuration.columns if c != "file_name"]
     first = file_configuration.groupBy("file_name").agg(F.min_by(F.struct(*names), "id").alias("__cfg"))
-    return listing.join(first, "file_name", "left").select(
+    return salted_left_join(listing, first, ["file_name"]).select(
         *listing.columns, *[F.col(f"__cfg.{c}").alias(f"cfg_{c}") for c in names]
     )
 
@@ -157,7 +162,7 @@ def _csv_group(spark: SparkSession, drops: Sequence[Drop], book: Rulebook) -> Da
     key = src.file_path_key() if unique else F.col("_metadata.file_path")
     scan = src.csv_scan(spark, [d.path for d in drops], contract, profile, key)
     per_file = V.csv_verdicts(scan, contract, book.business, profile, book.options)
-    rules = R.cascade(contract, profile, book.business)
+    rules = R.cascade(contract, profile, book.business, book.options)
     absent = V._index(rules, "33" if profile.has_header or book.options.header_compat else "34")
     return _with_files(spark, drops, per_file, on, rules, absent)
 
@@ -166,7 +171,7 @@ def _typed_group(spark: SparkSession, drops: Sequence[Drop], book: Rulebook) ->
     """Files that carry their own schema: the header check is on the schema, one scan per distinct schema."""
     profile = drops[0].profile
     contract = book.contracts[book.contract_key(profile)]
-    rules = R.cascade(contract, profile, book.business)
+    rules = R.cascade(contract, profile, book.business, book.options)
     names = [f.field_name for f in contract]
 
     def probe(d: Drop):
@@ -194,7 +199,8 @@ def _typed_group(spark: SparkSession, drops: Sequence[Drop], book: Rulebook) ->
         else:
             df = src.read_file(spark, [d.path for d in members], _typed_options(members[0]), schema)
             df = df.withColumn("__file", F.col("_metadata.file_path"))
-            rows = V.evaluated(df, contract, profile, rules, book.options, ["__file"], {"__rule": ("typing", "functional")})
+            rules = R.cascade(contract, profile, book.business, book.options, R.types_of(df))
+            rows = V.evaluated(df, contract, profile, rules, book.options, {"__file": "__file"})
             per_file = V._reduce(rows, ["__file"], len(R.key_fields(contract)), V._index(rules, "39"))
             out.append(_with_files(spark, members, per_file, "file_uri", rules, V._index(rules, "34")))
     return reduce(DataFrame.unionByName, out)
@@ -234,7 +240,12 @@ def judge_drops(
             half = len(group) // 2
             return judge(group[:half]) + judge(group[half:])
 
-    out = [df for group in groups_of(drops, book).values() for df in judge(group)]
+    out = [
+        df
+        for group in groups_of(drops, book).values()
+        for start in range(0, len(group), MAX_FILES_PER_SCAN)
+        for df in judge(group[start : start + MAX_FILES_PER_SCAN])
+    ]
     unconfigured = [d for d in drops if d.profile is None]
     if unconfigured or not out:
         out.append(_fixed(spark, unconfigured, "99", model.MSG_UNCONFIGURED))

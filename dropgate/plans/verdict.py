@@ -9,7 +9,7 @@ One scan, one shuffle of the keys, one tiny shuffle of per-file partials, whatev
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,7 +17,7 @@ from .. import model
 from ..functions.casts import name
 from ..operators import rules as R
 from ..operators.joins import salted_left_join
-from ..operators.structural import HEADER_DIFFERS, HEADER_ONE_COLUMN, MARKS, mark_lines
+from ..operators.structural import HEADER_DIFFERS, HEADER_ONE_COLUMN, line_marks
 
 
 def evaluated(
@@ -26,32 +26,27 @@ def evaluated(
     profile: model.Profile,
     rules: Sequence[R.Rule],
     options: R.Options,
-    keep: Sequence[str],
-    outputs: dict[str, tuple[str, ...]],
+    keep: Mapping[str, str],
+    separate: bool = False,
 ) -> DataFrame:
-    """``keep`` + key columns (as ``__k0..``) + one first-violation column per entry of ``outputs``.
+    """``keep`` (name -> SQL) + key columns (as ``__k0..``) + ``__rule``, the first violated row rule.
 
-    Contract checks and business rules are separate steps because they may see different values
-    under the same name (``truncate`` mode).
+    ``separate`` gives ``__typing`` and ``__functional`` instead.  Two projections: the first checks the raw
+    columns and converts what the business rules name, the second evaluates those.  Rows between them
+    are narrow, and raw columns are never renamed: Catalyst derives constraints through aliases, and
+    renaming thirty columns that share one predicate makes it enumerate every mix of names.
     """
     keys = R.key_fields(contract)
-    passed = [name(k) for k in keep]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    step = R.prepare(df, contract, profile, options, keep).selectExpr(
-        *passed,
+    step = df.selectExpr(
+        *[f"{sql} AS {name(n)}" for n, sql in keep.items()],
         *[f"{name(k)} AS __k{i}" for i, k in enumerate(keys)],
-        *R.business_values(types, contract, options),
-        f"{R.as_of_column(options)} AS __as_of",
-        *[f"{R.first_violation(rules, [p for p in ph if p != 'functional'])} AS __early_{n}" for n, ph in outputs.items()],
-    )
-    return step.selectExpr(
-        *passed,
-        *[f"__k{i}" for i in range(len(keys))],
-        *[
-            f"coalesce(__early_{n}, {R.first_violation(rules, [p for p in ph if p == 'functional'])}) AS {n}"
-            for n, ph in outputs.items()
-        ],
+        *R.business_values(contract, profile, options, R.types_of(df)),
+        f"{R.first_violation(rules, ['typing'])} AS __typing",
     )
+    passed = [*[name(n) for n in keep], *[f"__k{i}" for i in range(len(keys))]]
+    if separate:
+        return step.selectExpr(*passed, "__typing", f"{R.first_violation(rules, ['functional'])} AS __functional")
+    return step.selectExpr(*passed, f"{R.first_violation(rules, ['functional'], '__typing')} AS __rule")
 
 
 def violations(
@@ -63,24 +58,34 @@ def violations(
     keep: Sequence[str],
     keep_raw: bool = False,
 ) -> DataFrame:
-    """``keep`` (+ the raw columns) + ``__hits``, the ascending array of all violated row rules."""
+    """``keep`` (+ the raw columns) + ``__hits``, the ascending array of all violated row rules.
+
+    Lists are only built for rows with a first violation; clean rows cost no more than in a verdict.
+    """
     passed = [name(k) for k in keep]
     names = [f.field_name for f in contract] if keep_raw else []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    step = R.prepare(df, contract, profile, options, keep).selectExpr(
+
+    def hits(phase: str) -> str:
+        return (
+            f"CASE WHEN {R.first_violation(rules, [phase])} IS NOT NULL THEN {R.all_violations(rules, [phase])} "
+            "ELSE CAST(array() AS ARRAY<INT>) END"
+        )
+
+    step = df.selectExpr(
         *passed,
         *[f"{name(n)} AS {name('__raw_' + n)}" for n in names],
-        *R.business_values(types, contract, options),
-        f"{R.as_of_column(options)} AS __as_of",
-        f"{R.all_violations(rules, ['structural', 'typing'])} AS __early",
+        *R.business_values(contract, profile, options, R.types_of(df)),
+        f"{hits('typing')} AS __early",
     )
     return step.selectExpr(
-        *passed,
-        *[f"{name('__raw_' + n)} AS {name(n)}" for n in names],
-        f"concat(__early, {R.all_violations(rules, ['functional'])}) AS __hits",
+        *passed, *[f"{name('__raw_' + n)} AS {name(n)}" for n in names], f"concat(__early, {hits('functional')}) AS __hits"
     )
 
 
+def _named(columns: Sequence[str]) -> dict[str, str]:
+    return {c: name(c) for c in columns}
+
+
 def _index(rules: Sequence[R.Rule], flag: str) -> int:
     return next(i for i, r in enumerate(rules) if r.flag == flag)
 
@@ -107,8 +112,8 @@ def file_verdicts(
     Columns: by.., validation_flag, error_message, field_name, n_rows.  Without ``by`` the frame is one
     file and an empty frame still gets its row (flag 34).
     """
-    rules = R.cascade(contract, profile, business)
-    rows = evaluated(df, contract, profile, rules, options, by, {"__rule": ("typing", "functional")})
+    rules = R.cascade(contract, profile, business, options, R.types_of(df))
+    rows = evaluated(df, contract, profile, rules, options, _named(by))
     per_file = _reduce(rows, by, len(R.key_fields(contract)), _index(rules, "39"))
     index = f"least(__rule, CASE WHEN n_rows = 0 THEN {_index(rules, '34')} END)"
     return per_file.selectExpr(*[name(c) for c in by], *verdict_columns(rules, index), "n_rows")
@@ -139,15 +144,12 @@ def csv_verdicts(
     See ``operators.structural`` for how the header is told from the rows.
     Columns: __file, __rule (null = passed), n_rows.
     """
-    rules = R.cascade(contract, profile, business)
+    rules = R.cascade(contract, profile, business, options)
     width_rule, key_index = _index(rules, "34"), _index(rules, "39")
 
-    marked = mark_lines(scan, contract, profile, options)
-    rows = evaluated(marked, contract, profile, rules, options, MARKS, {"__row_rule": ("typing", "functional")})
+    rows = evaluated(scan, contract, profile, rules, options, line_marks(contract, profile, options))
     if options.row_width:
-        rows = rows.withColumn("__rule", F.when(F.col("__bad_width"), F.lit(width_rule)).otherwise(F.col("__row_rule")))
-    else:
-        rows = rows.withColumnRenamed("__row_rule", "__rule")
+        rows = rows.withColumn("__rule", F.when(F.col("__bad_width"), F.lit(width_rule)).otherwise(F.col("__rule")))
 
     keys = [f"__k{i}" for i in range(len(R.key_fields(contract)))]
     per_key = rows.groupBy("__file", *keys).agg(
@@ -190,9 +192,8 @@ def phase_verdicts(
     options: R.Options = R.Options(),
 ) -> DataFrame:
     """Every phase judged on its own: by.., phase, flag, ok, error_message, field_name."""
-    rules = R.cascade(contract, profile, business)
-    phases = {"__typing": ("typing",), "__functional": ("functional",)}
-    rows = evaluated(df, contract, profile, rules, options, by, phases)
+    rules = R.cascade(contract, profile, business, options, R.types_of(df))
+    rows = evaluated(df, contract, profile, rules, options, _named(by), separate=True)
     keys = [f"__k{i}" for i in range(len(R.key_fields(contract)))]
     per_key = rows.groupBy(*by, *keys).agg(
         F.min("__typing").alias("__typing"), F.min("__functional").alias("__functional"), F.count(F.lit(1)).alias("__n")
@@ -234,7 +235,7 @@ def violation_counts(
     Clean rows vanish at the explode; hits are counted map-side before the shuffle.  Rows with a
     repeated key are counted from per-key groups.
     """
-    rules = R.cascade(contract, profile, business)
+    rules = R.cascade(contract, profile, business, options, R.types_of(df))
     cols = [F.col(f"`{c}`") for c in by]
     hits = violations(df, contract, profile, rules, options, by)
     parts = hits.select(*cols, F.explode("__hits").alias("__rule")).groupBy(*by, "__rule").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -270,7 +271,7 @@ def split_rows(
     All rows sharing a key with another row of the file carry 39.  The repeated keys are joined back
     with salt: one key may own a large share of the rows.
     """
-    rules = R.cascade(contract, profile, business)
+    rules = R.cascade(contract, profile, business, options, R.types_of(df))
     labels = [*by, *keep]
     rows = violations(df, contract, profile, rules, options, labels, keep_raw=True)
     names = [f.field_name for f in contract]

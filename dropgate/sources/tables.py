@@ -56,14 +56,18 @@ def hash_partition_scan(
     buckets: int = SCAN_PARTITIONS,
     limit: int | None = SCAN_LIMIT,
 ) -> DataFrame:
-    """At most ``limit`` rows, spread by the bucket of ``column`` (default: the sixth) as ``scan_bucket``.
+    """At most ``limit`` rows with the bucket of ``column`` (default: the sixth) as ``scan_bucket``.
 
     Rows whose column is null or no number get bucket ``buckets`` instead of being lost.  The bound is
-    the feature: which rows it keeps is open, as there is no order.  ``limit=None`` reads everything.
+    the feature: which rows it keeps is open, as there is no order.  Bounded rows are partitioned by
+    bucket; ``limit=None`` reads everything and leaves the scan's own partitions, since one bucket may
+    then hold any amount.
     """
     column = column or df.columns[PARTITION_COLUMN_INDEX]
-    bounded = df if limit is None else df.limit(limit)
-    return bounded.withColumn("scan_bucket", F.coalesce(scan_bucket(column, buckets), F.lit(buckets)).cast("int"))
+    bucket = F.coalesce(scan_bucket(column, buckets), F.lit(buckets)).cast("int")
+    if limit is None:
+        return df.withColumn("scan_bucket", bucket)
+    return df.limit(limit).withColumn("scan_bucket", bucket).repartition(buckets + 1, "scan_bucket")
 
 
 def jdbc_predicates(column: str, buckets: int = SCAN_PARTITIONS) -> list[str]:

@@ -79,8 +79,8 @@ def _overridden(case_of: str, base: str, extra: str = "") -> str:
     cols = []
     for name in ACCOUNT_COLUMNS:
         whens = " ".join(f"WHEN {k} THEN {v[name]}" for k, v in INJECTED.items() if name in v)
-        cols.append(f"CASE {case_of} {whens} ELSE {name} END AS {name}" if whens else name)
-    return f"SELECT {', '.join(cols)}, order_key{extra} FROM ({base}) a"
+        cols.append(f"CASE defect {whens} ELSE {name} END AS {name}" if whens else name)
+    return f"SELECT {', '.join(cols)}, order_key{extra} FROM (SELECT *, {case_of} AS defect FROM ({base}) a) a"
 
 
 # every class at once: class k on the rows with order_key % 97 = k
@@ -182,9 +182,18 @@ FROM events
 TABLES = ["orders", "customer", "lineitem", "events", "part", "documents", "supplier", "nation"]
 
 
-def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table stored in fewer splits; larger tables are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def frame(spark: SparkSession, sf_dir: str, sql: str, spread_table: str | None = None) -> DataFrame:
     """Run an input definition over the given tables, without touching the session catalog."""
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if t in sql}
+    if spread_table:
+        columns = [c for c in used[spread_table].columns if c in sql]
+        used[spread_table] = spread(used[spread_table].select(*columns))
     for t in used:
         sql = _named(sql, t)
     return spark.sql(sql, **used)
@@ -202,15 +211,15 @@ def duck(sql: str) -> str:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, sf_dir, ACCOUNTS)
+    return frame(spark, sf_dir, ACCOUNTS, "orders")
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, sf_dir, DIRTY)
+    return frame(spark, sf_dir, DIRTY, "orders")
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame(spark, sf_dir, FILES)
+    return frame(spark, sf_dir, FILES, "orders")
 
 
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def name_of(path: Column) -> Column:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(upload, place, value): the lines of every file in order."""
-    df = fx.frame(spark, sf_dir, UPLOADS)
+    df = fx.frame(spark, sf_dir, UPLOADS, "orders")
     names = fx.ACCOUNT_COLUMNS
     scenario = F.col("upload") % N_SCENARIOS
 

@@ -69,8 +69,7 @@ def _typing(flag: str):
     """Violations of one typing step: (order_key, field_name)."""
     def run(spark, sf):
         rules = [r for r in R.typing_rules(model.BANK_ACCOUNTS, model.Profile()) if r.flag == flag]
-        df = R.prepare(fx.dirty(spark, sf), model.BANK_ACCOUNTS, model.Profile(), OPTIONS, ["order_key"])
-        hits = df.selectExpr("order_key", f"explode({R.all_violations(rules)}) AS i")
+        hits = fx.dirty(spark, sf).selectExpr("order_key", f"explode({R.all_violations(rules)}) AS i")
         return hits.selectExpr("order_key", f"{R.rule_attribute(rules, 'field', 'i')} AS field_name")
     return run
 
@@ -110,11 +109,8 @@ def text_length_profile(spark, sf):
 
 def _business(rule: model.BusinessRule):
     def run(spark, sf):
-        df = R.prepare(fx.dirty(spark, sf), model.BANK_ACCOUNTS, model.Profile(), OPTIONS, ["order_key"])
-        types = dict.fromkeys(fx.ACCOUNT_COLUMNS, df.schema["account_number"].dataType)
-        seen = df.selectExpr(
-            "order_key", f"{rule.field} AS raw_value",
-            *R.business_values(types, model.BANK_ACCOUNTS, OPTIONS), f"{R.as_of_column(OPTIONS)} AS __as_of",
+        seen = R.business_frame(
+            fx.dirty(spark, sf), model.BANK_ACCOUNTS, options=OPTIONS, keep=["order_key", f"{rule.field} AS raw_value"]
         )
         return seen.filter(R.business_rule(rule).condition).select("order_key", "raw_value")
     return run
@@ -151,9 +147,7 @@ def rule_null_semantics(spark, sf):
     f"SELECT {', '.join(f'max(CASE WHEN {c} THEN 1 ELSE 0 END) AS rule_{f}' for f, c in O.BUSINESS.items())} FROM ({D}) a",
 )
 def probe_any_violation(spark, sf):
-    df = R.prepare(fx.dirty(spark, sf), model.BANK_ACCOUNTS, model.Profile(), OPTIONS)
-    types = dict.fromkeys(fx.ACCOUNT_COLUMNS, df.schema["account_number"].dataType)
-    seen = df.selectExpr(*R.business_values(types, model.BANK_ACCOUNTS, OPTIONS), f"{R.as_of_column(OPTIONS)} AS __as_of")
+    seen = R.business_frame(fx.dirty(spark, sf), model.BANK_ACCOUNTS, options=OPTIONS)
     return probes.any_violation(
         seen, {f"rule_{r.flag}": F.expr(R.business_rule(r).condition) for r in model.BANK_RULES}
     )
