@@ -36,6 +36,7 @@ JUDGED = T.StructType(
 
 # bounds the file index the driver holds for one scan
 MAX_FILES_PER_SCAN = 100_000
+CONCURRENT_SCANS = 4
 
 # Failures that belong to a file; anything else (lost executors, memory) must not become a verdict.
 READ_ERRORS = (
@@ -240,12 +241,14 @@ def judge_drops(
             half = len(group) // 2
             return judge(group[:half]) + judge(group[half:])
 
-    out = [
-        df
+    scans = [
+        group[start : start + MAX_FILES_PER_SCAN]
         for group in groups_of(drops, book).values()
         for start in range(0, len(group), MAX_FILES_PER_SCAN)
-        for df in judge(group[start : start + MAX_FILES_PER_SCAN])
     ]
+    # independent jobs: the last tasks of one scan overlap with the next
+    with ThreadPoolExecutor(CONCURRENT_SCANS) as pool:
+        out = [df for judged in pool.map(judge, scans) for df in judged]
     unconfigured = [d for d in drops if d.profile is None]
     if unconfigured or not out:
         out.append(_fixed(spark, unconfigured, "99", model.MSG_UNCONFIGURED))

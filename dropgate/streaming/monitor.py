@@ -7,6 +7,7 @@ contents are read inside the batch by one scan per group of like files.
 
 from __future__ import annotations
 
+import itertools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -70,7 +71,7 @@ def monitor(
 
     def judge_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        group = iter(range(1 << 30))
+        group = itertools.count()
         judged = judge.judge_landing(
             session,
             batch.withColumn("file_name", name_of(F.col("path"))),

@@ -32,7 +32,8 @@ def test_decimal(spark):
 
 
 def test_dates(spark):
-    values = ["2020-02-29", "2020-02-30", "2020-1-5", "0000-01-01", "2020-01-05x", " 2020-01-05", "+2020-01-05", "05/01/2020", None]
+    values = ["2020-02-29", "2020-02-30", "2020-1-5", "0000-01-01", "2020-01-05x", " 2020-01-05", "+2020-01-05", "05/01/2020", None,
+              "+12020-01-05", "12020-01-05", "-2020-01-05", "2020-01-05 ", "2020-01-05\n", "20200105", ""]
     fast = evaluate(spark, values, casts.date("c", "yyyy-MM-dd"))
     assert fast == evaluate(spark, values, "try_to_date(c, 'yyyy-MM-dd')")
     assert fast[0] == "2020-02-29" and fast[1] is None and fast[2] is None
@@ -42,10 +43,10 @@ def test_dates(spark):
 
 def test_timestamps(spark):
     values = ["2020-01-05 10:15:00", "2020-01-05 24:00:00", "2020-01-05 10:15:60", "2020-01-05", "2020-01-05T10:15:00",
-              "2020-01-05 10:15:00.5", "2020-13-05 10:15:00", None]
+              "2020-01-05 10:15:00.5", "2020-13-05 10:15:00", None, "+12020-01-05 10:15:00", " 2020-01-05 10:15:00", "2020-01-05 10:15:00\n"]
     fast = evaluate(spark, values, casts.timestamp("c", "yyyy-MM-dd HH:mm:ss"))
     assert fast == evaluate(spark, values, "try_to_timestamp(c, 'yyyy-MM-dd HH:mm:ss')")
-    assert [v is not None for v in fast] == [True] + [False] * 7
+    assert [v is not None for v in fast][:8] == [True] + [False] * 7
     assert evaluate(spark, ["1704067200000", "x", "1.5"], casts.timestamp("c", "epoch_millis")) == ["2024-01-01 00:00:00", None, None]
 
 
