@@ -19,10 +19,12 @@ from ..sources.tables import local_frame
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a local temporary folder stands in.
+    Where that is unset, a temporary folder stands in on a single machine; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="dropgate-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -43,12 +45,14 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", header: bool = Tru
 def write_partitioned(df: DataFrame, path: str, partition_columns: str | None, mode: str = "append") -> None:
     """Write Parquet, laid out by a profile's comma-separated ``partition_columns``.
 
-    No repartition by those columns: a partition holding most rows would land in one task.  Each task
-    writes what it has; compact later where small files matter.
+    Rows are rebalanced by those columns: small partitions share a task and one holding most rows is
+    split over several, so neither a file per task and partition nor one huge task results.
     """
     columns = [c.strip() for c in (partition_columns or "").split(",") if c.strip()]
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*columns) if columns else writer).parquet(path)
+    if columns:
+        df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 class VerdictLog:
