@@ -63,8 +63,13 @@ def page(log: DataFrame, size: int, after: tuple[Any, int] | None = None) -> Dat
 
 
 def with_local_time(log: DataFrame, zone: str = "Europe/Madrid") -> DataFrame:
-    """``local_time``: the UTC time of the row as dd/MM/yyyy, HH:mm:ss in a zone."""
-    local = F.from_utc_timestamp(F.col("logged_at").cast("timestamp"), zone)
+    """``local_time``: the row's time as dd/MM/yyyy, HH:mm:ss in a zone.
+
+    Times without zone are UTC; the session's own zone does not matter.
+    """
+    without_zone = isinstance(log.schema["logged_at"].dataType, T.TimestampNTZType)
+    source = F.lit("UTC") if without_zone else F.current_timezone()
+    local = F.convert_timezone(source, F.lit(zone), F.col("logged_at").cast("timestamp_ntz"))
     return log.withColumn("local_time", F.date_format(local, "dd/MM/yyyy, HH:mm:ss"))
 
 

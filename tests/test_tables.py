@@ -129,6 +129,17 @@ def test_log_queries(spark):
     assert sorted(r.trigger_id for r in L.negative_rows(l).collect()) == [2, 3]
 
 
+def test_local_time_in_any_session_zone(spark):
+    l = log(spark).filter("id = 1")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        instant = L.with_local_time(l.withColumn("logged_at", F.timestamp_seconds(F.lit(1719792000))))
+        plain = L.with_local_time(l.withColumn("logged_at", F.expr("TIMESTAMP_NTZ'2024-07-01 00:00:00'")))
+        assert {r.local_time for d in (instant, plain) for r in d.collect()} == {"01/07/2024, 02:00:00"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_log_with_profile(spark):
     got = L.with_profile(log(spark), config(spark))
     assert sorted((r.id, r.cfg_file_name) for r in got.collect()) == [(1, "a.csv"), (2, "a.csv")]
