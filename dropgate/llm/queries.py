@@ -22,7 +22,7 @@ WITH RECURSIVE d AS (
         '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
 n AS (SELECT doc_id, len(g) AS n, g FROM s),
 x AS (SELECT doc_id, n, unnest(g) AS g FROM n),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
