@@ -5,32 +5,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropgate.llm import jaccard_join
+from dropgate.llm import decontaminate, jaccard_join, packing, quality_rules, secret_scan
 from dropgate.llm.common import DOCUMENT_COLUMNS, clear_scratch, scratch_mark, store, table
 
 #: near duplicates: word n-grams and per cent of Jaccard similarity
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail no quality rule stay; rows with the same id and text are judged alike."""
+    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.where("kept").select(*DOCUMENT_COLUMNS)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates stays; one row of rows with equal ids."""
-    found = jaccard_join.groups(docs, NEAR_WORDS, NEAR_PERCENT)
-    kept = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").select(*DOCUMENT_COLUMNS)
+    """Of each group of near duplicates one row stays, that with the smallest doc_id; documents without words all stay."""
+    return jaccard_join.first_of_each(docs.select(*DOCUMENT_COLUMNS), NEAR_WORDS, NEAR_PERCENT)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*DOCUMENT_COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts give way to a mark; n_chars follows."""
+    clean = secret_scan.redact(docs.select(*DOCUMENT_COLUMNS))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every document lies in the sequences."""
+    return packing.packed(packing.by_words(docs), "n_tokens")
 
 
-STAGES = [("n-gram Jaccard join", deduplicate)]
+STAGES = [
+    ("quality rules", filter_quality),
+    ("n-gram Jaccard join", deduplicate),
+    ("benchmark decontamination", remove_benchmark),
+    ("secret scans", redact_secrets),
+    ("best-fit packing", pack),
+]
 
-#: iterative stages have no SQL; the tests hold the rows against a brute-force version
+#: connected components and packing have no SQL; the tests hold the rows against a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``; each one's scratch tables go once its result is written."""
+    """The stages applied to ``documents``; a stage's scratch tables go once its result is written."""
     docs = table(spark, sf_dir, "documents").select(*DOCUMENT_COLUMNS)
-    for at, (name, stage) in enumerate(STAGES):
+    for at, (_, stage) in enumerate(STAGES):
         mark = scratch_mark()
         out = stage(spark, docs, sf_dir)
         if at + 1 < len(STAGES):
             docs = store(out, f"stage{at}")
+            clear_scratch(spark, mark, keep=1)
     return out

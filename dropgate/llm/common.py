@@ -43,11 +43,13 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete scratch tables stored after ``since``; only when nothing lazy reads them any more."""
+def clear_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete scratch tables stored after ``since``, but the last ``keep``; only when nothing lazy reads them any more."""
     jvm = spark.sparkContext._jvm
-    while len(_scratch) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    gone = _scratch[since : len(_scratch) - keep]
+    del _scratch[since : len(_scratch) - keep]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

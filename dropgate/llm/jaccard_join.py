@@ -1,19 +1,21 @@
 """Set-similarity join on word n-grams by vertical partitioning.
 
-The global order of the n-grams is the order of their 64-bit hashes.  It is cut into fragments twice:
+The global order of the n-grams is the order of their 64-bit hashes, cut into fragments.
 
 * Candidates.  Two sets with Jaccard similarity >= t differ in at most D = floor(n (1 - t) / t) n-grams, n being the
   smaller size.  Cut into more than D non-empty fragments, the larger number stays untouched, so a linked pair
-  shares the content of some fragment.  Each set sends one signature per fragment: (size class, fragment, hash of the
+  shares the content of several fragments.  Each set has one signature per fragment: (size class, fragment, hash of the
   n-grams in it).  Frequent n-grams or passages make no group by themselves, as a fragment holds several n-grams.
-  A set with too few non-empty fragments also sends its prefix in the global order.
-* Overlaps.  A candidate pair is counted fragment by fragment (``FRAGMENTS`` ranges of the order); the partial
-  overlaps are summed per pair.
+  A set with too few non-empty fragments also has its prefix in the global order as a signature.  Of a set's signatures, the D + 1
+  shared by the fewest sets find every linked partner; fragments that no other set has count as differences.
+* Overlaps.  A candidate pair is counted fragment by fragment (ranges of the order with at most about ``WIDTH``
+  n-grams of a set); the partial overlaps are summed per pair.
 
-Groups of sets that share a signature are never expanded into all pairs.  Equal sets are one node from the start.  In
-each round some members of a group are pivots (1, 8, 64, ... of it, by hash) and are counted against members of
-other components; linked ones merge.  A group inside one component needs no more work.  The rounds end when no group
-spans two components or every member has been a pivot, so no link between components is lost: the result is exact.
+Groups of sets that share a signature are never expanded into all pairs.  Equal sets are one node from the start, and a task sends
+a signature once however many of its sets have it.  In each round some members of a group are pivots (the most central one, then
+1, 8, 64, ... of it, by hash) and are counted against members of other components; linked ones merge.  A group inside one
+component needs no more work.  The rounds end when no group spans two components or every member has been a pivot, so no
+link between components is lost: the result is exact.
 
 Defined results: null or empty text, or text without words: n_shingles 0, linked with nothing, component of its own.
 Fewer words than n: the whole sequence is the one n-gram.  Repeated rows and ids are linked like any others; a null id
@@ -25,14 +27,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_batch, list_array, mix, semi_join, store
+from .common import BROADCAST_ROWS, by_batch, list_array, mix, semi_join, store
 from .components import components
 
-#: ranges of the global order in which overlaps are counted
-FRAGMENTS = 4
+#: n-grams of a set in a range of the global order whose overlap is counted at once, about (a power of two)
+WIDTH = 4096
 #: pivots of a group in the rounds: 1, 8, 64, ... times as many
 GROWTH = 8
 
@@ -65,145 +67,232 @@ def size_classes(n: int, percent: int) -> list[int]:
     return [own, own - 1] if own and n * percent < 100 * (1 << own) else [own]
 
 
-def _tag(c: int, kind: int = 0) -> np.uint64:
-    return np.uint64(((2 * c + kind + 1) * 0x165667B19E3779F9) & 0xFFFFFFFFFFFFFFFF)
+def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, int]:
+    """Signatures of a sorted set of hashes in a size class, how many fragments they stand for, and a bit mask of these.
 
-
-def signatures(s: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a sorted set of hashes: linked sets share at least one."""
-    n, out = len(s), []
-    high = s >> np.uint64(32)
-    for c in size_classes(n, percent):
-        most = differences(min((2 << c) - 1, n), percent)
-        k = differences((2 << c) - 1, percent)
-        k += 2 + k // 8
-        cut = (high * np.uint64(k)) >> np.uint64(32)  # k ranges of the global order
-        first = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
-        sums = np.add.reduceat(mix(s ^ _M2), first)
-        sizes = np.diff(np.r_[first, n]).astype(np.uint64)
-        out.append(mix(sums + mix(cut[first] + sizes * _M1 + _tag(c))))
-        if len(first) <= most:  # too few fragments to be sure: the prefix is
-            out.append(mix(s[: most + 1] + _tag(c, 1)))
-    return np.unique(np.concatenate(out)) if len(out) > 1 else out[0]
+    A signature is 42 bits of hash, the fragment modulo 64, the class, and 1 for a prefix.
+    """
+    k = differences((2 << c) - 1, percent)
+    k += 2 + k // 8
+    cut = ((s >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)  # k ranges of the global order
+    first = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
+    at = cut[first]
+    sizes = np.diff(np.r_[first, len(s)]).astype(np.uint64)
+    h = mix(np.add.reduceat(mix(s ^ _M2), first) + mix(at + sizes * _M1))
+    low = np.uint64(c << 1)
+    sigs = ((h >> np.uint64(22)) << np.uint64(13)) | ((at & np.uint64(63)) << np.uint64(7)) | low
+    mask = int(np.bitwise_or.reduce(np.uint64(1) << (at & np.uint64(63))))
+    most = differences(min((2 << c) - 1, len(s)), percent)
+    if len(first) <= most:  # too few fragments to be sure: the prefix is
+        prefix = mix(s[: most + 1])
+        sigs = np.r_[sigs, ((prefix >> np.uint64(22)) << np.uint64(13)) | low | np.uint64(1)]
+    return sigs, len(first), mask
 
 
 def _set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) >> 1
 
 
-_SIGNED = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("sigs", pa.list_(pa.int64()))])
-_TOKENS = pa.schema([("set_id", pa.int64()), ("fragment", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+def _signed64(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """One row per document: id, key of the text, its set, size and signatures (once for each set in a task)."""
+_SIGNED = pa.schema([
+    ("id", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64()),
+    ("classes", pa.list_(pa.struct([("class", pa.int32()), ("m", pa.int32()), ("mask", pa.int64())]))),
+    ("sig", pa.int64()), ("lead", pa.bool_()), ("many", pa.bool_()),
+])
+_DDL = "id long, key long, node long, n long, classes array<struct<class:int,m:int,mask:long>>, sig long, lead boolean, many boolean"
+_TOKENS = pa.schema([("node", pa.int64()), ("class", pa.int32()), ("fragment", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
-    def make():
-        seen: set[int] = set()
 
-        def fn(c):
-            ids, sizes, sigs = [], [], []
-            for s in (shingles(t, n) for t in c["text"]):
-                sid = _set_id(s) if len(s) else None
-                ids.append(sid)
-                sizes.append(len(s))
-                sigs.append(signatures(s, percent) if len(s) and sid not in seen else np.empty(0, np.uint64))
-                seen.add(sid)
-            flat = np.concatenate(sigs).view(np.int64)
-            return {"id": c["id"], "key": c["key"], "set_id": ids, "n": sizes, "sigs": list_array(flat, np.array([len(x) for x in sigs]), pa.int64())}
-
-        return fn
-
-    return docs.select("id", "key", "text").mapInArrow(by_batch(make, _SIGNED), "id long, key long, set_id long, n long, sigs array<long>")
+def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Two kinds of rows: one per document (id, key, node, n, classes), and one per signature and set of a task (sig, node).
 
+    Of the sets of a task with the same signature, the first is its ``lead``; ``many`` says that there are others.
+    """
 
-def _tokens(docs: DataFrame, n: int) -> DataFrame:
-    """(set_id, fragment, tokens) of the texts given, fragments in the global order."""
-    cuts = np.array([(i << 64) // FRAGMENTS for i in range(1, FRAGMENTS)], np.uint64)
+    def run(batches):
+        seen: set[int] = set()
+        sigs: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                c = batch.slice(at, 512).to_pydict()
+                ids, sizes, classes = [], [], []
+                for s in (shingles(t, n) for t in c["text"]):
+                    node, mine = None, None
+                    if len(s):
+                        node = _set_id(s)
+                        if node not in seen:
+                            seen.add(node)
+                            mine = []
+                            for k in size_classes(len(s), percent):
+                                found, m, mask = signatures(s, k, percent)
+                                sigs.append(found)
+                                nodes.append(np.full(len(found), node, np.int64))
+                                mine.append({"class": k, "m": m, "mask": _signed64(mask)})
+                    ids.append(node)
+                    sizes.append(len(s))
+                    classes.append(mine)
+                none = pa.nulls(len(ids))
+                columns = [pa.array(v, f.type) for v, f in zip((c["id"], c["key"], ids, sizes, classes), _SIGNED)]
+                yield pa.RecordBatch.from_arrays([*columns, *(none.cast(f.type) for f in list(_SIGNED)[5:])], schema=_SIGNED)
+        if not sigs:
+            return
+        sig, node = np.concatenate(sigs).view(np.int64), np.concatenate(nodes)
+        del sigs, nodes
+        order = np.lexsort((node, sig))
+        sig, node = sig[order], node[order]
+        fresh = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
+        sig, node = sig[fresh], node[fresh]
+        lead = np.r_[True, sig[1:] != sig[:-1]]
+        many = ~(lead & np.r_[lead[1:], True])
+        for at in range(0, len(sig), 65536):
+            part = slice(at, at + 65536)
+            rows = len(sig[part])
+            none = [pa.nulls(rows).cast(f.type) for f in list(_SIGNED)[:5]]
+            none[2] = pa.array(node[part])
+            yield pa.RecordBatch.from_arrays([*none, pa.array(sig[part]), pa.array(lead[part]), pa.array(many[part])], schema=_SIGNED)
+
+    return docs.select("id", "key", "text").mapInArrow(run, _DDL)
+
+
+def ranges(c: int) -> int:
+    """Into how many ranges of the global order a set of class c is cut for counting."""
+    return max(1, (1 << c) // (WIDTH // 2))
+
+
+def _tokens(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, class, fragment, tokens) of the texts given, for each class in which the set meets others."""
 
     def make():
         seen: set[int] = set()
 
         def fn(c):
-            ids, fragments, parts = [], [], []
+            ids, classes, fragments, parts = [], [], [], []
             for s in (shingles(t, n) for t in c["text"]):
-                if not len(s) or (sid := _set_id(s)) in seen:
+                if not len(s) or (node := _set_id(s)) in seen:
                     continue
-                seen.add(sid)
-                for i, part in enumerate(np.split(s, np.searchsorted(s, cuts))):
-                    if len(part):
-                        ids.append(sid)
-                        fragments.append(i)
-                        parts.append(part)
+                seen.add(node)
+                for k in size_classes(len(s), percent):
+                    f = ranges(k)
+                    cuts = np.array([(i << 64) // f for i in range(1, f)], np.uint64)
+                    for i, part in enumerate(np.split(s, np.searchsorted(s, cuts))):
+                        if len(part):
+                            ids.append(node)
+                            classes.append(k)
+                            fragments.append(i)
+                            parts.append(part)
             flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
-            return {"set_id": ids, "fragment": fragments, "tokens": list_array(flat, np.array([len(x) for x in parts], np.int64), pa.int64())}
+            tokens = list_array(flat, np.array([len(x) for x in parts], np.int64), pa.int64())
+            return {"node": ids, "class": classes, "fragment": fragments, "tokens": tokens}
 
         return fn
 
-    found = docs.select("text").mapInArrow(by_batch(make, _TOKENS), "set_id long, fragment int, tokens array<long>")
-    return found.dropDuplicates(["set_id", "fragment"])
+    found = docs.select("text").mapInArrow(by_batch(make, _TOKENS), "node long, class int, fragment int, tokens array<long>")
+    return found.dropDuplicates(["node", "class", "fragment"])
 
 
 def overlaps(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Pairs with the sum of their partial overlaps, counted fragment by fragment."""
-    a = tokens.select(F.col("set_id").alias("a"), "fragment", F.col("tokens").alias("of_a"))
-    b = tokens.select(F.col("set_id").alias("b"), "fragment", F.col("tokens").alias("of_b"))
-    partial = pairs.join(a, "a").join(b, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).alias("part"))
-    return partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
+    """Pairs (p, x, class) with the sum of their partial overlaps, counted fragment by fragment.
+
+    The n-grams of x travel to those of p, once for each pair; p's are there once.
+    """
+    few = pairs.count() <= BROADCAST_ROWS
+    mine = tokens.select(F.col("node").alias("x"), "class", "fragment", F.col("tokens").alias("of_x"))
+    sent = mine.join(F.broadcast(pairs) if few else pairs, ["x", "class"])
+    pivots = semi_join(tokens.withColumnRenamed("node", "p"), pairs.select("p").distinct(), "p").withColumnRenamed("tokens", "of_p")
+    partial = sent.join(pivots, ["p", "class", "fragment"]).select("p", "x", "n_p", "n_x", F.size(F.array_intersect("of_p", "of_x")).alias("part"))
+    return partial.groupBy("p", "x", "n_p", "n_x").agg(F.sum("part").alias("overlap"))
 
 
 def linked(overlap: DataFrame, percent: int) -> DataFrame:
-    return overlap.where(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
+    return overlap.where(F.col("overlap") * 100 >= (F.col("n_p") + F.col("n_x") - F.col("overlap")) * percent)
+
+
+def _class(sig: Column) -> Column:
+    return F.shiftright(sig, 1).bitwiseAND(63).cast("int")
 
 
-def _pairs(active: DataFrame, low: int, high: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of the pivots of this round with members of other components that share a signature."""
-    # members come in a fixed order by hash; those before ``low`` have been pivots
-    place = F.pmod(F.xxhash64("set_id"), F.lit(1 << 40)) * F.col("size") / F.lit(float(1 << 40))
-    ahead = active.select("sig", "set_id", "n", "comp", place.alias("place")).where(F.col("place") >= low)
-    p = ahead.where(F.col("place") < high).select("sig", F.col("set_id").alias("p"), F.col("n").alias("n_p"), F.col("comp").alias("comp_p"))
-    met = p.join(ahead, "sig").where((F.col("comp_p") != F.col("comp")) & (F.least("n", "n_p") * 100 >= F.greatest("n", "n_p") * percent))
-    swap = F.col("p") > F.col("set_id")
-    return met.select(
-        F.least("p", "set_id").alias("a"), F.greatest("p", "set_id").alias("b"),
-        F.when(swap, F.col("n")).otherwise(F.col("n_p")).alias("n_a"), F.when(swap, F.col("n_p")).otherwise(F.col("n")).alias("n_b"),
-    ).distinct()
+def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The signatures by which a set is found: (sig, node, n, class, alone, central).
+
+    ``alone`` masks the fragments no other set has, ``central`` tells how many sets share the others.
+    """
+    sizes = shared.groupBy("sig").agg(F.count("*").alias("size"))
+    bit = F.expr("shiftleft(1L, cast(shiftright(sig, 7) & 63 as int))")
+    rows = shared.join(sizes, "sig").withColumns({"class": _class(F.col("sig")), "prefix": F.col("sig").bitwiseAND(1) == 1, "bit": bit})
+    of_set = Window.partitionBy("node", "class")
+    rows = rows.withColumns({
+        "place": F.row_number().over(of_set.orderBy("prefix", "size", "sig")),
+        "met": F.count(F.when(~F.col("prefix"), 1)).over(of_set),
+        "shared_mask": F.bit_or(F.when(F.col("prefix"), F.lit(0).cast("long")).otherwise(F.col("bit"))).over(of_set),
+        "central": F.sum("size").over(of_set),
+    }).join(nodes, ["node", "class"])
+    most = F.expr(f"least(n, shiftleft(2L, class) - 1) * {100 - percent} div {percent}")
+    found = F.col("prefix") | (F.col("place") <= most + 1 - (F.col("m") - F.col("met")))
+    alone = F.col("mask").bitwiseAND(F.bitwise_not(F.col("shared_mask")))
+    return rows.where(found).select("sig", "node", "n", "class", alone.alias("alone"), "central", "size")
+
+
+def _pairs(pivots: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs (p, x) of pivots and members of other components that share a signature and may be linked."""
+    p = pivots.select("sig", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "comp", "alone")])
+    least, greatest = F.least("n", "n_p"), F.greatest("n", "n_p")
+    apart = F.bit_count(F.col("alone").bitwiseOR(F.col("alone_p")))
+    met = p.join(others, "sig").where(
+        (F.col("comp_p") != F.col("comp")) & (least * 100 >= greatest * percent) & (apart * percent <= least * (100 - percent))
+        & (~F.col("pivot") | (F.col("node_p") < F.col("node")))
+    )
+    # several signatures can lead to a pair, in two classes; the smaller set's own class is common to both
+    common = F.length(F.bin(least)) - 1
+    return met.select(F.col("node_p").alias("p"), F.col("node").alias("x"), "n_p", F.col("n").alias("n_x"), common.alias("class")).distinct()
 
 
 def similar_sets(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """Rows of ``docs`` (id long, text string) as (id, n_shingles, component).
+    """Rows of ``docs`` (id long, text string) as (id, key, n_shingles, component); key is the text's hash.
 
     Rows with equal sets, or sets chained by links, have one component: the smallest set id in it, null without words.
     """
     docs = docs.select("id", "text", F.xxhash64("text").alias("key"))
     signed = store(_signed(docs, n, percent), "signed")
-    members = signed.select("id", "key", "set_id", "n")
-    sigs = signed.where(F.size("sigs") > 0).select("set_id", "n", F.explode("sigs").alias("sig"))
-    met = sigs.groupBy("sig").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least <> most").select("sig")
-    shared = sigs.join(met, "sig").distinct()
-    shared = store(shared, "shared")
-    sizes = shared.groupBy("sig").agg(F.count("*").alias("size"))
-    wanted = store(shared.select("set_id").distinct(), "wanted")
-    keys = members.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("key").alias("key")).select("key")
-    tokens = store(_tokens(semi_join(docs, store(keys, "keys"), "key"), n), "tokens")
-    comps = wanted.select("set_id", F.col("set_id").alias("comp"))
-    low = 0
+    members = signed.where("sig is null").select("id", "key", "node", "n")
+    sigs = signed.where("sig is not null")
+    group = Window.partitionBy("sig")
+    leads = sigs.where("lead").select("sig", "node", "many").withColumns({"least": F.min("node").over(group), "most": F.max("node").over(group)})
+    leads = leads.where("many or least <> most").select("sig", "node")
+    shared = store(leads.unionByName(sigs.where("not lead").select("sig", "node")).distinct(), "shared")
+    wanted = store(shared.select("node").distinct(), "wanted")
+    nodes = signed.where("classes is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes"))
+    nodes = nodes.select("node", "n", F.explode("classes").alias("c")).select("node", "n", "c.*")
+    index = store(_index(shared, nodes, percent), "index")
+    found = store(index.select("node").distinct(), "found")
+    keys = store(members.join(found, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key"), "keys")
+    tokens = store(_tokens(semi_join(docs, keys, "key"), n, percent), "tokens")
+    comps = found.select("node", F.col("node").alias("comp"))
+    # members of a group come in a fixed order by hash; those before ``low`` have been pivots
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * F.col("size") / F.lit(float(1 << 40))
+    low, high = 0, 0
     while True:
-        labelled = shared.join(comps, "set_id")
-        split = labelled.groupBy("sig").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("sig")
-        active = store(labelled.join(split.join(sizes, "sig"), "sig"), "active")
+        labelled = index.join(comps, "node")
+        split = labelled.groupBy("sig").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.max_by("node", F.struct("central", "node")).alias("centre"))
+        active = store(labelled.join(split.where("least <> most").select("sig", "centre"), "sig").withColumn("place", place), "active")
         largest = active.agg(F.max("size")).first()[0]
         if largest is None or low >= largest:
             break
-        high = low * GROWTH + 1
-        links = linked(overlaps(_pairs(active, low, high, percent), tokens), percent).select("a", "b")
-        of = [comps.select(F.col("set_id").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab"]
-        links = store(links.join(of[0], "a").join(of[1], "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "links")
-        if not links.isEmpty():
-            to = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-            comps = store(comps.join(to, "comp", "left").select("set_id", F.coalesce("to", "comp").alias("comp")), "comps")
-        low = high
-    return members.join(comps, "set_id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("comp", "set_id").alias("component"))
+        active = active.where(F.col("place") >= low).withColumn("pivot", F.col("place") < high if high else F.col("node") == F.col("centre"))
+        pairs = store(_pairs(active.where("pivot"), active, percent), "pairs")
+        if not pairs.isEmpty():
+            links = linked(overlaps(pairs, tokens), percent)
+            of = [comps.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "px"]
+            links = links.join(of[0], "p").join(of[1], "x").select(F.col("comp_p").alias("a"), F.col("comp_x").alias("b"))
+            links = store(links.distinct(), "links")
+            if not links.isEmpty():
+                to = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+                comps = store(comps.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+        low, high = high, high * GROWTH + 1
+    return members.join(comps, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.coalesce("comp", "node").alias("component"))
 
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -213,3 +302,26 @@ def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     return found.join(least, "component", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("least", "id").alias("component_id")
     )
+
+
+def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one document of each group: the smallest doc_id, of that the smallest text hash.
+
+    Documents without words all stay.  Texts are moved only where more rows go than may be sent to every executor.
+    """
+    id_, key = F.col("doc_id").cast("long"), F.xxhash64("text")
+    found = store(similar_sets(docs.select(id_.alias("id"), "text"), n, percent), "found")
+    linked_ = found.where("component is not null")
+    best = linked_.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+    rows = linked_.groupBy("component", "id", "key").agg(F.count("*").alias("rows")).join(best, "component")
+    is_best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
+    gone = store(rows.where(~is_best).select("id", "key"), "gone")
+    again = store(rows.where(is_best & (F.col("rows") > 1)).select("id", "key"), "again")
+
+    def of(rows_: DataFrame, how: str) -> DataFrame:
+        few = rows_.count() <= BROADCAST_ROWS
+        r = F.broadcast(rows_) if few else rows_
+        return docs.join(r, (key == r["key"]) & id_.eqNullSafe(r["id"]), how)
+
+    kept = of(store(gone.unionByName(again), "changed"), "left_anti")
+    return kept.unionByName(of(again, "left_semi").dropDuplicates(["doc_id"]))

@@ -4,8 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import decontaminate, html_extract, jaccard_join, language_id, packing, pii, quality_rules, secret_scan, token_counts, warc
 from .common import table
+from .sql import ORACLES  # noqa: F401
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or re-parameterised, with the item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four of five folds."""
+    return language_id.by_fold(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and risk-controlled rules on every document."""
+    return quality_rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,21 +34,35 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir, "documents"), 3, 90)
 
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard_join,)}
-
-ORACLES = {
-    "op5_ngram_jaccard_join": r"""
-WITH RECURSIVE d AS (
-    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (
-    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
-n AS (SELECT doc_id, len(g) AS n, g FROM s),
-x AS (SELECT doc_id, n, unnest(g) AS g FROM n),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
-    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
-r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.doc_id)
-SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n
-""",
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a sequence of 512 to 8192 words and separators."""
+    return packing.packed(packing.by_words(table(spark, sf_dir, "documents")), "n_tokens")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after redacting mail addresses and long numbers."""
+    return token_counts.counts(token_counts.redactions(table(spark, sf_dir, "documents"))).drop("tree_tokens", "tree_chars")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination, op2_warc, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_best_fit_packing,
+        op7_html_extraction, op8_secret_scan, op9_token_counts, op10_pii,
+    )
 }
