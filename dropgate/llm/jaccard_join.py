@@ -13,7 +13,7 @@ The global order of the n-grams is the order of their 64-bit hashes, cut into fr
 
 Groups of sets that share a signature are never expanded into all pairs.  Equal sets are one node from the start, and a task sends
 a signature once however many of its sets have it.  In each round some members of a group are pivots (the most central one, then
-1, 8, 64, ... of it, by hash) and are counted against members of other components; linked ones merge.  A group inside one
+8, 64, ... more, by hash) and are counted against members of other components; linked ones merge.  A group inside one
 component needs no more work.  The rounds end when no group spans two components or every member has been a pivot, so no
 link between components is lost: the result is exact.
 
@@ -35,7 +35,7 @@ from .components import components
 
 #: n-grams of a set in a range of the global order whose overlap is counted at once, about (a power of two)
 WIDTH = 4096
-#: pivots of a group in the rounds: 1, 8, 64, ... times as many
+#: members of a group that have been pivots after the rounds: the central one, about 8, 72, ...: that many times as many
 GROWTH = 8
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -291,7 +291,7 @@ def similar_sets(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             if not links.isEmpty():
                 to = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
                 comps = store(comps.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
-        low, high = high, high * GROWTH + 1
+        low, high = high, (high + 1) * GROWTH
     return members.join(comps, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.coalesce("comp", "node").alias("component"))
 
 

@@ -82,10 +82,10 @@ def _card(s: Column) -> Column:
 
 def base_spans(text: Column) -> tuple[Column, Column]:
     """(mail, IP and phone spans, digit groups of 9 to 19 digits: those that pass the card check are base spans too)."""
-    ip = F.filter(S.find(text, IP, "ip", 1, needs="."), lambda s: _octets(s["match"]))
-    phone = F.filter(S.find(text, PHONE, "phone", 3, needs="+"), lambda s: F.length(_digits(s["match"])).between(10, 15))
+    ip = F.filter(S.find(text, IP, "ip", 1, needs=text.contains(".")), lambda s: _octets(s["match"]))
+    phone = F.filter(S.find(text, PHONE, "phone", 3, needs=text.contains("+")), lambda s: F.length(_digits(s["match"])).between(10, 15))
     numbers = F.filter(S.find(text, CARD, "card", 2), lambda s: F.length(_digits(s["match"])).between(9, 19))
-    return F.concat(S.find(text, EMAIL, "email", 0, needs="@"), ip, phone), numbers
+    return F.concat(S.find(text, EMAIL, "email", 0, needs=text.contains("@")), ip, phone), numbers
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -137,7 +137,7 @@ def scan(docs: DataFrame) -> DataFrame:
     found = found.withColumn("base", F.concat("fixed", F.filter("numbers", lambda s: _card(s["match"]))))
     t = F.col("text")
     loose = F.concat(
-        S.find(t, DISGUISED, "disguised", 4, needs="at"), S.find(t, LOCAL, "local", 5), S.find(t, NATIONAL, "national", 6, needs="-"), S.find(t, ACCOUNT, "account", 7),
+        S.find(t, DISGUISED, "disguised", 4, needs=t.contains("(at)") | t.contains("[at]") | t.contains(" at ")), S.find(t, LOCAL, "local", 5), S.find(t, NATIONAL, "national", 6, needs=t.contains("-")), S.find(t, ACCOUNT, "account", 7),
         F.transform(F.filter("numbers", lambda s: ~_card(s["match"]) & (F.length(_digits(s["match"])) >= 12)), lambda s: s.withField("kind", F.lit("digits")).withField("rank", F.lit(8))),
     )
     free = F.filter(loose, lambda s: ~S.inside(s, F.col("base")))

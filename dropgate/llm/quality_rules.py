@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, words
+from .common import let, store, words
 
 #: share of good documents of a stratum that the rules together may reject, and the probability of being wrong on it
 RISK, ERROR = 0.04, 0.05
@@ -39,8 +39,6 @@ def _repeat_words(w: Column) -> Column:
     """Words in 8-word windows that occur at least twice in the text."""
     n = F.size(w)
     hashes = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
-    # equal windows are neighbours after sorting; positions of all but the singles, in order
-    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def marked(s: Column) -> Column:
         same = F.transform(s, lambda x, j: F.when((F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"]), x["i"]))
@@ -52,12 +50,13 @@ def _repeat_words(w: Column) -> Column:
             F.lit(0).cast("long"), lambda a, x: a + x,
         )
 
-    def once(x: Column, use) -> Column:
-        return F.get(F.transform(F.array(x), use), F.lit(0))
+    def counted(h: Column) -> Column:
+        # equal windows are neighbours after sorting; positions of all but the singles, in order
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        repeated = let(placed, lambda s: let(marked(s), covered))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), repeated).otherwise(F.lit(0).cast("long"))
 
-    repeated = once(placed, lambda s: once(marked(s), covered))
-    several = F.size(F.array_distinct(hashes)) < n - (WINDOW - 1)
-    return F.when((n > WINDOW) & several, repeated).otherwise(F.lit(0).cast("long"))
+    return F.when(n > WINDOW, let(hashes, counted)).otherwise(F.lit(0).cast("long"))
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -98,18 +97,20 @@ def _log_gamma(x: Column) -> Column:
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """P(X <= k) of a binomial(n, p) for k < n: the term at k times a sum of falling ratios, from k down."""
-    kd, nd, odds = k.cast("double"), n.cast("double"), (1 - p) / p
-    term = F.exp(_log_gamma(nd + 1) - _log_gamma(kd + 1) - _log_gamma(nd - kd + 1) + kd * math.log(p) + (nd - kd) * math.log1p(-p))
-    # state: sum of ratios so far, the last ratio; i runs over k, k-1, ..., 1
-    state = F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("r"))
-
-    def step(a: Column, i: Column) -> Column:
-        at = kd - i.cast("double") + 1
-        ratio = a["r"] * at / (nd - at + 1) * odds
-        return F.struct((a["s"] + ratio).alias("s"), ratio.alias("r"))
-
-    steps = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>"))
-    return F.least(F.lit(1.0), term * F.aggregate(steps, state, step)["s"])
+    odds = (1 - p) / p
+
+    def of(x: Column) -> Column:
+        term = F.exp(_log_gamma(x["n"] + 1) - _log_gamma(x["k"] + 1) - _log_gamma(x["n"] - x["k"] + 1) + x["k"] * math.log(p) + (x["n"] - x["k"]) * math.log1p(-p))
+
+        def step(a: Column, i: Column) -> Column:
+            ratio = a["r"] * (x["k"] - i + 1) / (x["n"] - x["k"] + i) * odds
+            return F.struct((a["s"] + ratio).alias("s"), ratio.alias("r"))
+
+        # state: sum of the ratios so far, the last ratio
+        steps = F.when(x["k"] > 0, F.sequence(F.lit(1).cast("long"), x["k"].cast("long"))).otherwise(F.array().cast("array<long>"))
+        return F.least(F.lit(1.0), term * F.aggregate(steps, F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("r")), step)["s"])
+
+    return let(F.struct(k.cast("double").alias("k"), n.cast("double").alias("n")), of)
 
 
 def thresholds(judged: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:

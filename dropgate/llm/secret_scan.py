@@ -29,8 +29,8 @@ from .quality_rules import binomial_tail
 #: base patterns, in the order of their rank (fixed values)
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
-HEX = "[0-9a-f]{24,}"
-TOKEN = "[A-Za-z0-9+/_-]{20,}"
+HEX = "(?<![0-9a-f])[0-9a-f]{24,}+"
+TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 
 #: alphabets from the smallest to the largest; the first that holds a token is its encoding
 ALPHABETS = (
@@ -50,8 +50,9 @@ LENGTHS, BIN, BINS = (20, 28, 40, 64), 0.25, 160
 
 
 def base_spans(text: Column) -> Column:
-    assign = F.filter(S.find(text, ASSIGN, "assign", 0, 2), lambda s: F.length(s["part"]) >= 6)
-    return F.concat(assign, S.find(text, ACCESS, "access", 1, needs="AKIA"), S.find(text, HEX, "hex", 2))
+    named = S.let(F.lower(text), lambda t: t.contains("passw") | t.contains("secret") | t.contains("token") | t.contains("api"))
+    assign = F.filter(S.find(text, ASSIGN, "assign", 0, 2, named), lambda s: F.length(s["part"]) >= 6)
+    return F.concat(assign, S.find(text, ACCESS, "access", 1, needs=text.contains("AKIA")), S.find(text, HEX, "hex", 2))
 
 
 def _held(token: Column, alphabet: str) -> Column:
@@ -65,26 +66,31 @@ def battery(token: Column) -> Column:
         size = len(alphabet)
         codes = F.transform(F.array_remove(F.split(token, ""), ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
 
-        def tests(x: Column) -> Column:
+        middle, centre, var = size / 2, (size - 1) / 2, (size * size - 1) / 12
+
+        def measured(x: Column) -> Column:
             n = F.size(x).cast("double")
             chi = F.lit(0.0)
             for g in range(SLICES):
                 low, high = -(-g * size // SLICES), -(-(g + 1) * size // SLICES)
-                expected = n * ((high - low) / size)
                 seen = F.size(F.filter(x, lambda v: (v >= low) & (v < high))).cast("double")
-                chi = chi + (seen - expected) * (seen - expected) / expected
-            middle = size / 2
-            ups = F.size(F.filter(x, lambda v: v >= middle)).cast("double")
-            downs = n - ups
-            runs = 1 + F.size(F.filter(F.transform(x, lambda v, i: (v >= middle) != (F.get(x, i - 1) >= middle)), lambda b: b)).cast("double")
-            mean = 1 + 2 * ups * downs / n
-            spread = (mean - 1) * (mean - 2) / (n - 1)
-            runs_z2 = F.when(spread > 0, (runs - mean) * (runs - mean) / spread).otherwise(n)
-            centre, var = (size - 1) / 2, (size * size - 1) / 12
+                chi = chi + seen * seen * (size / (high - low))
             lag = F.aggregate(F.transform(x, lambda v, i: (v - centre) * (F.coalesce(F.get(x, i - 1), F.lit(centre)) - centre)), F.lit(0.0), lambda a, v: a + v)
-            serial_z2 = lag * lag / (var * var * (n - 1))
-            half = (chi + runs_z2 + serial_z2) / 2
-            return F.struct(F.lit(name).alias("encoding"), (F.exp(-half) * (1 + half + half * half / 2)).alias("random_p"))
+            runs = F.size(F.filter(F.transform(x, lambda v, i: (v >= middle) != (F.get(x, i - 1) >= middle)), lambda b: b))
+            return F.struct(
+                n.alias("n"), (chi / n - n).alias("chi"), lag.alias("lag"), (1.0 + runs).alias("runs"),
+                F.size(F.filter(x, lambda v: v >= middle)).cast("double").alias("ups"),
+            )
+
+        def scored(m: Column) -> Column:
+            mean = 1 + 2 * m["ups"] * (m["n"] - m["ups"]) / m["n"]
+            spread = (mean - 1) * (mean - 2) / (m["n"] - 1)
+            runs_z2 = F.when(spread > 0, (m["runs"] - mean) * (m["runs"] - mean) / spread).otherwise(m["n"])
+            return (m["chi"] + runs_z2 + m["lag"] * m["lag"] / (var * var * (m["n"] - 1))) / 2
+
+        def tests(x: Column) -> Column:
+            p = S.let(S.let(measured(x), scored), lambda half: F.exp(-half) * (1 + half + half * half / 2))
+            return F.struct(F.lit(name).alias("encoding"), p.alias("random_p"))
 
         return S.let(codes, tests)
 
@@ -101,13 +107,15 @@ def text_p(token: Column) -> Column:
         "0123456789", "0" * 10,
     )
 
-    def of(c: Column) -> Column:
-        n = F.greatest(F.length(c).cast("long") - 1, F.lit(1).cast("long"))
+    def seen(c: Column) -> Column:
         # a change is where a run of one class ends and another begins
         changes = F.length(F.regexp_replace(c, r"(.)\1*+", "x")).cast("long") - 1
-        return F.when(changes > 0, binomial_tail(n - changes, n, 1 - NULL_RATE)).otherwise(1.0)
+        return F.struct(F.greatest(F.length(c).cast("long") - 1, F.lit(1).cast("long")).alias("n"), changes.alias("changes"))
 
-    return S.let(classes, of)
+    def of(x: Column) -> Column:
+        return F.when(x["changes"] > 0, binomial_tail(x["n"] - x["changes"], x["n"], 1 - NULL_RATE)).otherwise(1.0)
+
+    return S.let(S.let(classes, seen), of)
 
 
 def stratum(length: Column) -> Column:
@@ -134,12 +142,19 @@ def discoveries(tokens: DataFrame) -> dict[int, int]:
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` (text and others) with the base spans and the tested tokens."""
     text = F.coalesce("text", F.lit(""))
-    base = docs.withColumn("__base", base_spans(text))
-    free = F.filter(S.find(text, TOKEN, "random", 3), lambda s: ~S.inside(s, F.col("__base")))
-    tested = F.transform(free, lambda s: F.struct(s.alias("span"), battery(s["match"]).alias("b"), _bin(text_p(s["match"])).alias("bin"), stratum(F.length(s["match"])).alias("stratum")))
-    found = base.withColumn("__tested", tested)
-    found = found.withColumn("__base", F.transform("__base", lambda s: s.withField("match", F.lit("")).withField("part", F.lit(""))))
-    return found
+
+    def bare(s: Column) -> Column:
+        return s.withField("match", F.lit("")).withField("part", F.lit(""))
+
+    def with_tested(base: Column) -> Column:
+        free = F.filter(S.find(text, TOKEN, "random", 3), lambda s: ~S.inside(s, base))
+        tested = F.transform(free, lambda s: F.struct(
+            bare(s).alias("span"), battery(s["match"]).alias("b"), _bin(text_p(s["match"])).alias("bin"), stratum(F.length(s["match"])).alias("stratum")
+        ))
+        return F.struct(F.transform(base, bare).alias("base"), tested.alias("tested"))
+
+    found = docs.withColumn("__found", S.let(base_spans(text), with_tested))
+    return found.withColumns({"__base": F.col("__found.base"), "__tested": F.col("__found.tested")}).drop("__found")
 
 
 def decide(found: DataFrame) -> DataFrame:
@@ -152,7 +167,7 @@ def decide(found: DataFrame) -> DataFrame:
             limit = F.when(t["stratum"] == k, F.lit(low)).otherwise(limit)
         return (t["bin"] >= limit) & (t["b"]["random_p"] >= LEVEL)
 
-    random = F.transform(F.filter("__tested", secret), lambda t: t["span"].withField("match", F.lit("")).withField("part", F.lit("")))
+    random = F.transform(F.filter("__tested", secret), lambda t: t["span"])
     return found.withColumn("__random", random).drop("__tested")
 
 

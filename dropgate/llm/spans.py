@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPAN = "array<struct<start:int,rank:int,kind:string,end:int,match:string,part:string>>"
-
+from .common import let  # noqa: F401
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+SPAN = "array<struct<start:int,rank:int,kind:string,end:int,match:string,part:string>>"
 
 
-def find(text: Column, regex: str, kind: str, rank: int, group: int = 0, needs: str = "") -> Column:
+def find(text: Column, regex: str, kind: str, rank: int, group: int = 0, needs: Column | None = None) -> Column:
     """All leftmost non-overlapping matches, in order; ``part`` is what the group holds.
 
     Splitting by the same expression gives the texts between the matches, so the offsets are sums of lengths.
-    ``needs``: a string without which nothing matches, looked for first.
+    ``needs``: a cheap condition without which nothing matches, tested first.
     """
     pattern = F.lit(regex)
     between = F.split(text, regex, -1)
@@ -33,7 +30,7 @@ def find(text: Column, regex: str, kind: str, rank: int, group: int = 0, needs:
         return F.struct(high.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
     found = F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), start, step, lambda s: s["spans"])
-    some = text.contains(needs) & text.rlike(regex) if needs else text.rlike(regex)
+    some = text.rlike(regex) if needs is None else needs & text.rlike(regex)
     return F.when(some, found).otherwise(F.array().cast(SPAN))
 
 
