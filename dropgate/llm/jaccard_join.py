@@ -7,7 +7,8 @@ The global order of the n-grams is the order of their 64-bit hashes, cut into fr
   shares the content of several fragments.  Each set has one signature per fragment: (size class, fragment, hash of the
   n-grams in it).  Frequent n-grams or passages make no group by themselves, as a fragment holds several n-grams.
   A set with too few non-empty fragments also has its prefix in the global order as a signature.  Of a set's signatures, the D + 1
-  shared by the fewest sets find every linked partner; fragments that no other set has count as differences.
+  shared by the fewest sets find every linked partner; fragments that no other set has, or whose hashes differ in a small
+  sketch, count as differences.
 * Overlaps.  A candidate pair is counted fragment by fragment (ranges of the order with at most about ``WIDTH``
   n-grams of a set); the partial overlaps are summed per pair.
 
@@ -35,6 +36,8 @@ from .components import components
 
 #: n-grams of a set in a range of the global order whose overlap is counted at once, about (a power of two)
 WIDTH = 4096
+#: bits of each fragment's hash in a sketch
+PLANES = 4
 #: members of a group that have been pivots after the rounds: the central one, about 8, 72, ...: that many times as many
 GROWTH = 8
 
@@ -67,10 +70,11 @@ def size_classes(n: int, percent: int) -> list[int]:
     return [own, own - 1] if own and n * percent < 100 * (1 << own) else [own]
 
 
-def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, int]:
-    """Signatures of a sorted set of hashes in a size class, how many fragments they stand for, and a bit mask of these.
+def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, list[int]]:
+    """Signatures of a sorted set of hashes in a size class, how many fragments they stand for, and a sketch of these.
 
-    A signature is 42 bits of hash, the fragment modulo 64, the class, and 1 for a prefix.
+    A signature is 42 bits of hash, the fragment modulo 64, the class, and 1 for a prefix.  The sketch has a bit mask of
+    the fragments (modulo 64), and four planes with a bit of their hashes: where two sets' planes differ, so do their fragments.
     """
     k = differences((2 << c) - 1, percent)
     k += 2 + k // 8
@@ -81,12 +85,14 @@ def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, in
     h = mix(np.add.reduceat(mix(s ^ _M2), first) + mix(at + sizes * _M1))
     low = np.uint64(c << 1)
     sigs = ((h >> np.uint64(22)) << np.uint64(13)) | ((at & np.uint64(63)) << np.uint64(7)) | low
-    mask = int(np.bitwise_or.reduce(np.uint64(1) << (at & np.uint64(63))))
+    slot = at & np.uint64(63)
+    sketch = [int(np.bitwise_or.reduce(np.uint64(1) << slot))]
+    sketch += [int(np.bitwise_xor.reduce(((h >> np.uint64(i)) & np.uint64(1)) << slot)) for i in range(PLANES)]
     most = differences(min((2 << c) - 1, len(s)), percent)
     if len(first) <= most:  # too few fragments to be sure: the prefix is
         prefix = mix(s[: most + 1])
         sigs = np.r_[sigs, ((prefix >> np.uint64(22)) << np.uint64(13)) | low | np.uint64(1)]
-    return sigs, len(first), mask
+    return sigs, len(first), sketch
 
 
 def _set_id(s: np.ndarray) -> int:
@@ -99,10 +105,10 @@ def _signed64(x: int) -> int:
 
 _SIGNED = pa.schema([
     ("id", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64()),
-    ("classes", pa.list_(pa.struct([("class", pa.int32()), ("m", pa.int32()), ("mask", pa.int64())]))),
+    ("classes", pa.list_(pa.struct([("class", pa.int32()), ("m", pa.int32()), ("sketch", pa.list_(pa.int64()))]))),
     ("sig", pa.int64()), ("lead", pa.bool_()), ("many", pa.bool_()),
 ])
-_DDL = "id long, key long, node long, n long, classes array<struct<class:int,m:int,mask:long>>, sig long, lead boolean, many boolean"
+_DDL = "id long, key long, node long, n long, classes array<struct<class:int,m:int,sketch:array<long>>>, sig long, lead boolean, many boolean"
 _TOKENS = pa.schema([("node", pa.int64()), ("class", pa.int32()), ("fragment", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
 
@@ -128,10 +134,10 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                             seen.add(node)
                             mine = []
                             for k in size_classes(len(s), percent):
-                                found, m, mask = signatures(s, k, percent)
+                                found, m, sketch = signatures(s, k, percent)
                                 sigs.append(found)
                                 nodes.append(np.full(len(found), node, np.int64))
-                                mine.append({"class": k, "m": m, "mask": _signed64(mask)})
+                                mine.append({"class": k, "m": m, "sketch": [_signed64(x) for x in sketch]})
                     ids.append(node)
                     sizes.append(len(s))
                     classes.append(mine)
@@ -216,9 +222,9 @@ def _class(sig: Column) -> Column:
 
 
 def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The signatures by which a set is found: (sig, node, n, class, alone, central).
+    """The signatures by which a set is found: (sig, node, n, class, sketch, central, size).
 
-    ``alone`` masks the fragments no other set has, ``central`` tells how many sets share the others.
+    The first of ``sketch`` now masks the fragments no other set has; ``central`` tells how many sets share the others.
     """
     sizes = shared.groupBy("sig").agg(F.count("*").alias("size"))
     bit = F.expr("shiftleft(1L, cast(shiftright(sig, 7) & 63 as int))")
@@ -232,15 +238,19 @@ def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     }).join(nodes, ["node", "class"])
     most = F.expr(f"least(n, shiftleft(2L, class) - 1) * {100 - percent} div {percent}")
     found = F.col("prefix") | (F.col("place") <= most + 1 - (F.col("m") - F.col("met")))
-    alone = F.col("mask").bitwiseAND(F.bitwise_not(F.col("shared_mask")))
-    return rows.where(found).select("sig", "node", "n", "class", alone.alias("alone"), "central", "size")
+    alone = F.col("sketch")[0].bitwiseAND(F.bitwise_not(F.col("shared_mask")))
+    sketch = F.array(alone, *[F.col("sketch")[i] for i in range(1, PLANES + 1)])
+    return rows.where(found).select("sig", "node", "n", "class", sketch.alias("sketch"), "central", "size")
 
 
 def _pairs(pivots: DataFrame, others: DataFrame, percent: int) -> DataFrame:
     """Pairs (p, x) of pivots and members of other components that share a signature and may be linked."""
-    p = pivots.select("sig", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "comp", "alone")])
+    p = pivots.select("sig", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "comp", "sketch")])
     least, greatest = F.least("n", "n_p"), F.greatest("n", "n_p")
-    apart = F.bit_count(F.col("alone").bitwiseOR(F.col("alone_p")))
+    other = F.col("sketch")[0].bitwiseOR(F.col("sketch_p")[0])
+    for i in range(1, PLANES + 1):
+        other = other.bitwiseOR(F.col("sketch")[i].bitwiseXOR(F.col("sketch_p")[i]))
+    apart = F.bit_count(other)  # at least so many fragments, so n-grams, differ
     met = p.join(others, "sig").where(
         (F.col("comp_p") != F.col("comp")) & (least * 100 >= greatest * percent) & (apart * percent <= least * (100 - percent))
         & (~F.col("pivot") | (F.col("node_p") < F.col("node")))
