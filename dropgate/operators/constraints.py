@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import model
 
@@ -92,10 +92,18 @@ def contract_plan(semantic_layer: DataFrame) -> DataFrame:
 
 
 def contract_problems(semantic_layer: DataFrame) -> DataFrame:
-    """Contract rows that could not be compiled: decimals without 'precision,scale'."""
-    bad = F.lower("data_type").startswith("decimal") & ~F.coalesce(
-        F.col("length").rlike("^ *[0-9]+ *, *[0-9]+ *$"), F.lit(False)
-    )
-    return semantic_layer.filter(bad)
+    """Contract rows that ``model.check_contract`` rejects: decimals without a valid 'precision,scale' (1 to 38
+    digits, scale within them), and names or positions repeated within a file's contract."""
+    precision, scale = (F.trim(F.split_part("length", F.lit(","), F.lit(i))) for i in (1, 2))
+    numbers = F.col("length").rlike("^ *[0-9]+ *, *[0-9]+ *$")
+    p, s = (x.try_cast("decimal(38,0)") for x in (precision, scale))
+    sound = F.coalesce(numbers & p.between(1, 38) & (s <= p), F.lit(False))
+
+    def repeated(column: str):
+        return F.count(F.lit(1)).over(Window.partitionBy("file_config_id", column)) > 1
+
+    marked = semantic_layer.withColumns({"__name": repeated("field_name"), "__position": repeated("field_position")})
+    bad = F.lower("data_type").startswith("decimal") & ~sound
+    return marked.filter(bad | F.col("__name") | F.col("__position")).drop("__name", "__position")
 
 

@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_BUCKET = 1_000_000
+# values looked at for each bucket when the ranges are chosen
+SAMPLES_PER_BUCKET = 32
 
 
 def with_next_ids(
@@ -18,15 +20,15 @@ def with_next_ids(
 ) -> DataFrame:
     """Number ``new`` from max(existing id) + 1 without gaps, as a leading ``id_column``.
 
-    Rows are numbered inside buckets of the (unique) ``order`` columns and shifted by the sizes of the
-    buckets before.  Nothing depends on partition numbers or arrival order, so a re-run task yields
-    the same ids.  Buckets grow in number, not in size: no window sees more than about
-    ``ROWS_PER_BUCKET`` rows (a ``bucket`` of the caller's must keep to that too), and the window over
-    bucket sizes has one row per bucket.  ``new`` is read more than once: pass a stored table.
+    Rows are numbered inside ranges of the first of the (unique) ``order`` columns and shifted by the
+    sizes of the ranges before, so ids follow ``order`` at every size, whatever the ranges are.  Nothing
+    depends on partition numbers or arrival order: a re-run task yields the same ids.  Ranges grow in
+    number, not in size: no window sees more than about ``ROWS_PER_BUCKET`` rows (a ``bucket`` of the
+    caller's must rise with ``order`` and keep to that too), and the window over range sizes has one row
+    per range.  ``new`` is read more than once: pass a stored table.
     """
     if bucket is None:
-        buckets = max(1, -(-new.count() // ROWS_PER_BUCKET))
-        bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
+        bucket = _range_of(new, order)
     rows = new.withColumn("__bucket", bucket.cast("bigint"))
     sizes = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -40,5 +42,20 @@ def with_next_ids(
     )
 
 
+def _range_of(new: DataFrame, order: Sequence[str]) -> Column:
+    """The range of the first order column a row lies in; cuts come from rows picked by their hash."""
+    n = new.count()
+    ranges = max(1, -(-n // ROWS_PER_BUCKET))
+    first, out = F.col(order[0]), F.lit(0)
+    if ranges > 1:
+        share = min(1.0, ranges * SAMPLES_PER_BUCKET / n)
+        picked = F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < int(share * (1 << 30))
+        values = [r[0] for r in new.where(picked & first.isNotNull()).select(first.alias("v")).distinct().orderBy("v").collect()]
+        cuts = values[SAMPLES_PER_BUCKET - 1 :: SAMPLES_PER_BUCKET]
+        if cuts:
+            out = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= first))
+    return out
+
+
 def max_id(table: DataFrame, id_column: str = "id") -> DataFrame:
     return table.agg(F.max(id_column).alias("max_id"))

@@ -6,7 +6,7 @@ import datetime
 import os
 import re
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Callable, Sequence
 
@@ -39,12 +39,15 @@ MAX_FILES_PER_SCAN = 100_000
 CONCURRENT_SCANS = 4
 
 # Failures that belong to a file; anything else (lost executors, memory) must not become a verdict.
-READ_ERRORS = (
-    "PATH_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE",
-    "CANNOT_READ_FILE_FOOTER", "FileNotFoundException", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD",
-    "is not a Parquet file", "is not a parquet file", "ZipException", "EOFException", "COLUMN_ALREADY_EXISTS",
-    "Malformed ORC file",
+READ_CONDITIONS = frozenset((
+    "PATH_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER",
+    "MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD", "COLUMN_ALREADY_EXISTS",
+))
+# without a condition, these count only where the error names one of the files
+READ_MARKERS = (
+    "FileNotFoundException", "is not a Parquet file", "is not a parquet file", "ZipException", "EOFException", "Malformed ORC file",
 )
+MSG_NO_CONTRACT = "No column contract for the file"
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,8 @@ class Rulebook:
     contracts: dict[int | None, tuple[model.Field, ...]]
     business: tuple[model.BusinessRule, ...] = tuple(model.BANK_RULES)
     options: R.Options = R.Options()
+    # contracts that cannot be compiled, with what is wrong: their files alone get flag 99
+    broken: dict[int | None, str] = field(default_factory=dict)
 
     @classmethod
     def bank(cls, options: R.Options = R.Options()) -> "Rulebook":
@@ -75,15 +80,28 @@ class Rulebook:
         """Collect the contract table: one row per column of a file, control data only."""
         by_file: dict[int | None, list] = {}
         for row in semantic_layer.collect():
-            by_file.setdefault(row["file_config_id"] if "file_config_id" in row else None, []).append(row)
-        return cls(
-            {k: tuple(model.check_contract(model.contract_from_rows(v))) for k, v in by_file.items()},
-            business=tuple(business), options=options,
-        )
+            row = row.asDict()
+            row |= {c: v for c, v in model.CONTRACT_DEFAULTS.items() if c in row and row[c] is None}
+            by_file.setdefault(row.get("file_config_id"), []).append(row)
+        contracts, broken = {}, {}
+        for k, rows in by_file.items():
+            try:
+                contracts[k] = tuple(model.check_contract(model.contract_from_rows(rows)))
+            except ValueError as e:
+                broken[k] = str(e)
+        return cls(contracts, business=tuple(business), options=options, broken=broken)
 
     def contract_key(self, profile: model.Profile) -> int | None:
         return profile.id if profile.id in self.contracts else None
 
+    def missing(self, profile: model.Profile) -> str | None:
+        """Why no file of this profile can be judged, or None."""
+        if profile.id in self.broken:
+            return self.broken[profile.id]
+        if profile.id in self.contracts or None in self.contracts:
+            return None
+        return self.broken.get(None, MSG_NO_CONTRACT)
+
 
 def lookup_profiles(listing: DataFrame, file_configuration: DataFrame) -> DataFrame:
     """Left join of files to profiles by exact file name; the lowest id wins when a name repeats.
@@ -102,13 +120,19 @@ def lookup_profiles(listing: DataFrame, file_configuration: DataFrame) -> DataFr
 def collect_drops(listing: DataFrame, file_configuration: DataFrame) -> list[Drop]:
     """Paths and profiles on the driver, needed to open the files: one short row per file."""
     fields = [f.name for f in model.FILE_CONFIGURATION.fields if f.name != "file_name"]
+    # a null quote or escape character means none; for the others the column's default holds
+    default = {n: v for n, v in model.PROFILE_DEFAULTS.items() if n not in ("quote_char", "escape_char")}
+
+    def value(row, n):
+        return default.get(n) if row[f"cfg_{n}"] is None else row[f"cfg_{n}"]
+
     rows = lookup_profiles(
         listing.select("path", "file_uri", "file_name", F.xxhash64("file_uri").alias("key")), file_configuration
     ).collect()
     return [
         Drop(
             r["path"], r["file_uri"], r["file_name"],
-            None if r["cfg_id"] is None else model.Profile(file_name=r["file_name"], **{n: r[f"cfg_{n}"] for n in fields}),
+            None if r["cfg_id"] is None else model.Profile(file_name=r["file_name"], **{n: value(r, n) for n in fields}),
             r["key"],
         )
         for r in rows
@@ -119,7 +143,7 @@ def groups_of(drops: Sequence[Drop], book: Rulebook) -> dict[tuple, list[Drop]]:
     """Files that can share one scan: same format, parse options and contract."""
     groups: dict[tuple, list[Drop]] = {}
     for d in drops:
-        if d.profile is not None:
+        if d.profile is not None and book.missing(d.profile) is None:
             k = (extension_of(d.file_name), d.profile.parse_key(), book.contract_key(d.profile))
             groups.setdefault(k, []).append(d)
     return groups
@@ -132,8 +156,19 @@ def _error_text(e: Exception) -> str:
     return found.group(0) if found else text.split("\n", 1)[0]
 
 
-def is_read_error(e: Exception) -> bool:
-    return any(marker in str(e) for marker in READ_ERRORS)
+def names_file(text: str, uri: str) -> bool:
+    """Does an error text hold this URI as a whole, not as the beginning of a longer one?"""
+    return re.search(re.escape(re.sub("^file:/+", "file:/", uri)) + r"(?![\w%~/-]|\.\w)", re.sub("file:/+", "file:/", text)) is not None
+
+
+def is_read_error(e: Exception, uris: Sequence[str] = ()) -> bool:
+    """Does the failure belong to a file?  Conditions decide; loose markers need one of ``uris`` to be named."""
+    text = str(e)
+    if re.search(r"FetchFailed|FETCH_FAILED|ExecutorLost|OutOfMemory", text):
+        return False
+    condition = e.getCondition() if isinstance(e, PySparkException) else None
+    found = {c.split(".")[0] for c in re.findall(r"\[([A-Z][A-Z0-9_]+(?:\.[A-Z0-9_]+)*)\]", text)} | {(condition or "").split(".")[0]}
+    return bool(found & READ_CONDITIONS) or any(m in text for m in READ_MARKERS) and any(names_file(text, u) for u in uris)
 
 
 def _fixed(spark: SparkSession, drops: Sequence[Drop], flag: str, message: str | None) -> DataFrame:
@@ -179,7 +214,7 @@ def _typed_group(spark: SparkSession, drops: Sequence[Drop], book: Rulebook) ->
         try:
             return src.read_file(spark, d.path, _typed_options(d)).schema
         except PySparkException as e:
-            if is_read_error(e):
+            if is_read_error(e, [d.file_uri, d.path]):
                 return _error_text(e)
             raise
 
@@ -225,21 +260,26 @@ def judge_drops(
     """
     run = materialise or (lambda df: df)
 
-    def judge(group: list[Drop]) -> list[DataFrame]:
-        fn = _csv_group if extension_of(group[0].file_name) == "csv" else _typed_group
-        try:
-            return [run(fn(spark, group, book))]
-        except Exception as e:
-            if not is_read_error(e):
-                raise
-            text = _error_text(e)
-            if len(group) == 1:
-                return [_fixed(spark, group, "30", text)]
-            named = [d for d in group if re.sub("file:/+", "file:/", d.file_uri) in text]
-            if named and len(named) < len(group):
-                return [_fixed(spark, named, "30", text)] + judge([d for d in group if d not in named])
-            half = len(group) // 2
-            return judge(group[:half]) + judge(group[half:])
+    def judge(scan: list[Drop]) -> list[DataFrame]:
+        fn = _csv_group if extension_of(scan[0].file_name) == "csv" else _typed_group
+        done, todo = [], [scan]
+        while todo:
+            group = todo.pop()
+            try:
+                done.append(run(fn(spark, group, book)))
+                continue
+            except Exception as e:
+                if not is_read_error(e, [d.file_uri for d in group]):
+                    raise
+                text = _error_text(e)
+            named = group if len(group) == 1 else [d for d in group if names_file(text, d.file_uri)]
+            if named:
+                done.append(_fixed(spark, named, "30", text))
+                todo += [rest] if (rest := [d for d in group if d not in named]) else []
+            else:
+                half = len(group) // 2
+                todo += [group[:half], group[half:]]
+        return done
 
     scans = [
         group[start : start + MAX_FILES_PER_SCAN]
@@ -249,6 +289,8 @@ def judge_drops(
     # independent jobs: the last tasks of one scan overlap with the next
     with ThreadPoolExecutor(CONCURRENT_SCANS) as pool:
         out = [df for judged in pool.map(judge, scans) for df in judged]
+    lost = [(d, why) for d in drops if d.profile is not None and (why := book.missing(d.profile)) is not None]
+    out += [_fixed(spark, [d for d, w in lost if w == why], "99", why) for why in dict.fromkeys(w for _, w in lost)]
     unconfigured = [d for d in drops if d.profile is None]
     if unconfigured or not out:
         out.append(_fixed(spark, unconfigured, "99", model.MSG_UNCONFIGURED))
@@ -276,10 +318,10 @@ def judge_paths(
 
     def listing(group: list[str]) -> list[tuple]:
         try:
-            found = src.listing_columns(spark.read.format("binaryFile").load(group))
+            found = src.listing_columns(spark.read.format("binaryFile").load([src.literal(p) for p in group]))
             return [(r["path"], r["file_uri"], r["file_name"], None) for r in found.select("path", "file_uri", "file_name").collect()]
         except PySparkException as e:
-            if not is_read_error(e):
+            if not is_read_error(e, group):
                 raise
             if len(group) == 1:
                 return [(group[0], group[0], group[0].rsplit("/", 1)[-1], _error_text(e))]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Mapping
 
@@ -19,13 +18,9 @@ from ..sources.tables import local_frame
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory in the shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a temporary folder stands in on a single machine; a cluster must name one.
+    Where that is unset, one in the warehouse, which all executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="dropgate-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -21,6 +21,11 @@ READ_DEFAULTS: dict[str, dict[str, str]] = {
 }
 
 
+def literal(path: str) -> str:
+    """A known path as a reader's argument: characters that would make it a pattern are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_file(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -39,7 +44,7 @@ def read_file(
     if schema is not None:
         merged.pop("inferSchema", None)
         reader = reader.schema(schema)
-    return reader.options(**merged).load(paths)
+    return reader.options(**merged).load([literal(p) for p in paths])
 
 
 def csv_options(profile: model.Profile) -> dict[str, str]:
@@ -59,7 +64,8 @@ def text_schema(contract: Sequence[model.Field], *extra: str) -> T.StructType:
 def read_csv(spark: SparkSession, path: str | Sequence[str], contract: Sequence[model.Field], profile: model.Profile) -> DataFrame:
     """CSV rows as the contract's columns, all text, without inference."""
     options = {**csv_options(profile), "header": str(profile.has_header).lower(), "enforceSchema": "true"}
-    return spark.read.schema(text_schema(contract)).options(**options).csv(path)
+    paths = [path] if isinstance(path, str) else path
+    return spark.read.schema(text_schema(contract)).options(**options).csv([literal(p) for p in paths])
 
 
 def csv_scan(
@@ -74,7 +80,7 @@ def csv_scan(
     Headers are read as rows.  Column pruning is off for this scan because it hides malformed lines.
     """
     options = {**csv_options(profile), "header": "false", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
-    df = spark.read.schema(text_schema(contract, CORRUPT)).options(**options).csv(list(paths))
+    df = spark.read.schema(text_schema(contract, CORRUPT)).options(**options).csv([literal(p) for p in paths])
     return df.select(
         *[F.col(f"`{f.field_name}`") for f in contract],
         CORRUPT,

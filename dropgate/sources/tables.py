@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Buckets, fetch size and place of the bucket column.
 SCAN_PARTITIONS = 12
-SCAN_LIMIT = 3_000_000
 FETCH_SIZE = 10_000
 PARTITION_COLUMN_INDEX = 5
 
@@ -54,14 +54,13 @@ def hash_partition_scan(
     df: DataFrame,
     column: str | None = None,
     buckets: int = SCAN_PARTITIONS,
-    limit: int | None = SCAN_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """At most ``limit`` rows with the bucket of ``column`` (default: the sixth) as ``scan_bucket``.
+    """All rows with the bucket of ``column`` (default: the sixth) as ``scan_bucket``.
 
-    Rows whose column is null or no number get bucket ``buckets`` instead of being lost.  The bound is
-    the feature: which rows it keeps is open, as there is no order.  Bounded rows are partitioned by
-    bucket; ``limit=None`` reads everything and leaves the scan's own partitions, since one bucket may
-    then hold any amount.
+    Rows whose column is null or no number get bucket ``buckets`` instead of being lost.  The scan's own
+    partitions stay, since one bucket may hold any amount.  A ``limit`` is only for callers who ask for a
+    bounded excerpt: which rows it keeps is open, as there is no order.
     """
     column = column or df.columns[PARTITION_COLUMN_INDEX]
     bucket = F.coalesce(scan_bucket(column, buckets), F.lit(buckets)).cast("int")

@@ -14,8 +14,6 @@ from ..sinks.writers import shared_dir
 from ..sources import files as src
 from . import fixtures as fx
 
-ROWS_PER_FILE = 2_000_000
-
 # scenario -> what is wrong with the upload
 CLEAN, TYPE, NULL, LENGTH, TEXT, KEY, BUSINESS = 0, 1, 2, 3, 4, 5, 6
 SEPARATOR, HEADER, WIDTH, UNCONFIGURED, EMPTY, FORMAT, NO_HEADER = 7, 8, 9, 10, 11, 12, 13
@@ -23,15 +21,15 @@ N_SCENARIOS = 14
 # scenario -> class of fixtures.INJECTED put on every 31st of its rows
 CLASS_OF = {TYPE: 3, NULL: 5, LENGTH: 6, TEXT: 7, KEY: 9, BUSINESS: 14}
 
-# uploads are numbered 0..n_uploads-1, scenario = upload % N_SCENARIOS
-N_UPLOADS = f"(SELECT cast({N_SCENARIOS} * greatest(1, ceil(count(*) / {float(N_SCENARIOS * ROWS_PER_FILE)})) as bigint) FROM orders)"
+# scenario = upload % N_SCENARIOS; a scenario gets another upload for every two million of its keys
+UPLOAD = f"order_key % {N_SCENARIOS} + {N_SCENARIOS} * (order_key DIV {N_SCENARIOS * 2_000_000})"
 _CLASS = "CASE upload % {n} {w} ELSE 0 END".format(
     n=N_SCENARIOS, w=" ".join(f"WHEN {s} THEN {c}" for s, c in CLASS_OF.items())
 )
 UPLOADS = (
     fx._overridden(
         f"CASE WHEN (order_key DIV 14) % 31 = 3 THEN {_CLASS} ELSE 0 END",
-        f"SELECT *, order_key % {N_UPLOADS} AS upload FROM ({fx.ACCOUNTS}) b",
+        f"SELECT *, {UPLOAD} AS upload FROM ({fx.ACCOUNTS}) b",
         ", upload",
     )
 )
@@ -49,7 +47,7 @@ def name_of(path: Column) -> Column:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(upload, place, value): the lines of every file in order."""
-    df = fx.frame(spark, sf_dir, UPLOADS, "orders")
+    df = fx.frame(spark, sf_dir, UPLOADS)
     names = fx.ACCOUNT_COLUMNS
     scenario = F.col("upload") % N_SCENARIOS
 

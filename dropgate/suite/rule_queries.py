@@ -289,7 +289,11 @@ def contract_plan(spark, sf):
     return constraints.contract_plan(fx.contracts(spark, sf))
 
 
-@query("contract_problems", f"SELECT id, field_name, data_type, length FROM ({_C}) c WHERE data_type = 'DECIMAL' AND length IS NULL")
+@query(
+    "contract_problems",
+    f"""SELECT id, field_name, data_type, length FROM (SELECT *, count(*) OVER (PARTITION BY file_config_id, field_position) AS np,
+  count(*) OVER (PARTITION BY file_config_id, field_name) AS nn FROM ({_C}) c) x WHERE data_type = 'DECIMAL' AND length IS NULL OR np > 1 OR nn > 1""",
+)
 def contract_problems(spark, sf):
     return constraints.contract_problems(fx.contracts(spark, sf)).select("id", "field_name", "data_type", "length")
 

@@ -63,15 +63,12 @@ SELECT id, file_format, path, file_name, true AS has_header, ',' AS delimiter, '
   'yyyy-MM-dd' AS date_format, 'yyyy-MM-dd HH:mm:ss' AS timestamp_format, NULL AS partition_columns
 FROM c WHERE file_name IN (SELECT file_name FROM n)
 UNION ALL SELECT * FROM c WHERE file_name NOT IN (SELECT file_name FROM n)
-UNION ALL SELECT NULL, 'csv', '/landing/', file_name, true, ',', '"', '\\', 'yyyy-MM-dd', 'yyyy-MM-dd HH:mm:ss', NULL
+UNION ALL SELECT (SELECT max(id) FROM c) + row_number() OVER (ORDER BY file_name), 'csv', '/landing/', file_name, true, ',', '"', '\\', 'yyyy-MM-dd', 'yyyy-MM-dd HH:mm:ss', NULL
 FROM n WHERE file_name NOT IN (SELECT file_name FROM c)""",
 )
 def config_register(spark, sf):
-    """New profiles get ids above the largest one; which is left open here (see next_log_ids)."""
-    configs = fx.configs(spark, sf)
-    out = registry.register(configs, fx.frame(spark, sf, _NAMES), "/landing")
-    known = configs.agg(F.max("id")).scalar()
-    return out.withColumn("id", F.when(F.col("id") <= known, F.col("id")))
+    """New profiles get the ids above the largest one, in the order of their names."""
+    return registry.register(fx.configs(spark, sf), fx.frame(spark, sf, _NAMES), "/landing")
 
 
 _PATCH = """SELECT cast(c_custkey + 1 as int) AS id, c_custkey % 2 = 0 AS set_delimiter, ';' AS delimiter,
@@ -186,8 +183,7 @@ def cascade_delete(spark, sf):
 )
 def next_log_ids(spark, sf):
     new = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
-    # order keys are unique, so a range of a million keys holds at most a million rows
-    return ids.with_next_ids(new, fx.log(spark, sf), ["o_orderkey"], bucket=F.expr("o_orderkey DIV 1000000"))
+    return ids.with_next_ids(new, fx.log(spark, sf), ["o_orderkey"])
 
 
 @query("max_log_id", f"SELECT max(id) AS max_id FROM ({LOG}) l")

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dropgate.suite import base
 from conftest import SF
 from tools.check_oracle import norm
 
@@ -24,7 +25,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 20
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(base.QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
