@@ -191,7 +191,7 @@ def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
 
     The edits of one document must fit a row, as its text does.
     """
-    by = edits.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct(F.col("start").cast("int"), F.col("end").cast("int"), "new")).alias("edits"))
+    by = edits.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "new")).alias("edits"))
     return docs.select("doc_id", "text").join(by, "doc_id", "left")
 
 

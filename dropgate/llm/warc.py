@@ -52,8 +52,8 @@ def record_id(refers_to: str, kind: str) -> str:
 
 def plain_text(page: str) -> str:
     """A page as text: markup dropped, references decoded, a line for each block."""
-    body = _TAG.sub("", _BLOCK.sub("\n", _SKIP.sub(" ", page)))
-    lines = (" ".join(x.split()) for x in html.unescape(body).split("\n"))
+    blocks = _BLOCK.split(_SKIP.sub(" ", page))
+    lines = (" ".join(html.unescape(_TAG.sub("", x)).split()) for x in blocks)
     return "\n".join(x for x in lines if x)
 
 
