@@ -14,8 +14,7 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no quality rule stay; rows with the same id and text are judged alike."""
-    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*DOCUMENT_COLUMNS)
+    return quality_rules.accepted(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

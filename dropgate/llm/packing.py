@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import store, words
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32
@@ -115,7 +115,7 @@ _OUT = pa.schema([
 def packed(docs: DataFrame, length: str, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
     """One row per piece of ``docs`` (doc_id and the column ``length``): where it lies, and its bin's final capacity."""
     capacities = sorted(capacities)
-    cut = pieces(docs, length, capacities[-1])
+    cut = store(pieces(docs, length, capacities[-1]), "pieces")
     shards = max(1, -(-cut.count() // shard))
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "n", "copy", "piece"), F.lit(shards)).cast("int"))
 

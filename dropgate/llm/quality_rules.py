@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, store, words
+from .common import BROADCAST_ROWS, let, store, words
 
 #: share of good documents of a stratum that the rules together may reject, and the probability of being wrong on it
 RISK, ERROR = 0.04, 0.05
@@ -190,3 +190,19 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     judged = store(measured.select("doc_id", "stratum", "base_failed", *RULES), "quality")
     cutoffs = store(thresholds(judged, labels, risk, error), "cutoffs")
     return _verdict(measured, cutoffs).select(*[F.col(f"own_{c}").alias(c) for c in own], "stratum", "failed_rules", "kept")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, the stratum's column and others) that fail no rule.
+
+    Texts are measured once.  Rejected rows are found again by id, stratum and hash of the text; texts are moved only where more are
+    rejected than may be sent to every executor.
+    """
+    key = F.xxhash64("text")
+    judged = store(features(docs.select("doc_id", _stratum(stratum), key.alias("key"), "text")).drop("text"), "quality")
+    cutoffs = store(thresholds(judged, labels, risk, error), "cutoffs")
+    gone = _verdict(judged, cutoffs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("stratum").alias("gone_stratum"), F.col("key").alias("gone_key"))
+    gone = store(gone.distinct(), "rejected")
+    few = gone.count() <= BROADCAST_ROWS
+    same = (key == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.coalesce(F.col(stratum).cast("string"), F.lit("")) == F.col("gone_stratum"))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
