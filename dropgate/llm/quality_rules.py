@@ -184,6 +184,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     """``docs`` with the columns stratum, failed_rules and kept; their own columns stay, those of the same names go.
 
     The documents are measured once for the cutoffs and once more for the verdict, so that texts need not be kept or moved.
+    A filter on the result is pushed below the measuring and repeats it many times: to filter, use ``accepted``.
     """
     own = [c for c in docs.columns if c not in ("stratum", "failed_rules", "kept")]
     measured = features(docs.select(*[F.col(c).alias(f"own_{c}") for c in own], "doc_id", _stratum(stratum), "text"))
