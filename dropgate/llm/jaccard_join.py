@@ -7,8 +7,8 @@ The global order of the n-grams is the order of their 64-bit hashes, cut into fr
   shares the content of several fragments.  Each set has one signature per fragment: (size class, fragment, hash of the
   n-grams in it).  Frequent n-grams or passages make no group by themselves, as a fragment holds several n-grams.
   A set with too few non-empty fragments also has its prefix in the global order as a signature.  Of a set's signatures, the D + 1
-  shared by the fewest sets find every linked partner; fragments that no other set has, or whose hashes differ in a small
-  sketch, count as differences.
+  shared by the fewest sets find every linked partner; fragments that no other set has count as differences.  A sketch of
+  parities (each n-gram flips one bit) bounds the differences of two sets from below: pairs beyond D are not counted.
 * Overlaps.  A candidate pair is counted fragment by fragment (ranges of the order with at most about ``WIDTH``
   n-grams of a set); the partial overlaps are summed per pair.
 
@@ -36,8 +36,8 @@ from .components import components
 
 #: n-grams of a set in a range of the global order whose overlap is counted at once, about (a power of two)
 WIDTH = 4096
-#: bits of each fragment's hash in a sketch
-PLANES = 4
+#: most 64-bit words of a sketch of parities; smaller sets have one for every 32 n-grams
+SKETCH = 8
 #: members of a group that have been pivots after the rounds: the central one, about 8, 72, ...: that many times as many
 GROWTH = 8
 
@@ -71,10 +71,11 @@ def size_classes(n: int, percent: int) -> list[int]:
 
 
 def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, list[int]]:
-    """Signatures of a sorted set of hashes in a size class, how many fragments they stand for, and a sketch of these.
+    """Signatures of a sorted set of hashes in a size class, how many fragments they stand for, and a sketch.
 
     A signature is 42 bits of hash, the fragment modulo 64, the class, and 1 for a prefix.  The sketch has a bit mask of
-    the fragments (modulo 64), and four planes with a bit of their hashes: where two sets' planes differ, so do their fragments.
+    the fragments (modulo 64), then the parities: how many n-grams fall on each bit, modulo 2.  One n-gram more or less flips one
+    bit, so two sets differ in at least as many n-grams as their parities in bits.
     """
     k = differences((2 << c) - 1, percent)
     k += 2 + k // 8
@@ -82,12 +83,14 @@ def signatures(s: np.ndarray, c: int, percent: int) -> tuple[np.ndarray, int, li
     first = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
     at = cut[first]
     sizes = np.diff(np.r_[first, len(s)]).astype(np.uint64)
-    h = mix(np.add.reduceat(mix(s ^ _M2), first) + mix(at + sizes * _M1))
+    each = mix(s ^ _M2)
+    h = mix(np.add.reduceat(each, first) + mix(at + sizes * _M1))
     low = np.uint64(c << 1)
     sigs = ((h >> np.uint64(22)) << np.uint64(13)) | ((at & np.uint64(63)) << np.uint64(7)) | low
-    slot = at & np.uint64(63)
-    sketch = [int(np.bitwise_or.reduce(np.uint64(1) << slot))]
-    sketch += [int(np.bitwise_xor.reduce(((h >> np.uint64(i)) & np.uint64(1)) << slot)) for i in range(PLANES)]
+    sketch = [int(np.bitwise_or.reduce(np.uint64(1) << (at & np.uint64(63))))]
+    bits = 64 * min(SKETCH, max(1, (1 << c) // 32))
+    odd = np.bincount((each & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    sketch += np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64).tolist()
     most = differences(min((2 << c) - 1, len(s)), percent)
     if len(first) <= most:  # too few fragments to be sure: the prefix is
         prefix = mix(s[: most + 1])
@@ -222,9 +225,9 @@ def _class(sig: Column) -> Column:
 
 
 def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The signatures by which a set is found: (sig, node, n, class, sketch, central, size).
+    """The signatures by which a set is found: (sig, node, n, class, alone, odd, central, size).
 
-    The first of ``sketch`` now masks the fragments no other set has; ``central`` tells how many sets share the others.
+    ``alone`` masks the fragments no other set has; ``central`` tells how many sets share the others.
     """
     sizes = shared.groupBy("sig").agg(F.count("*").alias("size"))
     bit = F.expr("shiftleft(1L, cast(shiftright(sig, 7) & 63 as int))")
@@ -239,20 +242,24 @@ def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     most = F.expr(f"least(n, shiftleft(2L, class) - 1) * {100 - percent} div {percent}")
     found = F.col("prefix") | (F.col("place") <= most + 1 - (F.col("m") - F.col("met")))
     alone = F.col("sketch")[0].bitwiseAND(F.bitwise_not(F.col("shared_mask")))
-    sketch = F.array(alone, *[F.col("sketch")[i] for i in range(1, PLANES + 1)])
-    return rows.where(found).select("sig", "node", "n", "class", sketch.alias("sketch"), "central", "size")
+    odd = F.slice("sketch", 2, SKETCH)
+    return rows.where(found).select("sig", "node", "n", "class", alone.alias("alone"), odd.alias("odd"), "central", "size")
 
 
 def _pairs(pivots: DataFrame, others: DataFrame, percent: int) -> DataFrame:
     """Pairs (p, x) of pivots and members of other components that share a signature and may be linked."""
-    p = pivots.select("sig", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "comp", "sketch")])
+    p = pivots.select("sig", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "comp", "alone", "odd")])
     least, greatest = F.least("n", "n_p"), F.greatest("n", "n_p")
-    other = F.col("sketch")[0].bitwiseOR(F.col("sketch_p")[0])
-    for i in range(1, PLANES + 1):
-        other = other.bitwiseOR(F.col("sketch")[i].bitwiseXOR(F.col("sketch_p")[i]))
-    apart = F.bit_count(other)  # at least so many fragments, so n-grams, differ
+    # at least so many n-grams differ; sets that meet are of one class, so their sketches have the same length
+    alone = F.bit_count(F.col("alone").bitwiseOR(F.col("alone_p")))
+    odd = F.lit(0)
+    for i in range(SKETCH):
+        odd = odd + F.coalesce(F.bit_count(F.get("odd", F.lit(i)).bitwiseXOR(F.get("odd_p", F.lit(i)))), F.lit(0))
+    # J >= t means: the symmetric difference has at most (n + n_p) (1 - t) / (1 + t) n-grams
+    allowed = (F.col("n") + F.col("n_p")) * (100 - percent)
     met = p.join(others, "sig").where(
-        (F.col("comp_p") != F.col("comp")) & (least * 100 >= greatest * percent) & (apart * percent <= least * (100 - percent))
+        (F.col("comp_p") != F.col("comp")) & (least * 100 >= greatest * percent)
+        & (alone * (100 + percent) <= allowed) & (odd * (100 + percent) <= allowed)
         & (~F.col("pivot") | (F.col("node_p") < F.col("node")))
     )
     # several signatures can lead to a pair, in two classes; the smaller set's own class is common to both

@@ -62,6 +62,30 @@ def test_jaccard_signatures_meet():
         assert sigs[0] & sigs[1]
 
 
+def test_jaccard_sketch_is_a_lower_bound():
+    rng = random.Random(8)
+    import numpy as np
+
+    for _ in range(200):
+        n, c = rng.randrange(1, 700), rng.randrange(4, 10)
+        a = {rng.getrandbits(64) for _ in range(n)}
+        b = set(list(a)[rng.randrange(0, n) :]) | {rng.getrandbits(64) for _ in range(rng.randrange(0, 40))}
+        x, y = (jaccard_join.signatures(np.array(sorted(s), np.uint64), c, 80)[2][1:] for s in (a, b))
+        assert len(x) == len(y) <= jaccard_join.SKETCH
+        assert sum((i ^ j).bit_count() for i, j in zip(x, y)) <= len(a ^ b)
+
+
+def test_jaccard_near_misses_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(9)
+    base = text(150, rng)
+    texts = [base] + [changed(base, k, rng) for k in [1] * 20 + [9] * 150]
+    seen, pairs = [], jaccard_join._pairs
+    monkeypatch.setattr(jaccard_join, "_pairs", lambda *a: seen.append(pairs(*a).count()) or pairs(*a))
+    got = {r.doc_id: r.component_id for r in jaccard_join.groups(H.docs(spark, texts, True), 5, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == H.groups(texts, 5, 80)
+    assert sum(seen) < 3 * len(texts)
+
+
 def test_jaccard_first_of_each_and_empty(spark):
     base = text(50)
     df = H.docs(spark, [base, base, changed(base, 1), None, "", text(30)])
