@@ -5,9 +5,12 @@ and units (a unit word after a number, or glued to it) become typed placeholders
 ``WINDOW`` canonical words are joined by hash with the windows of the benchmark; windows with fewer than half literal words say
 too little and are left out on both sides.  Shorter items are one window of their own length.
 
-A document leaks an item if matched windows cover at least ``COVERAGE`` per cent of the item's windows, and the slots are
-consistent: over the matched windows the values in the item's slots must map to the document's values like a function for at least
+A document leaks an item if in one occurrence matched windows cover at least ``COVERAGE`` per cent of the item's windows, and the slots
+are consistent: over the matched windows the values in the item's slots must map to the document's values like a function for at least
 ``CONSISTENT`` per cent of the slot values.  Equal values are the verbatim case, consistently replaced ones a re-parameterised question.
+Occurrences are the matches of one alignment (position in the document less that in the item), exact and in steps of ``STEPS`` words,
+each step also shifted by its half so that inserted words split none, and all matches of the document together.  The report names
+the occurrence of the largest coverage, of that the most consistent.
 
 Documents are never shuffled: tasks test their windows against a Bloom filter of the benchmark's windows, of fixed size, and
 send only the hits to the exact hash join.
@@ -20,11 +23,13 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, by_batch, list_array, mix, store
@@ -32,6 +37,8 @@ from .common import BROADCAST_ROWS, by_batch, list_array, mix, store
 WINDOW = 8
 #: per cent of an item's windows that must match, and of its slot values that must be consistent
 COVERAGE, CONSISTENT = 50, 75
+#: widths of the alignments taken as one occurrence, beside the exact one and the whole document
+STEPS = (4, 16)
 #: size of the Bloom filter, and probes
 BLOOM_BITS, PROBES = 1 << 23, 3
 #: words kept in a task's memo of canonical forms
@@ -193,9 +200,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
     d = hits.select(F.col("id").alias("doc_id"), "pos", "size", "hash", F.col("slots").alias("doc_slots"))
     met = d.join(i, ["hash", "size"])
     key = ["doc_id", "item_id", "n_windows"]
+
+    def same(*names: str) -> Column:
+        return reduce(and_, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names))
+
     # enough of the item first: what remains is small
-    enough = store(met.groupBy(*key).agg(F.count_distinct("item_pos").alias("n_matched")).where(F.col("n_matched") * 100 >= F.col("n_windows") * coverage), "enough")
-    slots = met.join(enough.drop("n_matched"), key, "left_semi").select(*key, F.explode_outer(F.arrays_zip("item_slots", "doc_slots")).alias("s")).select(*key, "s.*")
+    enough = met.groupBy(*key).agg(F.count_distinct("item_pos").alias("n")).where(F.col("n") * 100 >= F.col("n_windows") * coverage)
+    near = met.alias("a").join(store(enough.select(*key), "enough").alias("b"), same(*key), "left_semi")
+    near = store(near.select(*key, "item_pos", "item_slots", "doc_slots", F.explode(_places()).alias("place")), "near")
+    key = [*key, "place"]
+    covered = near.groupBy(*key).agg(F.count_distinct("item_pos").alias("n_matched")).where(F.col("n_matched") * 100 >= F.col("n_windows") * coverage)
+    slots = near.select(*key, F.explode_outer(F.arrays_zip("item_slots", "doc_slots")).alias("s")).select(*key, "s.*")
     # how often each value of a slot meets each value in the document: the most frequent one is its image
     images = slots.groupBy(*key, "item_slots", "doc_slots").agg(F.count("*").alias("n")).groupBy(*key, "item_slots").agg(
         F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("doc_slots", F.struct("n", "doc_slots")).alias("image")
@@ -206,13 +221,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
         F.coalesce(F.sum(F.when(held, F.col("most"))), F.lit(0)).alias("n_consistent"),
         F.coalesce(F.bool_and(F.when(held, F.col("image") == F.col("item_slots"))), F.lit(True)).alias("verbatim"),
     )
-    nulls = [F.col(f"e.{c}").eqNullSafe(F.col(f"j.{c}")) for c in key]
-    both = enough.alias("e").join(judged.alias("j"), nulls[0] & nulls[1] & nulls[2])
-    return both.where(F.col("n_consistent") * 100 >= F.col("n_slots") * consistent).select(
-        "e.doc_id", "e.item_id", "e.n_windows", "e.n_matched", (F.col("e.n_matched") / F.col("e.n_windows")).alias("coverage"), "n_slots", "n_consistent", "verbatim"
+    both = covered.alias("a").join(judged.alias("b"), same(*key)).select("a.*", "n_slots", "n_consistent", "verbatim")
+    share = F.when(F.col("n_slots") > 0, F.col("n_consistent") / F.col("n_slots")).otherwise(1.0)
+    found = both.where(F.col("n_consistent") * 100 >= F.col("n_slots") * consistent).withColumns({"coverage": F.col("n_matched") / F.col("n_windows"), "share": share})
+    best = F.max(F.struct("coverage", "share", "verbatim", "n_windows", "n_matched", "n_slots", "n_consistent")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", *[f"best.{c}" for c in ("n_windows", "n_matched", "coverage", "n_slots", "n_consistent", "verbatim")]
     )
 
 
+def _places() -> Column:
+    """The occurrences a match belongs to, as structs of width, shift and number."""
+    at = F.col("pos") - F.col("item_pos")
+    kinds = [(1, 0), *((w, s) for w in STEPS for s in (0, w // 2))]
+    places = [F.struct(F.lit(w).alias("width"), F.lit(s).alias("shift"), F.floor((at + s) / w).alias("number")) for w, s in kinds]
+    return F.array(*places, F.struct(F.lit(0).alias("width"), F.lit(0).alias("shift"), F.lit(0).cast("long").alias("number")))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item; texts are moved only where more leak than may be sent to every executor."""
     bad = store(leaks(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct(), "leaking")

@@ -146,6 +146,17 @@ def test_decontamination(spark):
     assert mixed != ITEM
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    names = [("Robert", "57", "8 lb"), ("Clara", "31", "9 oz"), ("Boris", "77", "4 g")]
+    variants = [ITEM.replace("Alice", a).replace("12", b).replace("30 kg", c) for a, b, c in names]
+    twice = "The box of Anna holds 5 red balls in the corner. The box of Peter holds 8 red balls in the corner. The box of Clara holds 9 red balls in the corner."
+    texts = [f"{ITEM} {text(9)} {variants[0]}", " ".join(variants), f"{variants[1]} {text(30)} {ITEM}", f"So. {twice} End", f"{text(30)} {ITEM.replace('hay for', 'hay and straw for')} {variants[2]}"]
+    bench = spark.createDataFrame([(1, ITEM), (2, variants[0]), (3, twice)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(H.docs(spark, texts, True), bench).collect()}
+    assert set(got) == {(i, j) for i in (0, 1, 2, 4) for j in (1, 2)} | {(3, 3)}
+    assert all(got[k].verbatim for k in ((0, 1), (1, 2), (3, 3)))
+
+
 def test_language_models(spark):
     import numpy as np
 
