@@ -5,6 +5,10 @@ and units (a unit word after a number, or glued to it) become typed placeholders
 ``WINDOW`` canonical words are joined by hash with the windows of the benchmark; windows with fewer than half literal words say
 too little and are left out on both sides.  Shorter items are one window of their own length.
 
+An item's first word is a sentence start in the item but maybe none in a document, so its first window is also emitted in the forms it has
+inside a sentence; the slot this makes is not judged.  Items without a qualifying window behind the first word are also joined
+by windows of their plain words, which hold no slots; either kind of window may report the item.
+
 A document leaks an item if in one occurrence matched windows cover at least ``COVERAGE`` per cent of the item's windows, and the slots
 are consistent: over the matched windows the values in the item's slots must map to the document's values like a function for at least
 ``CONSISTENT`` per cent of the slot values.  Equal values are the verbatim case, consistently replaced ones a re-parameterised question.
@@ -61,6 +65,8 @@ _NUM, _NAME, _UNIT = (xxhash.xxh3_64_intdigest(x) for x in ("<number>", "<name>"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: flags of a word
 NUM, CAPITAL, UNIT, END, GLUE, EMPTY = 1, 2, 4, 8, 16, 32
+#: kinds of slot beside numbers (1); value of a slot that is not judged
+NAMED, UNITED, UNJUDGED = 2, 3, 0
 
 
 def _form(word: str) -> tuple[int, int, int]:
@@ -79,8 +85,7 @@ def _form(word: str) -> tuple[int, int, int]:
     return value, value, (CAPITAL if bare[0].isupper() else 0) | (UNIT if low in UNITS else 0) | end
 
 
-def canonical(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of the canonical words, hashes of the values, is a slot) of a text."""
+def _words(text: str | None, memo: dict) -> list[tuple[int, int, int]]:
     split = text.split() if text else []
     if len(memo) > MEMO:
         memo.clear()
@@ -90,6 +95,23 @@ def canonical(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray, np.
         if r is None:
             r = memo[w] = _form(w)
         rows.append(r)
+    return rows
+
+
+def plain(text: str | None, memo: dict) -> np.ndarray:
+    """Hashes of the words as they are, numbers, names and units too."""
+    return np.array([v for _, v, flags in _words(text, memo) if not flags & EMPTY], np.uint64)
+
+
+def first_forms(text: str | None, memo: dict) -> list[int]:
+    """The kinds of slot that the first word may be inside a sentence."""
+    flags = next((f for _, _, f in _words(text, memo) if not f & EMPTY), 0)
+    return [kind for flag, kind in ((CAPITAL, NAMED), (UNIT, UNITED)) if flags & flag]
+
+
+def canonical(text: str | None, memo: dict, first_kind: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the canonical words, hashes of the values, is a slot) of a text; ``first_kind`` makes its first word a slot."""
+    rows = _words(text, memo)
     if not rows:
         return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
     literal, value, flags = (np.array(x, kind) for x, kind in zip(zip(*rows), (np.uint64, np.uint64, np.int64)))
@@ -97,9 +119,12 @@ def canonical(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray, np.
     number = (flags & NUM) > 0
     unit = ((flags & UNIT) > 0) & np.r_[False, number[:-1] & ((flags[:-1] & GLUE) == 0)]
     name = ((flags & CAPITAL) > 0) & ~starts & ~unit
-    kind = np.where(name, 2, np.where(unit, 3, np.where(number, 1, 0)))
-    literal = np.where(name, np.uint64(_NAME), np.where(unit, np.uint64(_UNIT), literal))
     full = (flags & EMPTY) == 0
+    if first_kind and full.any():
+        at = np.argmax(full)
+        name[at], unit[at] = first_kind == NAMED, first_kind == UNITED
+    kind = np.where(name, NAMED, np.where(unit, UNITED, np.where(number, 1, 0)))
+    literal = np.where(name, np.uint64(_NAME), np.where(unit, np.uint64(_UNIT), literal))
     literal, value, kind = literal[full], value[full], kind[full]
     if not len(literal):
         return literal, value, kind > 0
@@ -131,10 +156,47 @@ _HITS = pa.schema([
 _DDL = "id long, pos int, size int, hash long, total int, slots array<long>"
 
 
+def _of_item(text: str | None, memo: dict) -> list[tuple]:
+    """(size, hashes, positions, values, is a slot, number of windows) of an item; the size of windows of plain words is negative."""
+    literal, value, slot = canonical(text, memo)
+    if not len(literal):
+        return []
+    size = min(WINDOW, len(literal))
+    h, at = windows(literal, slot, size)
+    total, out = max(1, len(h)), [(size, h, at, value, slot, max(1, len(h)))]
+    if not len(h) or at[0] == 0:
+        for kind in first_forms(text, memo):
+            literal, value, slot = canonical(text, memo, kind)
+            value[0] = UNJUDGED
+            size = min(WINDOW, len(literal))
+            other, place = windows(literal[:size], slot[:size], size)
+            out.append((size, other, place, value, slot, total))
+    if not (at > 0).any():
+        words = plain(text, memo)
+        size = min(WINDOW, len(words))
+        none = np.zeros(len(words), bool)
+        exact, at = windows(words, none, size)
+        out.append((-size, exact, at, words, none, len(exact)))
+    return out
+
+
+def _of_document(text: str | None, memo: dict, sizes: list[int]) -> list[tuple]:
+    """The same of a document, all windows of ``sizes``."""
+    out = []
+    if any(size > 0 for size in sizes):
+        literal, value, slot = canonical(text, memo)
+        out += [(size, *windows(literal, slot, size), value, slot, 0) for size in sizes if size > 0]
+    if any(size < 0 for size in sizes):
+        words = plain(text, memo)
+        none = np.zeros(len(words), bool)
+        out += [(size, *windows(words, none, -size), words, none, 0) for size in sizes if size < 0]
+    return out
+
+
 def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
     """Windows of the texts of ``df`` (id, text); only those the filter may hold, if one is given.
 
-    ``sizes``: lengths of windows; for the benchmark (None) ``WINDOW``, or the length of a shorter item.
+    ``sizes``: lengths of windows, negative ones of plain words; None for the benchmark, whose items have their own.
     """
 
     def make():
@@ -144,18 +206,15 @@ def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
         def fn(c):
             cols: list[list] = [[], [], [], [], [], []]
             for id_, text in zip(c["id"], c["text"]):
-                literal, value, slot = canonical(text, memo)
-                for size in sizes or [min(WINDOW, len(literal))] * (len(literal) > 0):
-                    h, at = windows(literal, slot, size)
-                    total = len(h)
+                for size, h, at, value, slot, total in _of_item(text, memo) if sizes is None else _of_document(text, memo, sizes):
                     if bits is not None:
                         hit = np.ones(len(h), bool)
                         for p in _probes(h):
                             hit &= bits[p]
                         h, at = h[hit], at[hit]
                     for x, i in zip(h.view(np.int64).tolist(), at.tolist()):
-                        held = slot[i : i + size]
-                        for col, v in zip(cols, (id_, i, size, x, total, value[i : i + size][held])):
+                        held = slot[i : i + abs(size)]
+                        for col, v in zip(cols, (id_, i, size, x, total, value[i : i + abs(size)][held])):
                             col.append(v)
             flat = np.concatenate(cols[5]).view(np.int64) if cols[5] else np.empty(0, np.int64)
             slots = list_array(flat, np.array([len(x) for x in cols[5]], np.int64), pa.int64())
@@ -198,8 +257,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
     hits = store(_windows_of(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), sizes or [WINDOW], bloom), "hits")
     i = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "size", "hash", F.col("total").alias("n_windows"), F.col("slots").alias("item_slots"))
     d = hits.select(F.col("id").alias("doc_id"), "pos", "size", "hash", F.col("slots").alias("doc_slots"))
-    met = d.join(i, ["hash", "size"])
-    key = ["doc_id", "item_id", "n_windows"]
+    met = d.join(i, ["hash", "size"]).withColumn("exact", F.col("size") < 0)
+    key = ["doc_id", "item_id", "exact", "n_windows"]
 
     def same(*names: str) -> Column:
         return reduce(and_, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names))
@@ -215,7 +274,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
     images = slots.groupBy(*key, "item_slots", "doc_slots").agg(F.count("*").alias("n")).groupBy(*key, "item_slots").agg(
         F.max("n").alias("most"), F.sum("n").alias("all"), F.max_by("doc_slots", F.struct("n", "doc_slots")).alias("image")
     )
-    held = F.col("item_slots").isNotNull()
+    held = F.coalesce(F.col("item_slots") != UNJUDGED, F.lit(False))
     judged = images.groupBy(*key).agg(
         F.coalesce(F.sum(F.when(held, F.col("all"))), F.lit(0)).alias("n_slots"),
         F.coalesce(F.sum(F.when(held, F.col("most"))), F.lit(0)).alias("n_consistent"),
@@ -224,7 +283,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
     both = covered.alias("a").join(judged.alias("b"), same(*key)).select("a.*", "n_slots", "n_consistent", "verbatim")
     share = F.when(F.col("n_slots") > 0, F.col("n_consistent") / F.col("n_slots")).otherwise(1.0)
     found = both.where(F.col("n_consistent") * 100 >= F.col("n_slots") * consistent).withColumns({"coverage": F.col("n_matched") / F.col("n_windows"), "share": share})
-    best = F.max(F.struct("coverage", "share", "verbatim", "n_windows", "n_matched", "n_slots", "n_consistent")).alias("best")
+    best = F.max(F.struct("coverage", "share", "verbatim", ~F.col("exact"), "n_windows", "n_matched", "n_slots", "n_consistent")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", *[f"best.{c}" for c in ("n_windows", "n_matched", "coverage", "n_slots", "n_consistent", "verbatim")]
     )

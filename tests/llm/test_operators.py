@@ -157,6 +157,16 @@ def test_decontamination_judges_each_occurrence(spark):
     assert all(got[k].verbatim for k in ((0, 1), (1, 2), (3, 3)))
 
 
+def test_decontamination_of_short_and_slot_heavy_items(spark):
+    items = ["What is the capital of France?", "Who is Marie Curie?", "12 + 7 = 19, 30 + 4 = 34", "Alice Smith, Bob Jones, 12 kg, 57 lb, Clara Brown, 99 oz, Peter Green", "The chess club of Paris meets every 3 days", "it"]
+    texts = [f"Some heading\nQuestion {items[0]} Paris", f"we ask {items[0].replace('France', 'Peru')} now", f"and {items[1]} yes", f"a sum {items[2]} b", f"names are {items[3]} here", f"then {items[4]} or so", "Who is Peter Smith? 12 + 8 = 20, 31 + 4 = 35"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(H.docs(spark, texts, True), bench).collect()}
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 1)}
+    assert {k for k, r in got.items() if not r.verbatim} == {(1, 0), (6, 1)}
+    assert all(r.coverage == 1 for r in got.values())
+
+
 def test_language_models(spark):
     import numpy as np
 
