@@ -19,9 +19,9 @@ the occurrence of the largest coverage, of that the most consistent.
 Documents are never shuffled: tasks test their windows against a Bloom filter of the benchmark's windows, of fixed size, and
 send only the hits to the exact hash join.
 
-Defined results: null or empty texts and items without words match nothing; repeated documents are reported by
-row values, so equal ids with equal matches are one; repeated items are reported each; empty tables give an empty report; other
-columns are ignored.
+Defined results: null or empty texts and items without words match nothing; documents and items are told apart by id and hash of the text,
+so rows of one id, or of none, but different texts are judged each; the report holds equal rows once; items without an id are left out;
+empty tables give an empty report; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,9 +151,9 @@ def _probes(h: np.ndarray) -> list[np.ndarray]:
 
 
 _HITS = pa.schema([
-    ("id", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("total", pa.int32()), ("slots", pa.list_(pa.int64())),
+    ("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("total", pa.int32()), ("slots", pa.list_(pa.int64())),
 ])
-_DDL = "id long, pos int, size int, hash long, total int, slots array<long>"
+_DDL = "id long, key long, pos int, size int, hash long, total int, slots array<long>"
 
 
 def _of_item(text: str | None, memo: dict) -> list[tuple]:
@@ -194,7 +194,7 @@ def _of_document(text: str | None, memo: dict, sizes: list[int]) -> list[tuple]:
 
 
 def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
-    """Windows of the texts of ``df`` (id, text); only those the filter may hold, if one is given.
+    """Windows of the texts of ``df`` (id, key, text); only those the filter may hold, if one is given.
 
     ``sizes``: lengths of windows, negative ones of plain words; None for the benchmark, whose items have their own.
     """
@@ -204,8 +204,8 @@ def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
         bits = None if bloom is None else np.unpackbits(np.frombuffer(bloom.value, np.uint8), bitorder="little").view(bool)
 
         def fn(c):
-            cols: list[list] = [[], [], [], [], [], []]
-            for id_, text in zip(c["id"], c["text"]):
+            cols: list[list] = [[] for _ in _HITS]
+            for id_, key, text in zip(c["id"], c["key"], c["text"]):
                 for size, h, at, value, slot, total in _of_item(text, memo) if sizes is None else _of_document(text, memo, sizes):
                     if bits is not None:
                         hit = np.ones(len(h), bool)
@@ -214,11 +214,11 @@ def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
                         h, at = h[hit], at[hit]
                     for x, i in zip(h.view(np.int64).tolist(), at.tolist()):
                         held = slot[i : i + abs(size)]
-                        for col, v in zip(cols, (id_, i, size, x, total, value[i : i + abs(size)][held])):
+                        for col, v in zip(cols, (id_, key, i, size, x, total, value[i : i + abs(size)][held])):
                             col.append(v)
-            flat = np.concatenate(cols[5]).view(np.int64) if cols[5] else np.empty(0, np.int64)
-            slots = list_array(flat, np.array([len(x) for x in cols[5]], np.int64), pa.int64())
-            return dict(zip(_HITS.names, [*cols[:5], slots]))
+            flat = np.concatenate(cols[-1]).view(np.int64) if cols[-1] else np.empty(0, np.int64)
+            slots = list_array(flat, np.array([len(x) for x in cols[-1]], np.int64), pa.int64())
+            return dict(zip(_HITS.names, [*cols[:-1], slots]))
 
         return fn
 
@@ -250,15 +250,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text.
     """
+    return keyed_leaks(docs, benchmark, coverage, consistent).drop("doc_key", "item_key").distinct()
+
+
+def keyed_leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consistent: int = CONSISTENT) -> DataFrame:
+    """``leaks`` with doc_key and item_key, the hashes of the texts."""
     spark = docs.sparkSession
-    items = store(_windows_of(benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id is not null"), None, None), "items")
+
+    def rows(df: DataFrame, id_: str) -> DataFrame:
+        return df.select(F.col(id_).cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
+
+    items = store(_windows_of(rows(benchmark, "item_id").where("id is not null").dropDuplicates(["id", "key"]), None, None), "items")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
     bloom = spark.sparkContext.broadcast(_bloom(items))
-    hits = store(_windows_of(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), sizes or [WINDOW], bloom), "hits")
-    i = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "size", "hash", F.col("total").alias("n_windows"), F.col("slots").alias("item_slots"))
-    d = hits.select(F.col("id").alias("doc_id"), "pos", "size", "hash", F.col("slots").alias("doc_slots"))
+    hits = store(_windows_of(rows(docs, "doc_id"), sizes or [WINDOW], bloom), "hits")
+    i = items.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), F.col("pos").alias("item_pos"), "size", "hash", F.col("total").alias("n_windows"), F.col("slots").alias("item_slots"))
+    d = hits.select(F.col("id").alias("doc_id"), F.col("key").alias("doc_key"), "pos", "size", "hash", F.col("slots").alias("doc_slots"))
     met = d.join(i, ["hash", "size"]).withColumn("exact", F.col("size") < 0)
-    key = ["doc_id", "item_id", "exact", "n_windows"]
+    key = ["doc_id", "doc_key", "item_id", "item_key", "exact", "n_windows"]
 
     def same(*names: str) -> Column:
         return reduce(and_, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names))
@@ -284,8 +293,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, consi
     share = F.when(F.col("n_slots") > 0, F.col("n_consistent") / F.col("n_slots")).otherwise(1.0)
     found = both.where(F.col("n_consistent") * 100 >= F.col("n_slots") * consistent).withColumns({"coverage": F.col("n_matched") / F.col("n_windows"), "share": share})
     best = F.max(F.struct("coverage", "share", "verbatim", ~F.col("exact"), "n_windows", "n_matched", "n_slots", "n_consistent")).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", *[f"best.{c}" for c in ("n_windows", "n_matched", "coverage", "n_slots", "n_consistent", "verbatim")]
+    return found.groupBy(*key[:4]).agg(best).select(
+        *key[:4], *[f"best.{c}" for c in ("n_windows", "n_matched", "coverage", "n_slots", "n_consistent", "verbatim")]
     )
 
 
@@ -299,6 +308,7 @@ def _places() -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item; texts are moved only where more leak than may be sent to every executor."""
-    bad = store(leaks(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct(), "leaking")
+    id_, key = F.col("doc_id").cast("long"), F.xxhash64("text")
+    bad = store(keyed_leaks(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("doc_key").alias("bad_key")).distinct(), "leaking")
     few = bad.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(bad) if few else bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(F.broadcast(bad) if few else bad, (key == F.col("bad_key")) & id_.eqNullSafe(F.col("bad_id")), "left_anti")

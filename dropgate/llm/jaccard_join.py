@@ -341,4 +341,4 @@ def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         return docs.join(r, (key == r["key"]) & id_.eqNullSafe(r["id"]), how)
 
     kept = of(store(gone.unionByName(again), "changed"), "left_anti")
-    return kept.unionByName(of(again, "left_semi").dropDuplicates(["doc_id"]))
+    return kept.unionByName(of(again, "left_semi").withColumn("__key", key).dropDuplicates(["doc_id", "__key"]).drop("__key"))

@@ -96,6 +96,19 @@ def test_jaccard_first_of_each_and_empty(spark):
     assert [r.component_id for r in jaccard_join.groups(nulls).collect()] == [None, None]
 
 
+def test_rows_without_or_with_equal_ids_are_told_apart(spark):
+    a, b = text(50), text(50)
+    leak = f"{text(20)} {ITEM} {text(20)}"
+    for id_ in (None, 7):
+        df = H.docs(spark, [a, a, b, b, text(30)]).withColumn("doc_id", F.lit(id_).cast("long"))
+        assert sorted(r.text for r in jaccard_join.first_of_each(df).collect() if r.text in (a, b)) == sorted((a, b))
+        df = H.docs(spark, [a, leak, b, leak, None]).withColumn("doc_id", F.lit(id_).cast("long"))
+        bench = spark.createDataFrame([(1, ITEM), (1, text(12))], "item_id long, text string")
+        kept = decontaminate.clean(df, bench)
+        assert kept.columns == df.columns and {r.text for r in kept.collect()} == {a, b, None} and kept.count() == 3
+        assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()] == [(id_, 1)]
+
+
 def test_binomial_tail(spark):
     cases = [(0, 10, 0.01), (3, 40, 0.05), (7, 500, 0.02), (120, 9000, 0.0133), (1, 1, 0.5 - 1e-9)]
     cases = [c for c in cases if c[0] < c[1]]
