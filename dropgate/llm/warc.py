@@ -2,8 +2,8 @@
 
 A response has a record id, a target URI, a date, its HTTP header and its payload.  Of each, two records are derived:
 
-* ``metadata`` (application/warc-fields): title, language, number of links and of characters, the payload's digest and
-  the kept lines of the HTTP header;
+* ``metadata`` (application/warc-fields): title, language, number of links and of characters, the payload's digest, and
+  the whole HTTP header: ``http-status-line`` and a field ``http-<name>`` for each line, in order, repeats included;
 * ``conversion`` (text/plain): the payload as text.
 
 Both carry WARC-Refers-To (the response's id), WARC-Target-URI and WARC-Date of the response, WARC-Block-Digest
@@ -31,8 +31,6 @@ from pyspark.sql import functions as F
 from .common import by_batch
 
 VERSION, END = "WARC/1.1", "\r\n"
-#: lines of the HTTP header that the metadata keeps
-KEPT = ("content-type", "last-modified", "etag", "server", "content-language")
 
 _SKIP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|$)|<!\[CDATA\[|\]\]>|<![^>]*>", re.S | re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|<|$)", re.S | re.I)
@@ -61,19 +59,37 @@ def _fields(header: dict[str, str]) -> str:
     return END.join(f"{k}: {' '.join(v.split())}" for k, v in header.items())
 
 
+def http_fields(http: str) -> list[str]:
+    """A field for each line of an HTTP header; folded lines are joined by a space, those without a name are ``http-line``."""
+    out: list[str] = []
+    for i, line in enumerate(re.split(r"\r\n|\r|\n", http)):
+        name, colon, value = line.partition(":")
+        if not line.strip():
+            continue
+        if i == 0 and line.startswith("HTTP/"):
+            out.append(f"http-status-line: {line.strip()}")
+        elif out and line[0] in " \t":
+            out[-1] += f" {line.strip()}"
+        elif colon and name.strip():
+            out.append(f"http-{name.strip().lower()}: {value.strip()}")
+        else:
+            out.append(f"http-line: {line.strip()}")
+    return out
+
+
 def derive_one(record: str, uri: str, date: str, http: str, payload: str) -> list[tuple]:
     """(type, id, refers_to, header, block, block_digest) of the two records."""
     data = payload.encode("utf-8", "replace")
     of_payload = digest(data)
     text = plain_text(payload)
     lang, title = _LANG.search(payload), _TITLE.search(payload)
-    kept = {k.strip().lower(): v for k, _, v in (line.partition(":") for line in http.splitlines()) if k.strip().lower() in KEPT}
     fields = {
         "title": html.unescape(title[1]) if title else "", "language": lang[1] if lang else "", "links": str(len(_LINK.findall(payload))),
-        "characters": str(len(text)), "payload-digest": of_payload, **{f"http-{k}": v for k, v in kept.items()},
+        "characters": str(len(text)), "payload-digest": of_payload,
     }
+    about = END.join([_fields(fields), *http_fields(http)])
     out = []
-    for kind, mime, block in (("metadata", "application/warc-fields", _fields(fields)), ("conversion", "text/plain; charset=utf-8", text)):
+    for kind, mime, block in (("metadata", "application/warc-fields", about), ("conversion", "text/plain; charset=utf-8", text)):
         raw = block.encode("utf-8", "replace")
         own = record_id(record, kind)
         header = {

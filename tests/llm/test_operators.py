@@ -379,3 +379,18 @@ def test_warc_round_trip(spark, tmp_path):
     back = warc.read(spark, str(tmp_path / "w")).collect()
     assert collections.Counter((r.header, r.block) for r in back) == collections.Counter((r.header, r.block) for r in out)
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+
+
+def test_warc_keeps_the_whole_http_header(spark, tmp_path):
+    lines = ["HTTP/1.1 301 Moved  Permanently", "Date: Mon, 01 Jan 2024 00:00:00 GMT", "Set-Cookie: a=1; b:2", "X-Robots-Tag: noindex", "Set-Cookie: c=3", "Location: http://b/", "Link: <x>;", "\trel=next", "ETag: \"x  y\"", "X-Empty:", "broken"]
+    row = (1, "<urn:uuid:1>", "http://a/", "2024-01-01T00:00:00Z", "\r\n".join(lines) + "\r\n\r\n", "<p>Text")
+    records = warc.derive(spark.createDataFrame([row], "page_id long, record_id string, url string, date string, http string, payload string"))
+    fields = [x for x in records.where("warc_type = 'metadata'").first().block.split("\r\n") if x.startswith("http-")]
+    assert fields == [
+        "http-status-line: HTTP/1.1 301 Moved  Permanently", "http-date: Mon, 01 Jan 2024 00:00:00 GMT", "http-set-cookie: a=1; b:2", "http-x-robots-tag: noindex",
+        "http-set-cookie: c=3", "http-location: http://b/", "http-link: <x>; rel=next", 'http-etag: "x  y"', "http-x-empty: ", "http-line: broken",
+    ]
+    warc.write(records, str(tmp_path / "w"))
+    assert sorted((r.header, r.block) for r in warc.read(spark, str(tmp_path / "w")).collect()) == sorted((r.header, r.block) for r in records.collect())
+    served = warc.derive(warc.responses(spark.createDataFrame([(1, "u", "<p>é")], "page_id long, url string, html string"))).where("warc_type = 'metadata'").first().block
+    assert served.endswith("http-status-line: HTTP/1.1 200 OK\r\nhttp-content-type: text/html; charset=utf-8\r\nhttp-content-length: 5")
