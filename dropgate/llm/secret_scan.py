@@ -1,17 +1,21 @@
 """Secret scan: fixed patterns plus a battery of randomness tests on long tokens.
 
 A token of 20 or more characters of ``[A-Za-z0-9+/_-]`` that no base pattern covers gets an encoding: the smallest of
-hex, base 32, lower or upper letters, base 64 (with either pair of extra characters) whose alphabet holds it.
+hex, base 32, lower or upper letters, base 64 (with either pair of extra characters, or both) whose alphabet holds it.  Its parts
+of 20 or more characters between slashes and plus signs, between dashes and underscores, and between all four are tokens too, so a key
+in a path is tested without the words around it.  Of discovered tokens the widest is reported.
 
 * Battery, against "uniformly random over the alphabet": chi-squared of five slices of the alphabet (4 degrees of
   freedom), Wald-Wolfowitz runs about the middle of the alphabet and serial correlation at lag one (the squares of two
   normal scores).  Their sum is chi-squared with 6 degrees of freedom, which has a closed survival function.
 * Length-aware discovery, against "ordinary token": changes between lower case, upper case and digits among L
-  characters are binomial(L - 1, NULL_RATE); the exact upper tail is the token's p-value.  Benjamini-Hochberg runs over
+  characters are binomial(L - 1, NULL_RATE), and pairs of adjacent letters that words seldom hold binomial(pairs, RARE_RATE); the lesser
+  of the two exact upper tails, each divided by its share of the error, is the token's p-value.  Benjamini-Hochberg runs over
   all tokens of the corpus, separately for each stratum of length, so short tokens need stronger evidence than
   the many long ones would allow.  The p-values are counted in bins of a quarter of a decade and judged at the bin's largest.
 
-A token is a secret if it is discovered and the battery does not refute randomness.  Only DataFrame functions are used.
+A token is a secret if it is discovered and the battery does not refute randomness.  Tokens of digits alone have neither changes nor
+letters and are left to the base patterns.  Only DataFrame functions are used.
 
 Defined results: null text counts as empty; repeated documents are scanned one by one; no tokens, no discoveries;
 an empty table gives an empty result.  Other columns are kept; results replace columns of the same name.
@@ -31,6 +35,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "(?<![0-9a-f])[0-9a-f]{24,}+"
 TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
+#: parts of a token that are tested as well
+PARTS = ("[A-Za-z0-9_-]{20,}+", "[A-Za-z0-9+/]{20,}+", "[A-Za-z0-9]{20,}+")
 
 #: alphabets from the smallest to the largest; the first that holds a token is its encoding
 ALPHABETS = (
@@ -41,10 +47,20 @@ ALPHABETS = (
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("mixed", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
 SLICES = 5
 #: class changes per character of an ordinary token, false-discovery rate, and the battery's level
 NULL_RATE, DISCOVERY, LEVEL = 0.08, 0.01, 0.001
+#: share of rare letter pairs in an ordinary token, and shares of the error that the two statistics have
+RARE_RATE, CHANGES_SHARE, RARE_SHARE = 0.08, 0.9, 0.1
+#: the letters that follow each letter in words of European languages (fixed values); other pairs are rare
+FOLLOW = dict(zip("abcdefghijklmnopqrstuvwxyz", """
+bcdefghijklmnpqrstuvwxyz abeilorstuy acehiklortuy adegilmnorstuvwy abcdefghiklmnoprstuvwxyz aefilortuy aeghilnorstuy aeilmnortuwy
+abcdefgklmnopqrstuvxz aeou aeilnorstuy abcdefgiklmnopstuvy abeimnopsuy acdefgijklmnoqrstuvyz abcdefghijklmnoprstuvwxyz aefhiloprstuy u
+abcdefgiklmnoprstuvwyz acehiklmnopqstuwy acehilmnorstuwyz abcdefgiklmnoprstvxz aeiory aehinors aceioptu abcdeilmnoprst aeiotuwyz
+""".split()))
+RARE = "(?=" + "|".join(f"{a}[^{b}\\P{{Lower}}]" for a, b in FOLLOW.items()) + ")"
 #: strata of length by their least length; a bin of p-values is a quarter of a decade
 LENGTHS, BIN, BINS = (20, 28, 40, 64), 0.25, 160
 
@@ -101,7 +117,25 @@ def battery(token: Column) -> Column:
 
 
 def text_p(token: Column) -> Column:
-    """The p-value of the token's class changes if it were an ordinary one."""
+    """The p-value of the token's class changes and letter pairs if it were an ordinary one."""
+    return F.least(F.lit(1.0), changes_p(token) / CHANGES_SHARE, rare_p(token) / RARE_SHARE)
+
+
+def rare_p(token: Column) -> Column:
+    """The p-value of the token's rare letter pairs."""
+
+    def seen(low: Column) -> Column:
+        pairs = F.regexp_count(low, F.lit("(?=[a-z][a-z])")).cast("long")
+        return F.struct(F.greatest(pairs, F.lit(1).cast("long")).alias("n"), F.regexp_count(low, F.lit(RARE)).cast("long").alias("rare"))
+
+    def of(x: Column) -> Column:
+        return F.when(x["rare"] > 0, binomial_tail(x["n"] - x["rare"], x["n"], 1 - RARE_RATE)).otherwise(1.0)
+
+    return S.let(S.let(F.lower(token), seen), of)
+
+
+def changes_p(token: Column) -> Column:
+    """The p-value of the token's class changes."""
     classes = F.translate(
         F.translate(F.translate(F.regexp_replace(token, "[+/_-]", ""), "abcdefghijklmnopqrstuvwxyz", "a" * 26), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A" * 26),
         "0123456789", "0" * 10,
@@ -139,6 +173,13 @@ def discoveries(tokens: DataFrame) -> dict[int, int]:
     return {r[0]: r[1] for r in accepted.groupBy("stratum").agg(F.min("bin")).collect()}
 
 
+def with_parts(span: Column) -> Column:
+    """A token and its parts, each once."""
+    found = F.concat(*[S.find(span["match"], part, "random", 3) for part in PARTS])
+    moved = F.transform(found, lambda s: s.withField("start", s["start"] + span["start"]).withField("end", s["end"] + span["start"]))
+    return F.when(span["match"].rlike("[+/_-]"), F.array_distinct(F.concat(F.array(span), moved))).otherwise(F.array(span))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` (text and others) with the base spans and the tested tokens."""
     text = F.coalesce("text", F.lit(""))
@@ -147,7 +188,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return s.withField("match", F.lit("")).withField("part", F.lit(""))
 
     def with_tested(base: Column) -> Column:
-        free = F.filter(S.find(text, TOKEN, "random", 3), lambda s: ~S.inside(s, base))
+        free = F.filter(F.flatten(F.transform(S.find(text, TOKEN, "random", 3), with_parts)), lambda s: ~S.inside(s, base))
         tested = F.transform(free, lambda s: F.struct(
             bare(s).alias("span"), battery(s["match"]).alias("b"), _bin(text_p(s["match"])).alias("bin"), stratum(F.length(s["match"])).alias("stratum")
         ))
@@ -167,7 +208,13 @@ def decide(found: DataFrame) -> DataFrame:
             limit = F.when(t["stratum"] == k, F.lit(low)).otherwise(limit)
         return (t["bin"] >= limit) & (t["b"]["random_p"] >= LEVEL)
 
-    random = F.transform(F.filter("__tested", secret), lambda t: t["span"])
+    def widest(spans: Column) -> Column:
+        def wider(s: Column, o: Column) -> Column:
+            return (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+
+        return F.filter(spans, lambda s: ~F.exists(spans, lambda o: wider(s, o)))
+
+    random = S.let(F.transform(F.filter("__tested", secret), lambda t: t["span"]), widest)
     return found.withColumn("__random", random).drop("__tested")
 
 

@@ -299,6 +299,20 @@ def test_secrets(spark):
     assert secret_scan.redact(df).columns == df.columns and secret_scan.report(df.limit(0)).count() == 0
 
 
+def test_secrets_in_paths_and_of_one_case(spark):
+    rng = random.Random(12)
+    lower, upper = ("".join(rng.choice(x) for _ in range(40)) for x in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    mixed, word = "kJ8s0Qz7Xw2Lp9Rt4Vb6Nm1Yc3Hd5Gf0", "internationalization"
+    keys = [f"see /v1/sk_live_{mixed}/charges now", f"a some-long-path-name/{mixed} b", f"c {mixed[:16]}-{mixed[5:20]}/{mixed[9:]}_{mixed[3:12]} d", f"e {lower} f", f"g {upper} h", f"i /srv/app_data/{lower}/x j"]
+    plain = [f"k {word}{word} l", f"m {word.upper()}_{word.upper()} n", "o /usr/share/some_folder/with-many-parts/and-names/readme p", "q 12345678901234567890 r"]
+    df = H.docs(spark, keys + plain, True)
+    got = {r.doc_id: r for r in secret_scan.report(df).collect()}
+    assert [i for i in got if got[i].n_random] == list(range(len(keys)))
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert not any(x in clean[i] for i in range(len(keys)) for x in (lower, upper, mixed, mixed[9:]))
+    assert [clean[len(keys) + i] for i in range(len(plain))] == plain
+
+
 PII_TEXTS = [
     *ODD, "a@b.c_d@e.f mail x.y+z@mail1.example.com. no@dots", "1.2.3.4.5.6.7.8 256.1.1.1 000000001.2.3.4 9.9.9", "card 4111 1111 1111 1111, 4111111111111112 " + "1" * 25,
     "+1 (017) 555-7713 +12 +49.30.1234567 é +1 1", "Contact: jane (at) example (dot) com or call (415) 555-0132", "1 2 3 " * 3000, "@" * 50 + "a" * 5000 + ".b" * 4000,
