@@ -7,6 +7,11 @@ edges that grow with the part of the path from the root they share.  The minimum
 total cost; the blocks on the source's side are the text.  A block whose own capacity exceeds all its edges keeps its label in
 every minimum cut, so it is settled beforehand and its edges become its neighbours' terminal capacities; max-flow runs on the rest.
 
+Elements that tell boilerplate cost their blocks ``W_BOILER`` times one less the share of the page they hold: of the words under a content
+element further in, or where the page has none, of all words outside links; for ``WRAPPERS`` the larger of the two.  So a form or a div named
+has-sidebar around the whole article costs little, and those with half the share or more leave what is said around and inside them as it is.
+Names of html and body say nothing.
+
 Inside a block white space becomes one space, character references are decoded; kept blocks are joined by a line end.  Nothing else is
 dropped.
 
@@ -40,6 +45,8 @@ IMPLIED = {"p": BLOCK - {"body", "html", "head"}, "li": {"li"}, "dt": {"dt", "dd
 #: elements, and words of class, id or role, that tell boilerplate or content
 BOILER_TAGS = frozenset("nav aside footer form button select option menu dialog fieldset label".split())
 CONTENT_TAGS = frozenset("article main".split())
+#: boilerplate elements that may be put around a whole page
+WRAPPERS = frozenset("form fieldset dialog label".split())
 BOILER_WORDS = frozenset("""
 ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies
 disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted recommended related
@@ -59,16 +66,16 @@ _END = re.compile(r"[.!?:;\"')\]…»”]$")
 
 
 def _telling(tag: str, attributes: str, inside: int) -> int:
-    """-1 boilerplate, 1 content, 0 as around; boilerplate stays so inside."""
-    if inside < 0 or tag in BOILER_TAGS or tag == "header" and inside == 0:
+    """-1 boilerplate, 1 content, 0 as around; ``inside`` is what the innermost telling element around says."""
+    if tag in BOILER_TAGS or tag == "header" and inside <= 0:
         return -1
-    if attributes:
+    if attributes and tag not in ("html", "body"):
         words = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
         if words & BOILER_WORDS and not (words & CONTENT_WORDS and not words & {"comment", "comments", "sidebar", "related", "footer", "nav", "menu"}):
             return -1
         if words & CONTENT_WORDS:
             return 1
-    return 1 if tag in CONTENT_TAGS else inside
+    return 1 if tag in CONTENT_TAGS else 0
 
 
 class Blocks:
@@ -78,11 +85,16 @@ class Blocks:
         self.texts: list[str] = []
         self.scores: list[float] = []
         self.paths: list[tuple[int, ...]] = []
-        self._stack: list[tuple[str, int, int]] = []  # tag, number, telling
+        self._stack: list[tuple[str, int, int]] = []  # tag, number, innermost telling element
+        # telling elements, the page itself first: what they say, the one around, is it a wrapper; and of each block its own and its words
+        self._says, self._around, self._wraps = [0], [0], [False]
+        self._of: list[int] = []
+        self._words: list[float] = []
         self._parts: list[str] = []
         self._linked = 0
         self._tag = ""
         self._read(page)
+        self._judge()
 
     def _read(self, page: str) -> None:
         at, count, end = 0, 0, len(page)
@@ -125,7 +137,13 @@ class Blocks:
                 continue
             count += 1
             inside = self._stack[-1][2] if self._stack else 0
-            self._stack.append((tag, count, _telling(tag, m[3], inside)))
+            says = _telling(tag, m[3], self._says[inside])
+            if says:
+                self._says.append(says)
+                self._around.append(inside)
+                self._wraps.append(tag in WRAPPERS)
+                inside = len(self._says) - 1
+            self._stack.append((tag, count, inside))
         self._flush()
 
     def _text(self, text: str) -> None:
@@ -142,13 +160,40 @@ class Blocks:
             return
         inner = [(t, n) for t, n, _ in self._stack if t in BLOCK]
         tag = inner[-1][0] if inner else self._tag
-        telling = self._stack[-1][2] if self._stack else 0
-        words = text.count(" ") + 1
-        score = W_BIAS + W_LINKS * min(1.0, linked / max(1, len(raw))) + W_LENGTH * min(words, 40) / 40 + (W_END if _END.search(text) else 0)
+        words, links = text.count(" ") + 1, min(1.0, linked / max(1, len(raw)))
+        score = W_BIAS + W_LINKS * links + W_LENGTH * min(words, 40) / 40 + (W_END if _END.search(text) else 0)
         score += W_TEXT_TAG if tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") else W_ITEM if tag in ("li", "td", "th", "dt", "dd", "option") else 0
         self.texts.append(text)
-        self.scores.append(score + (W_BOILER if telling < 0 else W_CONTENT if telling > 0 else 0))
+        self.scores.append(score)
         self.paths.append(tuple(n for _, n in inner))
+        self._of.append(self._stack[-1][2] if self._stack else 0)
+        self._words.append(words * (1 - links))
+
+    def _judge(self) -> None:
+        """Add what the telling elements around each block cost or earn."""
+        n = len(self._says)
+        plain, content = [0.0] * n, [0.0] * n
+        for e, words in zip(self._of, self._words):
+            plain[e] += words
+            content[e] += words if self._says[e] > 0 else 0
+        for e in range(n - 1, 0, -1):  # elements around come before those inside
+            plain[self._around[e]] += plain[e]
+            content[self._around[e]] += content[e]
+        # the least share of the boilerplate elements around, and what the innermost that counts says
+        least, says = [1.0] * n, [0] * n
+        for e in range(1, n):
+            around = self._around[e]
+            least[e], says[e] = least[around], says[around]
+            if self._says[e] < 0:
+                of_plain, of_content = (x[e] / x[0] if x[0] else 0.0 for x in (plain, content))
+                share = max(of_plain, of_content) if self._wraps[e] else of_content if content[0] else of_plain
+                least[e] = min(least[e], share)
+                if share < 0.5:
+                    says[e] = -1
+            elif says[around] >= 0:
+                says[e] = 1
+        for i, e in enumerate(self._of):
+            self.scores[i] += W_BOILER * (1 - least[e]) + (W_CONTENT if says[e] > 0 else 0)
 
 
 def edges(paths: list[tuple[int, ...]]) -> dict[tuple[int, int], float]:
