@@ -3,9 +3,11 @@
 Letters and marks are lower-cased, everything else is one space.  For every language an order-4 model is
 counted over all training documents: tasks count the packed 4-grams (16 bits a character) of each language, Spark adds them up,
 and the lower orders' continuation counts, the contexts' totals and the discounts n1 / (n1 + 2 n2) follow by
-grouping.  A model is kept as sorted arrays of 64-bit hashes with the discounted share of each gram and the back-off weight of each
-context.  Of the two highest orders, a language keeps its ``MAX_GRAMS`` most frequent grams (with ties at the limit: those above it),
-so what is sent to the tasks is at most MAX_LANGUAGES * 4 * MAX_GRAMS entries; beyond MAX_LANGUAGES an error is raised.
+grouping.  A model holds the discounted share of each gram and the back-off weight of each context, of all grams that occur.
+
+Models of up to ``MODEL_ENTRIES`` entries are sent to the tasks as sorted arrays of 64-bit hashes.  Of larger ones the tasks get only what
+the most frequent 4-grams need, and score these; the other 4-grams of each text are joined with the stored models, level by level,
+and their log probabilities added to the text's sums.  Both ways give the same sums, whatever the size of the corpus and the number of languages.
 
 A text gets the language with the least cross-entropy per character.  The lead of the best over the second, times the number of
 characters, is mapped to the probability of being right by a logistic fit on a calibration fold; texts whose
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from .common import mix, store
 
 ORDER = 4
-MAX_GRAMS, MAX_LANGUAGES = 1 << 17, 64
+#: entries of models that are sent to every task
+MODEL_ENTRIES = 1 << 22
 #: characters handled at once, and types a task holds before it sends them on
 CHUNK, HELD = 1_000_000, 2_000_000
 #: share of calibration texts of a language that are accepted; steps of the histograms of lead and cross-entropy
@@ -92,33 +95,33 @@ def _chunks(batches):
                 low, n = i + 1, 0
 
 
-_COUNTED = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+_COUNTED = pa.schema([("lang", pa.string()), ("calibrates", pa.bool_()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
 def _count(batches):
     reader, held = Reader(), {}
 
     def flush():
-        for lang, parts in held.items():
+        for (lang, calibrates), parts in held.items():
             grams, n = _summed(parts)
             for at in range(0, len(grams), 65536):
                 part = grams[at : at + 65536].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part), pa.array(n[at : at + 65536])], schema=_COUNTED)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([calibrates] * len(part)), pa.array(part), pa.array(n[at : at + 65536])], schema=_COUNTED)
         held.clear()
 
     total = 0
     for rows in _chunks(batches):
-        by: dict[str, list] = {}
-        for lang, text in zip(rows["lang"], rows["text"]):
-            by.setdefault(lang, []).append(text)
-        for lang, texts in by.items():
+        by: dict[tuple, list] = {}
+        for lang, calibrates, text in zip(rows["lang"], rows["calibrates"], rows["text"]):
+            by.setdefault((lang, calibrates), []).append(text)
+        for of, texts in by.items():
             packed, _ = reader.grams(texts)
             grams, n = np.unique(packed, return_counts=True)
-            parts = held.setdefault(lang, [])
+            parts = held.setdefault(of, [])
             parts.append((grams, n.astype(np.int64)))
             total += len(grams)
         if total > HELD:
-            held.update({lang: [_summed(parts)] for lang, parts in held.items()})
+            held.update({of: [_summed(parts)] for of, parts in held.items()})
             total = sum(len(p[0][0]) for p in held.values())
             if total > HELD // 2:
                 yield from flush()
@@ -136,14 +139,24 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return grams[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def count(docs: DataFrame, calibrates: Column) -> DataFrame:
+    """(lang, calibrates, gram, n): how often each 4-gram occurs in the texts of a language, those that calibrate apart."""
+    learned = docs.where("lang is not null and text is not null").select("lang", F.coalesce(calibrates, F.lit(False)).alias("calibrates"), "text")
+    counts = learned.mapInArrow(_count, "lang string, calibrates boolean, gram long, n long")
+    return store(counts.groupBy("lang", "calibrates", "gram").agg(F.sum("n").alias("n")), "grams")
+
+
 def train(docs: DataFrame) -> DataFrame:
-    """The models of all languages of ``docs`` (text, lang): (lang, level, kind, key, value).
+    """The models of all languages of ``docs`` (text, lang)."""
+    return models(count(docs, F.lit(False)).select("lang", "gram", "n"))
+
+
+def models(counts: DataFrame) -> DataFrame:
+    """The models of counted 4-grams (lang, gram, n): (lang, level, kind, key, value).
 
     Level is the length of a gram; kind ``g`` holds the discounted share of a gram in its context, kind ``c`` the
     back-off weight of a context (its key is the gram's without the last character); level 0 the number of characters known.
     """
-    learned = docs.where("lang is not null and text is not null").select("lang", "text")
-    counts = store(learned.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     parts = []
     for level in range(ORDER, 0, -1):
         if level < ORDER:  # continuation counts: of how many longer grams is it the end
@@ -155,13 +168,9 @@ def train(docs: DataFrame) -> DataFrame:
         grams = counts.select("lang", "gram", "n", context)
         totals = grams.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
         shares = grams.join(rarity, "lang").join(totals, ["lang", "context"])
-        if level >= ORDER - 1:
-            shares = shares.join(_least(counts), "lang").where("n >= least")
         share = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
         parts.append(shares.select("lang", F.lit(level).alias("level"), F.lit("g").alias("kind"), F.col("gram").alias("key"), share.alias("value")))
         weights = totals.join(rarity, "lang")
-        if level >= ORDER - 1:
-            weights = weights.join(shares.select("lang", "context").distinct(), ["lang", "context"], "left_semi")
         parts.append(weights.select("lang", F.lit(level), F.lit("c"), "context", F.col("d") * F.col("types") / F.col("total")))
     known = counts.groupBy("lang").agg(F.count("*").cast("double").alias("n"))
     parts.append(known.select("lang", F.lit(0), F.lit("g"), F.lit(0).cast("long"), "n"))
@@ -171,24 +180,18 @@ def train(docs: DataFrame) -> DataFrame:
     return out
 
 
-def _least(counts: DataFrame) -> DataFrame:
-    """(lang, least): the count from which on a language has at most MAX_GRAMS grams, by a histogram of the counts."""
-    histogram = counts.groupBy("lang", "n").agg(F.count("*").alias("types"))
-    above = F.sum("types").over(Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = histogram.select("lang", "n", above.alias("above"))
-    return ranked.groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("above") <= MAX_GRAMS, F.col("n"))), F.max("n") + 1).alias("least"))
-
-
 class Model:
-    """Models of all languages as sorted hash arrays."""
+    """Models of all languages as sorted hash arrays.
 
-    def __init__(self, table: pa.Table):
+    ``hot``: the packed 4-grams they suffice for; all, if None.
+    """
+
+    def __init__(self, table: pa.Table, hot: np.ndarray | None = None):
+        self.hot = None if hot is None else np.sort(hot)
         langs = table["lang"].to_numpy(zero_copy_only=False)
         level, kind = table["level"].to_numpy(), table["kind"].to_numpy(zero_copy_only=False)
         key, value = table["key"].to_numpy().view(np.uint64), table["value"].to_numpy()
         self.langs = sorted(set(langs.tolist()))
-        if len(self.langs) > MAX_LANGUAGES:
-            raise ValueError(f"{len(self.langs)} languages, at most {MAX_LANGUAGES} fit the model's size bound")
         self.arrays = {}
         for lang in self.langs:
             for k in range(ORDER + 1):
@@ -220,6 +223,17 @@ class Model:
         return out
 
 
+def _read(reader: Reader, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct packed 4-grams, which of them ends at each character, text of each character)."""
+    packed, of = reader.grams(texts)
+    order = np.argsort(packed)
+    ranked = packed[order]
+    first = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.empty(0, bool)
+    which = np.empty(len(packed), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return ranked[first], which, of
+
+
 _JUDGED = pa.schema([("id", pa.int64()), ("held_out", pa.bool_()), ("lang", pa.string()), ("best", pa.string()), ("lead", pa.float64()), ("entropy", pa.float64())])
 _DDL = "id long, held_out boolean, lang string, best string, lead double, entropy double"
 
@@ -234,16 +248,11 @@ def _judge(docs: DataFrame, model) -> DataFrame:
         reader, m = Reader(), model.value
         for rows in _chunks(batches):
             n = len(rows["id"])
-            packed, of = reader.grams(rows["text"])
-            order = np.argsort(packed)
-            ranked = packed[order]
-            first = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.empty(0, bool)
-            which = np.empty(len(packed), np.int64)
-            which[order] = np.cumsum(first) - 1
+            grams, which, of = _read(reader, rows["text"])
             size = np.bincount(of, minlength=n)
             best, lead, entropy = [None] * n, np.zeros(n), np.zeros(n)
-            if m.langs and len(packed):
-                log_p = m.log_p(ranked[first])
+            if m.langs and len(grams):
+                log_p = m.log_p(grams)
                 sums = np.stack([np.bincount(of, log_p[i][which], n) for i in range(len(m.langs))])
                 top = np.argmax(sums, axis=0)
                 top_sum = np.max(sums, axis=0)
@@ -259,6 +268,103 @@ def _judge(docs: DataFrame, model) -> DataFrame:
     return docs.select("id", "held_out", "lang", "text").mapInArrow(run, _DDL)
 
 
+_PART = pa.schema([("id", pa.int64()), ("held_out", pa.bool_()), ("lang", pa.string()), ("key", pa.int64()), ("size", pa.int64()), ("sums", pa.list_(pa.float64())), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+_PART_DDL = "id long, held_out boolean, lang string, key long, size long, sums array<double>, grams array<long>, counts array<long>"
+
+
+def _judge_large(docs: DataFrame, table: DataFrame, model) -> DataFrame:
+    """What ``_judge`` gives, with a model that suffices for its hot 4-grams only; ``table`` is the whole, stored."""
+    langs = model.value.langs
+
+    def run(batches):
+        reader, m = Reader(), model.value
+        for rows in _chunks(batches):
+            n = len(rows["id"])
+            grams, which, of = _read(reader, rows["text"])
+            hot = np.isin(grams, m.hot)
+            size = np.bincount(of, minlength=n)
+            sums, tails = np.zeros((n, len(m.langs))), [([], [])] * n
+            if len(grams):
+                log_p = np.where(hot, m.log_p(grams), 0.0)
+                sums = np.stack([np.bincount(of, log_p[i][which], n) for i in range(len(m.langs))], axis=1)
+                cold = ~hot[which]
+                pairs, counts = np.unique(np.stack([of[cold], which[cold]]), axis=1, return_counts=True)
+                ends = np.searchsorted(pairs[0], np.arange(n + 1))
+                rest = grams[pairs[1]].view(np.int64)
+                tails = [(rest[a:b], counts[a:b]) for a, b in zip(ends, ends[1:])]
+            columns = (rows["id"], rows["held_out"], rows["lang"], rows["key"], size, list(sums), [t[0] for t in tails], [t[1] for t in tails])
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, _PART)], schema=_PART)
+
+    keyed = docs.select("id", "held_out", "lang", F.xxhash64("id", "text").alias("key"), "text")
+    part = store(keyed.mapInArrow(run, _PART_DDL), "part")
+    # rows of one id and text have the same rest
+    rest = part.where(F.size("grams") > 0).dropDuplicates(["key"]).select("key", F.explode(F.arrays_zip("grams", "counts")).alias("x")).select("key", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n"))
+    scored = _log_p(store(rest.select("gram").distinct(), "rest"), table, langs)
+    added = rest.join(scored, "gram").select("key", "n", F.posexplode("log_p").alias("at", "log_p")).groupBy("key", "at").agg(F.sum(F.col("n") * F.col("log_p")).alias("sum"))
+    added = added.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "sum"))), lambda x: x["sum"]).alias("added"))
+    whole = part.drop("grams", "counts").join(added, "key", "left")
+    whole = whole.withColumn("sums", F.when(F.col("added").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "added", lambda a, b: a + b)))
+    top = F.array_max("sums")
+    names = F.array(*[F.lit(x) for x in langs])
+    some = F.col("size") > 0
+    second = F.get(F.sort_array("sums", False), F.lit(1))
+    return whole.select(
+        "id", "held_out", "lang", F.when(some, F.get(names, (F.array_position("sums", top) - 1).cast("int"))).alias("best"),
+        F.when(some, F.coalesce(top - second, F.col("size").cast("double"))).otherwise(0.0).alias("lead"), F.when(some, -top / F.col("size")).otherwise(0.0).alias("entropy"),
+    )
+
+
+def _log_p(grams: DataFrame, table: DataFrame, langs: list[str]) -> DataFrame:
+    """(gram, log_p): log P of distinct packed 4-grams as an array by language, from the stored models."""
+    number = F.create_map(*[x for i, lang in enumerate(langs) for x in (F.lit(lang), F.lit(i))])
+    entries = table.where("level > 0").groupBy("level", "kind", "key").agg(F.map_from_entries(F.collect_list(F.struct(F.element_at(number, F.col("lang")), "value"))).alias("values"))
+
+    def of(level: int, kind: str, name: str) -> DataFrame:
+        return entries.where((F.col("level") == level) & (F.col("kind") == kind)).select(F.col("key").alias(name), F.col("values").alias(f"{kind}s"))
+
+    masks = {k: F.lit((1 << (16 * k)) - 1 if k < ORDER else -1) for k in range(ORDER + 1)}
+    known = {r["lang"]: r["value"] for r in table.where("level = 0").select("lang", "value").collect()}
+    below = grams.select(F.lit(0).cast("long").alias("tail")).limit(1).withColumn("p", F.array(*[F.lit(1 / (1 + known[x])) for x in langs]))
+    for k in range(1, ORDER + 1):
+        # the distinct endings of length k, each with its own share, its context's weight and what the shorter ending has
+        ends = grams.select(F.col("gram").bitwiseAND(masks[k]).alias("end")).distinct()
+        ends = ends.select("end", F.shiftrightunsigned("end", 16).alias("context"), F.col("end").bitwiseAND(masks[k - 1]).alias("tail"))
+        ends = ends.join(of(k, "g", "end"), "end", "left").join(of(k, "c", "context"), "context", "left").join(below, "tail")
+        value = F.transform("p", lambda p, i: F.coalesce(F.element_at("gs", i), F.lit(0.0)) + F.coalesce(F.element_at("cs", i), F.lit(1.0)) * p)
+        below = store(ends.select(F.col("end").alias("tail"), value.alias("p")), f"level{k}")
+    return below.select(F.col("tail").alias("gram"), F.transform("p", lambda p: F.log(p)).alias("log_p"))
+
+
+def _hot(counts: DataFrame, most: int) -> DataFrame:
+    """(gram): the most frequent 4-grams, at most ``most``, by a histogram of frequencies in steps of an eighth of a doubling."""
+    step = F.floor(F.log2(F.col("n")) * 8).cast("int")
+    total = counts.groupBy("gram").agg(F.sum("n").alias("n")).select("gram", step.alias("step"))
+    least, held = None, 0
+    for r in sorted(total.groupBy("step").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+        held += r["n"]
+        if held > most:
+            break
+        least = r["step"]
+    return total.where(F.lit(False) if least is None else F.col("step") >= least).select("gram")
+
+
+def judge(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, held_out, lang, best, lead, entropy) of ``docs``, stored, by the models of counted 4-grams (lang, gram, n)."""
+    spark = docs.sparkSession
+    table = store(models(counts), "models")
+    if table.count() <= MODEL_ENTRIES:
+        return store(_judge(docs, spark.sparkContext.broadcast(Model(table.toArrow()))), "judged")
+    hot = store(_hot(counts, MODEL_ENTRIES // (2 * ORDER * table.where("level = 0").count())), "hot")
+    keys = []
+    for k in range(1, ORDER + 1):
+        gram = F.col("gram").bitwiseAND(F.lit((1 << (16 * k)) - 1 if k < ORDER else -1))
+        keys += [F.struct(F.lit(k).alias("level"), F.lit(kind).alias("kind"), key.alias("key")) for kind, key in (("g", gram), ("c", F.shiftrightunsigned(gram, 16)))]
+    wanted = hot.select(F.explode(F.array(*keys)).alias("x")).select("x.*").distinct()
+    some = table.where("level > 0").join(wanted, ["level", "kind", "key"], "left_semi").select(*table.columns).union(table.where("level = 0"))
+    grams = hot.toArrow()["gram"].to_numpy().view(np.uint64)
+    return store(_judge_large(docs, table, spark.sparkContext.broadcast(Model(some.toArrow(), grams))), "judged")
+
+
 def _lead_bin(lead: Column) -> Column:
     return F.least(F.lit(LEAD_BINS), F.floor(F.log2(1 + lead) * 2).cast("int"))
 
@@ -308,11 +414,10 @@ def identify(docs: DataFrame, train_on: Column, calibrate_on: Column) -> DataFra
 
     Models are learned where ``train_on`` holds, scores calibrated where ``calibrate_on`` does.
     """
-    spark = docs.sparkSession
-    table = train(docs.where(train_on)).toArrow()
-    model = spark.sparkContext.broadcast(Model(table))
-    judged = store(_judge(docs.withColumn("lang", F.when(calibrate_on, F.col("lang"))), model), "judged")
-    slope, offset, limits = calibrate(judged.where("lang is not null"))
+    either = F.coalesce(train_on, F.lit(False)) | F.coalesce(calibrate_on, F.lit(False))
+    counts = count(docs.where(either), calibrate_on)
+    slope, offset, limits = calibrate(judge(docs.where(calibrate_on).where("lang is not null"), counts.where("not calibrates").select("lang", "gram", "n")))
+    judged = judge(docs, counts.where("not calibrates").select("lang", "gram", "n"))
     x = F.lit(slope) * _lead_bin(F.col("lead")) + F.lit(offset)
     limit = F.lit(None).cast("double")
     for lang, most in limits.items():

@@ -204,6 +204,35 @@ def test_language_models(spark):
         assert 0.9 < np.exp(model.log_p(grams)[0]).sum() <= 1 + 1e-5
 
 
+def _syllabic(spark, langs, per, rng):
+    rows = []
+    for k, lang in enumerate(langs):
+        syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüßéñł") for _ in range(rng.randrange(2, 4))) for _ in range(12)]
+        rows += [(len(langs) * i + k, " ".join("".join(rng.choice(syllables) for _ in range(3)) for _ in range(20)), lang, None) for i in range(per)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_language_models_have_no_bound(spark, monkeypatch):
+    df = _syllabic(spark, ["aa", "bb", "cc"], 40, random.Random(11)).withColumn("doc_id", F.when(F.col("doc_id") != 7, F.col("doc_id")))
+    df = df.union(spark.createDataFrame([(3, None, "aa", None), (4, "", None, None), (5, "zzzz qqqq zzzz", None, None), (5, "zzzz qqqq zzzz", None, None)], df.schema))
+    want = sorted(language_id.by_fold(df).collect(), key=str)
+    for entries in (6000, 0):
+        monkeypatch.setattr(language_id, "MODEL_ENTRIES", entries)
+        got = sorted(language_id.by_fold(df).collect(), key=str)
+        assert [(r.doc_id, r.held_out, r.lang_pred, r.rejected) for r in got] == [(r.doc_id, r.held_out, r.lang_pred, r.rejected) for r in want]
+        assert [r.score for r in got] == pytest.approx([r.score for r in want])
+        assert [r.cross_entropy or 0 for r in got] == pytest.approx([r.cross_entropy or 0 for r in want], rel=1e-5)
+
+
+def test_language_models_of_many_languages_and_all_grams(spark):
+    langs = [f"l{i:02}" for i in range(70)]
+    df = _syllabic(spark, langs, 3, random.Random(13))
+    table = language_id.train(df).toArrow()
+    assert language_id.Model(table).langs == langs
+    of = [table["value"][i].as_py() for i in range(len(table)) if table["lang"][i].as_py() == "l00" and table["level"][i].as_py() == 0]
+    assert len(of) == 1
+
+
 def test_packing(spark):
     rng = random.Random(1)
     lengths = sorted((rng.choice([3, 50, 120, 400, 511, 700, 1500, 5000, 8192]) + rng.randrange(3) for _ in range(400)), reverse=True)
