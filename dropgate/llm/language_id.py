@@ -412,12 +412,12 @@ def calibrate(judged: DataFrame) -> tuple[float, float, dict[str, float]]:
 def identify(docs: DataFrame, train_on: Column, calibrate_on: Column) -> DataFrame:
     """One row per row of ``docs`` (id, text, lang, held_out): lang_pred, score, cross_entropy, rejected.
 
-    Models are learned where ``train_on`` holds, scores calibrated where ``calibrate_on`` does.
+    Models are learned where ``train_on`` holds, scores calibrated where ``calibrate_on`` does; the final models are learned from both.
     """
     either = F.coalesce(train_on, F.lit(False)) | F.coalesce(calibrate_on, F.lit(False))
     counts = count(docs.where(either), calibrate_on)
     slope, offset, limits = calibrate(judge(docs.where(calibrate_on).where("lang is not null"), counts.where("not calibrates").select("lang", "gram", "n")))
-    judged = judge(docs, counts.where("not calibrates").select("lang", "gram", "n"))
+    judged = judge(docs, counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     x = F.lit(slope) * _lead_bin(F.col("lead")) + F.lit(offset)
     limit = F.lit(None).cast("double")
     for lang, most in limits.items():
@@ -429,7 +429,7 @@ def identify(docs: DataFrame, train_on: Column, calibrate_on: Column) -> DataFra
 
 
 def by_fold(docs: DataFrame) -> DataFrame:
-    """Languages of ``docs`` (doc_id, text, lang): folds by CRC-32 of the id; 0 is held out, 1 calibrates, 2 to 4 train."""
+    """Languages of ``docs`` (doc_id, text, lang): folds by CRC-32 of the id; 0 is held out, 1 calibrates what 2 to 4 teach, 1 to 4 train."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text", "lang", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), fold.alias("fold"))
     out = identify(rows, F.col("fold") >= 2, F.col("fold") == 1)

@@ -233,6 +233,15 @@ def test_language_models_of_many_languages_and_all_grams(spark):
     assert len(of) == 1
 
 
+def test_language_of_the_calibrating_fold_only_is_learned(spark):
+    import zlib
+
+    df = _syllabic(spark, ["aa", "bb"], 100, random.Random(14)).where((F.col("lang") == "aa") | (F.crc32(F.col("doc_id").cast("string")) % 5 < 2))
+    out = {r.doc_id: r.lang_pred for r in language_id.by_fold(df).collect()}
+    truth = {r.doc_id: r.lang for r in df.collect()}
+    assert out == truth and any(zlib.crc32(str(i).encode()) % 5 == 0 and k == "bb" for i, k in truth.items())
+
+
 def test_packing(spark):
     rng = random.Random(1)
     lengths = sorted((rng.choice([3, 50, 120, 400, 511, 700, 1500, 5000, 8192]) + rng.randrange(3) for _ in range(400)), reverse=True)
