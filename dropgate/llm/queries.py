@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, language_id, packing, pii, quality_rules, secret_scan, token_counts, warc
+from . import decontaminate, hard_negatives, html_extract, jaccard_join, language_id, packing, pii, quality_rules, secret_scan, token_counts, topk_search, warc
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -59,10 +60,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows for every row whose vec_id is divisible by 50."""
+    return topk_search.search(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor's positives; every seventh row has the next label."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), moved)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_warc, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_best_fit_packing,
-        op7_html_extraction, op8_secret_scan, op9_token_counts, op10_pii,
+        op7_html_extraction, op8_secret_scan, op9_token_counts, op10_pii, op11_exact_topk_search, op13_hard_negative_mining,
     )
 }

@@ -7,6 +7,10 @@ _STEPS = ", ".join(f"('{r}', {i}, {c / 100})" for r in RULES for i, c in enumera
 _HITS = " ".join(f"WHEN '{r}' THEN f.{s} > x.cutoff" for r, s in _RULE_SHARES.items())
 _FAILED = ", ".join(f"CASE WHEN f.{s} > (SELECT cutoff FROM chosen c WHERE c.stratum = f.stratum AND c.rule = '{r}') THEN '{r}' END" for r, s in _RULE_SHARES.items())
 
+_VECTORS = """e AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
 ORACLES = {
     "op4_quality_rules": rf"""
 WITH d AS (
@@ -57,5 +61,25 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.d
     GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
 r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.doc_id)
 SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n
+""",
+    "op11_exact_topk_search": f"""
+WITH {_VECTORS},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+""",
+    "op13_hard_negative_mining": f"""
+WITH {_VECTORS},
+l AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM e WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, CAST(list_inner_product(a.v, x.v) AS BIGINT) AS score
+    FROM l a JOIN l x ON a.vec_id % 50 = 0 AND a.vec_id <> x.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM p JOIN s USING (anchor_id) WHERE place <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT * FROM n WHERE rank <= 3
 """,
 }
