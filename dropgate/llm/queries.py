@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, html_extract, jaccard_join, language_id, packing, pii, quality_rules, secret_scan, token_counts, topk_search, warc
+from . import decontaminate, hard_negatives, html_extract, jaccard_join, language_id, packing, periodic_runs, pii, quality_rules, secret_scan, token_counts, topk_search, warc
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -65,6 +65,11 @@ def op11_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document; every tenth one repeats a stretch."""
+    return periodic_runs.report(periodic_runs.find(table(spark, sf_dir, "documents"), periodic_runs.planted))
+
+
 def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor's positives; every seventh row has the next label."""
     label = F.col("label").cast("long")
@@ -76,6 +81,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_warc, op3_language_id, op4_quality_rules, op5_ngram_jaccard_join, op6_best_fit_packing,
-        op7_html_extraction, op8_secret_scan, op9_token_counts, op10_pii, op11_exact_topk_search, op13_hard_negative_mining,
+        op7_html_extraction, op8_secret_scan, op9_token_counts, op10_pii, op11_exact_topk_search, op12_periodic_runs, op13_hard_negative_mining,
     )
 }
