@@ -16,7 +16,7 @@ Occurrences are the matches of one alignment (position in the document less that
 each step also shifted by its half so that inserted words split none, and all matches of the document together.  The report names
 the occurrence of the largest coverage, of that the most consistent.
 
-Documents are never shuffled: tasks test their windows against a Bloom filter of the benchmark's windows, of fixed size, and
+Documents are never shuffled: tasks test their windows against a Bloom filter of the benchmark's windows, sized by their number up to 32 MB, and
 send only the hits to the exact hash join.
 
 Defined results: null or empty texts and items without words match nothing; documents and items are told apart by id and hash of the text,
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import chain
 from operator import and_
 
 import numpy as np
@@ -43,8 +44,8 @@ WINDOW = 8
 COVERAGE, CONSISTENT = 50, 75
 #: widths of the alignments taken as one occurrence, beside the exact one and the whole document
 STEPS = (4, 16)
-#: size of the Bloom filter, and probes
-BLOOM_BITS, PROBES = 1 << 23, 3
+#: bits of the Bloom filter for a window of the benchmark, least and most bits, and probes
+BITS, LEAST_BITS, MOST_BITS, PROBES = 16, 1 << 16, 1 << 28, 3
 #: words kept in a task's memo of canonical forms
 MEMO = 500_000
 
@@ -71,6 +72,11 @@ NAMED, UNITED, UNJUDGED = 2, 3, 0
 
 def _form(word: str) -> tuple[int, int, int]:
     """(hash of the literal, hash of the value, flags) of a word."""
+    stem, last = (word[:-1], word[-1]) if word[-1] in ".,;!?:" else (word, "")
+    if stem.isalpha():  # most words: letters, maybe a mark behind them
+        low = stem.lower()
+        value = xxhash.xxh3_64_intdigest(low)
+        return value, value, (CAPITAL if stem[0].isupper() else 0) | (UNIT if low in UNITS else 0) | (END if last and last in ".!?:" else 0)
     end = END if ENDS.search(word) else 0
     bare = EDGES.sub("", word)
     if not bare:
@@ -85,39 +91,61 @@ def _form(word: str) -> tuple[int, int, int]:
     return value, value, (CAPITAL if bare[0].isupper() else 0) | (UNIT if low in UNITS else 0) | end
 
 
-def _words(text: str | None, memo: dict) -> list[tuple[int, int, int]]:
-    split = text.split() if text else []
-    if len(memo) > MEMO:
-        memo.clear()
-    rows = []
-    for w in split:
-        r = memo.get(w)
-        if r is None:
-            r = memo[w] = _form(w)
-        rows.append(r)
-    return rows
-
+class Vocabulary(dict):
+    """Numbers of the words seen, and the hashes and flags of each by number."""
+
+    def __init__(self):
+        super().__init__()
+        self.forms: list[tuple[int, int, int]] = []
+        self.columns = [np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.uint8)]
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.forms)
+        self.forms.append(_form(word))
+        return number
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """(literal hashes, value hashes, flags, number of the text) of all words of the texts, one after the other."""
+        if len(self) > MEMO:
+            self.__init__()
+            self.clear()
+        number = self.__getitem__
+        split = [(t or "").split() for t in texts]
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(number, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        known = len(self.columns[0])
+        if known < len(self.forms):
+            fresh = zip(*self.forms[known:])
+            self.columns = [np.r_[old, np.array(new, old.dtype)] for old, new in zip(self.columns, fresh)]
+        return (*(c[at] for c in self.columns), np.repeat(np.arange(len(split)), lengths))
+
+
+def plain(words: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words as they are, numbers, names and units too, in the form of ``canonical``."""
+    _, value, flags, text = words
+    full = (flags & EMPTY) == 0
+    return value[full], value[full], np.zeros(int(full.sum()), bool), text[full]
 
-def plain(text: str | None, memo: dict) -> np.ndarray:
-    """Hashes of the words as they are, numbers, names and units too."""
-    return np.array([v for _, v, flags in _words(text, memo) if not flags & EMPTY], np.uint64)
 
+def first_forms(words: tuple[np.ndarray, ...]) -> list[int]:
+    """The kinds of slot that the first word of a single text may be inside a sentence."""
+    flags = words[2][(words[2] & EMPTY) == 0][:1]
+    return [kind for flag, kind in ((CAPITAL, NAMED), (UNIT, UNITED)) if (flags & flag).any()]
 
-def first_forms(text: str | None, memo: dict) -> list[int]:
-    """The kinds of slot that the first word may be inside a sentence."""
-    flags = next((f for _, _, f in _words(text, memo) if not f & EMPTY), 0)
-    return [kind for flag, kind in ((CAPITAL, NAMED), (UNIT, UNITED)) if flags & flag]
 
+def canonical(words: tuple[np.ndarray, ...], first_kind: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the canonical words, hashes of the values, is a slot, number of the text) of the texts read.
 
-def canonical(text: str | None, memo: dict, first_kind: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of the canonical words, hashes of the values, is a slot) of a text; ``first_kind`` makes its first word a slot."""
-    rows = _words(text, memo)
-    if not rows:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
-    literal, value, flags = (np.array(x, kind) for x, kind in zip(zip(*rows), (np.uint64, np.uint64, np.int64)))
-    starts = np.r_[True, (flags[:-1] & END) > 0]
+    ``first_kind`` makes the first word of a single text a slot.
+    """
+    literal, value, flags, text = words
+    if not len(literal):
+        return literal, value, np.empty(0, bool), text
+    same = np.r_[False, text[1:] == text[:-1]]
+    before = np.r_[np.uint8(0), flags[:-1]] * same
+    starts = ~same | ((before & END) > 0)
     number = (flags & NUM) > 0
-    unit = ((flags & UNIT) > 0) & np.r_[False, number[:-1] & ((flags[:-1] & GLUE) == 0)]
+    unit = ((flags & UNIT) > 0) & ((before & (NUM | GLUE)) == NUM)
     name = ((flags & CAPITAL) > 0) & ~starts & ~unit
     full = (flags & EMPTY) == 0
     if first_kind and full.any():
@@ -125,29 +153,42 @@ def canonical(text: str | None, memo: dict, first_kind: int = 0) -> tuple[np.nda
         name[at], unit[at] = first_kind == NAMED, first_kind == UNITED
     kind = np.where(name, NAMED, np.where(unit, UNITED, np.where(number, 1, 0)))
     literal = np.where(name, np.uint64(_NAME), np.where(unit, np.uint64(_UNIT), literal))
-    literal, value, kind = literal[full], value[full], kind[full]
+    literal, value, kind, text = literal[full], value[full], kind[full], text[full]
     if not len(literal):
-        return literal, value, kind > 0
+        return literal, value, kind > 0, text
     # names of several words, numbers in several groups: one slot
-    first = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 0)])
-    return literal[first], mix(np.add.reduceat(value, first)), kind[first] > 0
+    first = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 0) | (text[1:] != text[:-1])])
+    return literal[first], mix(np.add.reduceat(value, first)), kind[first] > 0, text[first]
+
+
+def windows(words: tuple[np.ndarray, ...], sizes: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(hashes, positions) of the windows with enough literal words, by size; a window lies in one text."""
+    literal, _, slot, text = words
+    out, n = {}, len(literal)
+    held = np.r_[0, np.cumsum(slot)]
+    prefix = np.zeros(n, np.uint64)
+    power = 1
+    for size in range(1, max(sizes, default=0) + 1):
+        prefix = prefix[: max(0, n - size + 1)] * _STEP + literal[size - 1 :]
+        power = power * int(_STEP) % (1 << 64)
+        if size in sizes:
+            h = prefix + np.uint64(size * power % (1 << 64))
+            at = np.flatnonzero((text[: len(h)] == text[size - 1 :]) & (2 * (held[size:] - held[: len(h)]) <= size)) if len(h) else np.empty(0, np.int64)
+            out[size] = mix(h[at]), at
+    return out
 
 
-def windows(literal: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) of the windows with enough literal words."""
-    n = len(literal) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    out = np.full(n, size, np.uint64)
-    for i in range(size):
-        out = out * _STEP + literal[i : i + n]
-    slots = np.convolve(slot.astype(np.int64), np.ones(size, np.int64), "valid")
-    at = np.flatnonzero(2 * slots <= size)
-    return mix(out[at]), at
+def _probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(h >> np.uint64(i * 20)) & np.uint64(bits - 1) for i in range(PROBES)]
 
 
-def _probes(h: np.ndarray) -> list[np.ndarray]:
-    return [(h >> np.uint64(i * 20)) & np.uint64(BLOOM_BITS - 1) for i in range(PROBES)]
+def _passing(h: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+    """Positions of the hashes that the filter may hold."""
+    at = np.arange(len(h))
+    for p in _probes(h, 8 * len(bloom)):
+        probe = p[at]
+        at = at[(bloom[probe >> np.uint64(3)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+    return at
 
 
 _HITS = pa.schema([
@@ -156,69 +197,67 @@ _HITS = pa.schema([
 _DDL = "id long, key long, pos int, size int, hash long, total int, slots array<long>"
 
 
-def _of_item(text: str | None, memo: dict) -> list[tuple]:
-    """(size, hashes, positions, values, is a slot, number of windows) of an item; the size of windows of plain words is negative."""
-    literal, value, slot = canonical(text, memo)
-    if not len(literal):
+def _of_item(text: str | None, known: Vocabulary) -> list[tuple]:
+    """(size, hashes, positions, words, number of windows) of an item; the size of windows of plain words is negative."""
+    words = known.read([text])
+    form = canonical(words)
+    if not len(form[0]):
         return []
-    size = min(WINDOW, len(literal))
-    h, at = windows(literal, slot, size)
-    total, out = max(1, len(h)), [(size, h, at, value, slot, max(1, len(h)))]
+    size = min(WINDOW, len(form[0]))
+    h, at = windows(form, [size])[size]
+    total, out = max(1, len(h)), [(size, h, at, form, max(1, len(h)))]
     if not len(h) or at[0] == 0:
-        for kind in first_forms(text, memo):
-            literal, value, slot = canonical(text, memo, kind)
-            value[0] = UNJUDGED
-            size = min(WINDOW, len(literal))
-            other, place = windows(literal[:size], slot[:size], size)
-            out.append((size, other, place, value, slot, total))
+        for kind in first_forms(words):
+            other = canonical(words, kind)
+            other[1][0] = UNJUDGED
+            size = min(WINDOW, len(other[0]))
+            out.append((size, *windows(tuple(c[:size] for c in other), [size])[size], other, total))
     if not (at > 0).any():
-        words = plain(text, memo)
-        size = min(WINDOW, len(words))
-        none = np.zeros(len(words), bool)
-        exact, at = windows(words, none, size)
-        out.append((-size, exact, at, words, none, len(exact)))
+        exact = plain(words)
+        size = min(WINDOW, len(exact[0]))
+        h, at = windows(exact, [size])[size]
+        out.append((-size, h, at, exact, len(h)))
     return out
 
 
-def _of_document(text: str | None, memo: dict, sizes: list[int]) -> list[tuple]:
-    """The same of a document, all windows of ``sizes``."""
+def _of_documents(texts: list[str | None], known: Vocabulary, sizes: list[int], bloom: np.ndarray) -> list[tuple]:
+    """The same of documents, of windows that the filter may hold; one pass over the words serves all ``sizes``."""
     out = []
-    if any(size > 0 for size in sizes):
-        literal, value, slot = canonical(text, memo)
-        out += [(size, *windows(literal, slot, size), value, slot, 0) for size in sizes if size > 0]
-    if any(size < 0 for size in sizes):
-        words = plain(text, memo)
-        none = np.zeros(len(words), bool)
-        out += [(size, *windows(words, none, -size), words, none, 0) for size in sizes if size < 0]
+    words = known.read(texts)
+    for sign, form in ((1, canonical), (-1, plain)):
+        if mine := [abs(size) for size in sizes if size * sign > 0]:
+            made = form(words)
+            for size, (h, at) in windows(made, mine).items():
+                hit = _passing(h, bloom)
+                out.append((sign * size, h[hit], at[hit], made, 0))
     return out
 
 
 def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
-    """Windows of the texts of ``df`` (id, key, text); only those the filter may hold, if one is given.
+    """Windows of the texts of ``df`` (id, key, text); of documents those the filter may hold.
 
     ``sizes``: lengths of windows, negative ones of plain words; None for the benchmark, whose items have their own.
     """
 
     def make():
-        memo: dict = {}
-        bits = None if bloom is None else np.unpackbits(np.frombuffer(bloom.value, np.uint8), bitorder="little").view(bool)
+        known = Vocabulary()
+        bits = None if bloom is None else np.frombuffer(bloom.value, np.uint8)
 
         def fn(c):
-            cols: list[list] = [[] for _ in _HITS]
-            for id_, key, text in zip(c["id"], c["key"], c["text"]):
-                for size, h, at, value, slot, total in _of_item(text, memo) if sizes is None else _of_document(text, memo, sizes):
-                    if bits is not None:
-                        hit = np.ones(len(h), bool)
-                        for p in _probes(h):
-                            hit &= bits[p]
-                        h, at = h[hit], at[hit]
-                    for x, i in zip(h.view(np.int64).tolist(), at.tolist()):
-                        held = slot[i : i + abs(size)]
-                        for col, v in zip(cols, (id_, key, i, size, x, total, value[i : i + abs(size)][held])):
-                            col.append(v)
-            flat = np.concatenate(cols[-1]).view(np.int64) if cols[-1] else np.empty(0, np.int64)
-            slots = list_array(flat, np.array([len(x) for x in cols[-1]], np.int64), pa.int64())
-            return dict(zip(_HITS.names, [*cols[:-1], slots]))
+            if sizes is None:
+                found = [(*f, k) for k, text in enumerate(c["text"]) for f in _of_item(text, known)]
+            else:
+                found = [(*f, None) for f in _of_documents(c["text"], known, sizes, bits)]
+            parts = []
+            for size, h, at, (_, value, slot, text), total, k in found:
+                inside = at[:, None] + np.arange(abs(size))
+                held = slot[inside]
+                row = np.full(len(at), k) if k is not None else text[at]
+                begins = np.searchsorted(text, text[at])  # the first word of the text
+                parts.append((row, at - begins, np.full(len(at), size), h.view(np.int64), np.full(len(at), total), held.sum(1), value[inside][held].view(np.int64)))
+            row, pos, size, h, total, slots, flat = (np.concatenate(p) for p in zip(*parts)) if parts else [np.empty(0, np.int64)] * 7
+            ids, keys = (pa.array(c[n], pa.int64()).take(pa.array(row, pa.int64())) for n in ("id", "key"))
+            return dict(zip(_HITS.names, [ids, keys, pos, size, h, total, list_array(flat, slots, pa.int64())]))
 
         return fn
 
@@ -226,20 +265,21 @@ def _windows_of(df: DataFrame, sizes: list[int] | None, bloom) -> DataFrame:
 
 
 def _bloom(windows_: DataFrame) -> bytes:
-    """The filter's bits: at most BLOOM_BITS / 64 words reach the driver, however many windows there are."""
+    """The filter's bits, about BITS for each window, between the least and the most; that many bits reach the driver at most."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, BITS * windows_.count() - 1).bit_length()))
 
     def bits(batches):
-        mine = np.zeros(BLOOM_BITS, bool)
+        mine = np.zeros(size, bool)
         for batch in batches:
             h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for p in _probes(h):
+            for p in _probes(h, size):
                 mine[p] = True
         packed = np.packbits(mine, bitorder="little").view(np.int64)
         at = np.flatnonzero(packed)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(packed[at], pa.int64())], names=["at", "word"])
 
     words = windows_.select("hash").mapInArrow(bits, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
-    out = np.zeros(BLOOM_BITS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     for r in words.collect():
         out[r["at"]] = r["word"]
     return out.tobytes()
