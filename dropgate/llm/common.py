@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,8 @@ BROADCAST_ROWS = 1_000_000
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: paths of the tables stored in the scope that is open, if one is
+_open: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
 _scratch: list[str] = []
 
 
@@ -35,8 +39,51 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _scratch.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    if (here := _open.get()) is not None:
+        here.append(path)
+    else:
+        _scratch.append(path)
+    return out
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope of scratch tables: those stored inside are deleted at its end, but for those given to ``keep``, which pass to the scope around.
+
+    Scopes belong to the thread that opens them, so jobs side by side don't touch each other's tables.  Nothing lazy may read a table that goes.
+    """
+    around, mine = _open.get(), []
+    token = _open.set(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        mine.remove(df.scratch_path)
+        (_scratch if around is None else around).append(df.scratch_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _open.reset(token)
+        _delete(spark, mine)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables stored in the open scope, or outside any, before its end; frames that were not stored are left alone."""
+    here = _scratch if _open.get() is None else _open.get()
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path in here:
+            here.remove(path)
+            _delete(df.sparkSession, [path])
 
 
 def scratch_mark() -> int:
@@ -45,12 +92,9 @@ def scratch_mark() -> int:
 
 def clear_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     """Delete scratch tables stored after ``since``, but the last ``keep``; only when nothing lazy reads them any more."""
-    jvm = spark.sparkContext._jvm
     gone = _scratch[since : len(_scratch) - keep]
     del _scratch[since : len(_scratch) - keep]
-    for name in gone:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, gone)
 
 
 def words(text: Column) -> Column:

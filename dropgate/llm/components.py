@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import discard, store
 
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -43,9 +43,11 @@ def components(edges: DataFrame) -> DataFrame:
     labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
     while True:
         heard = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "comp", F.lit(None).cast("long").alias("old"))
-        near = labels.withColumn("old", F.col("comp")).unionByName(heard).groupBy("node").agg(F.min("comp").alias("comp"), F.max("old").alias("old"))
+        near = labels.select("node", "comp", F.col("comp").alias("old")).unionByName(heard).groupBy("node").agg(F.min("comp").alias("comp"), F.max("old").alias("old"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
         new = store(near.join(jump, "comp", "left").select("node", F.least("comp", "up").alias("comp"), "old"), "labels")
-        labels = new.select("node", "comp")
+        discard(labels)
+        labels = new
         if new.where("comp <> old").isEmpty():
-            return labels
+            discard(both)
+            return labels.select("node", "comp")

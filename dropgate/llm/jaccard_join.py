@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, by_batch, list_array, mix, semi_join, store
+from .common import BROADCAST_ROWS, by_batch, discard, list_array, mix, scratch, semi_join, store
 from .components import components
 
 #: n-grams of a set in a range of the global order whose overlap is counted at once, about (a power of two)
@@ -224,6 +224,9 @@ def _class(sig: Column) -> Column:
     return F.shiftright(sig, 1).bitwiseAND(63).cast("int")
 
 
+INDEX = ("sig", "node", "n", "class", "alone", "odd", "central", "size")
+
+
 def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The signatures by which a set is found: (sig, node, n, class, alone, odd, central, size).
 
@@ -243,7 +246,7 @@ def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     found = F.col("prefix") | (F.col("place") <= most + 1 - (F.col("m") - F.col("met")))
     alone = F.col("sketch")[0].bitwiseAND(F.bitwise_not(F.col("shared_mask")))
     odd = F.slice("sketch", 2, SKETCH)
-    return rows.where(found).select("sig", "node", "n", "class", alone.alias("alone"), odd.alias("odd"), "central", "size")
+    return rows.where(found).withColumns({"alone": alone, "odd": odd}).select(*INDEX)
 
 
 def _pairs(pivots: DataFrame, others: DataFrame, percent: int) -> DataFrame:
@@ -272,9 +275,13 @@ def similar_sets(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
     Rows with equal sets, or sets chained by links, have one component: the smallest set id in it, null without words.
     """
-    docs = docs.select("id", "text", F.xxhash64("text").alias("key"))
+    with scratch(docs.sparkSession) as keep:
+        return keep(_similar_sets(docs.select("id", "text", F.xxhash64("text").alias("key")), n, percent))
+
+
+def _similar_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     signed = store(_signed(docs, n, percent), "signed")
-    members = signed.where("sig is null").select("id", "key", "node", "n")
+    members = store(signed.where("sig is null").select("id", "key", "node", "n"), "members")
     sigs = signed.where("sig is not null")
     group = Window.partitionBy("sig")
     leads = sigs.where("lead").select("sig", "node", "many").withColumns({"least": F.min("node").over(group), "most": F.max("node").over(group)})
@@ -284,22 +291,26 @@ def similar_sets(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     nodes = signed.where("classes is not null").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes"))
     nodes = nodes.select("node", "n", F.explode("classes").alias("c")).select("node", "n", "c.*")
     index = store(_index(shared, nodes, percent), "index")
+    discard(signed, shared, wanted)
     found = store(index.select("node").distinct(), "found")
     keys = store(members.join(found, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key")).select("key"), "keys")
     tokens = store(_tokens(semi_join(docs, keys, "key"), n, percent), "tokens")
-    comps = found.select("node", F.col("node").alias("comp"))
+    comps = store(found.select("node", F.col("node").alias("comp")), "comps")
+    discard(found, keys)
     # members of a group come in a fixed order by hash; those before ``low`` have been pivots
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * F.col("size") / F.lit(float(1 << 40))
-    low, high = 0, 0
+    low, high, last = 0, 0, index
     while True:
+        # a group inside one component stays there: each round reads only what the last one left
         labelled = index.join(comps, "node")
         split = labelled.groupBy("sig").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.max_by("node", F.struct("central", "node")).alias("centre"))
         active = store(labelled.join(split.where("least <> most").select("sig", "centre"), "sig").withColumn("place", place), "active")
+        discard(last)
         largest = active.agg(F.max("size")).first()[0]
         if largest is None or low >= largest:
             break
-        active = active.where(F.col("place") >= low).withColumn("pivot", F.col("place") < high if high else F.col("node") == F.col("centre"))
-        pairs = store(_pairs(active.where("pivot"), active, percent), "pairs")
+        fresh = active.where(F.col("place") >= low).withColumn("pivot", F.col("place") < high if high else F.col("node") == F.col("centre"))
+        pairs = store(_pairs(fresh.where("pivot"), fresh, percent), "pairs")
         if not pairs.isEmpty():
             links = linked(overlaps(pairs, tokens), percent)
             of = [comps.select(F.col("node").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "px"]
@@ -307,9 +318,15 @@ def similar_sets(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             links = store(links.distinct(), "links")
             if not links.isEmpty():
                 to = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-                comps = store(comps.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+                merged = store(comps.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "comps")
+                discard(comps)
+                comps = merged
+            discard(links)
+        discard(pairs)
+        index, last = active.select(*INDEX), active
         low, high = high, (high + 1) * GROWTH
-    return members.join(comps, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.coalesce("comp", "node").alias("component"))
+    component = F.coalesce("comp", "node").alias("component")
+    return store(members.join(comps, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), component), "similar")
 
 
 def groups(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -327,18 +344,19 @@ def first_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Documents without words all stay.  Texts are moved only where more rows go than may be sent to every executor.
     """
     id_, key = F.col("doc_id").cast("long"), F.xxhash64("text")
-    found = store(similar_sets(docs.select(id_.alias("id"), "text"), n, percent), "found")
-    linked_ = found.where("component is not null")
-    best = linked_.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
-    rows = linked_.groupBy("component", "id", "key").agg(F.count("*").alias("rows")).join(best, "component")
-    is_best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
-    gone = store(rows.where(~is_best).select("id", "key"), "gone")
-    again = store(rows.where(is_best & (F.col("rows") > 1)).select("id", "key"), "again")
+    with scratch(docs.sparkSession) as keep:
+        linked_ = similar_sets(docs.select(id_.alias("id"), "text"), n, percent).where("component is not null")
+        best = linked_.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+        rows = linked_.groupBy("component", "id", "key").agg(F.count("*").alias("rows")).join(best, "component")
+        is_best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
+        changed = rows.select("id", "key", (~is_best).alias("gone"), "rows").where("gone or rows > 1")
+        changed = keep(store(changed.select("id", "key", "gone"), "changed"))
+    again = changed.where("not gone").select("id", "key")
 
     def of(rows_: DataFrame, how: str) -> DataFrame:
         few = rows_.count() <= BROADCAST_ROWS
         r = F.broadcast(rows_) if few else rows_
         return docs.join(r, (key == r["key"]) & id_.eqNullSafe(r["id"]), how)
 
-    kept = of(store(gone.unionByName(again), "changed"), "left_anti")
+    kept = of(changed.select("id", "key"), "left_anti")
     return kept.unionByName(of(again, "left_semi").withColumn("__key", key).dropDuplicates(["doc_id", "__key"]).drop("__key"))
