@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents through five of the operators, each stage written as Parquet and read again."""
+"""The corpus pipeline: documents through five of the operators, each stage written as Parquet and read again.
+
+Defined results: documents with a null or empty text fail the base quality rules (fewer than 20 words) and go.  Of documents that are near copies the
+smallest doc_id stays, one without an id last, of equal ids the smallest hash of the text; of a repeated row one.  Rows are told apart by id and text, so
+rows with the same or no id are judged each; a null lang is a stratum of its own; sources and n_chars may be null, n_chars is the length of the text that is left.
+Empty tables give empty results; columns beyond those of documents are dropped, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropgate.llm import decontaminate, jaccard_join, packing, quality_rules, secret_scan
-from dropgate.llm.common import DOCUMENT_COLUMNS, clear_scratch, scratch_mark, store, table
+from dropgate.llm.common import DOCUMENT_COLUMNS, discard, scratch, store, table
 
 #: near duplicates: word n-grams and per cent of Jaccard similarity
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -51,12 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``; a stage's scratch tables go once its result is written."""
+    """The stages applied to ``documents``.
+
+    A stage's scratch tables and its input go once its result is written; the scratch tables of the last one stay for its reader.
+    """
     docs = table(spark, sf_dir, "documents").select(*DOCUMENT_COLUMNS)
-    for at, (_, stage) in enumerate(STAGES):
-        mark = scratch_mark()
-        out = stage(spark, docs, sf_dir)
-        if at + 1 < len(STAGES):
-            docs = store(out, f"stage{at}")
-            clear_scratch(spark, mark, keep=1)
+    for at, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark) as keep:
+            out = keep(store(stage(spark, docs, sf_dir), f"stage{at}"))
+        discard(docs)
+        docs = out
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    discard(docs)
     return out
