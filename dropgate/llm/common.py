@@ -21,6 +21,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 #: paths of the tables stored in the scope that is open, if one is
 _open: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
+#: paths of those stored outside any scope; their reader is their owner
 _scratch: list[str] = []
 
 
@@ -86,17 +87,6 @@ def discard(*tables: DataFrame) -> None:
             _delete(df.sparkSession, [path])
 
 
-def scratch_mark() -> int:
-    return len(_scratch)
-
-
-def clear_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
-    """Delete scratch tables stored after ``since``, but the last ``keep``; only when nothing lazy reads them any more."""
-    gone = _scratch[since : len(_scratch) - keep]
-    del _scratch[since : len(_scratch) - keep]
-    _delete(spark, gone)
-
-
 def words(text: Column) -> Column:
     """The words of a text as an array; empty for null."""
     return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array_remove(F.split(text, SPACE), ""))
