@@ -50,41 +50,78 @@ def write_partitioned(df: DataFrame, path: str, partition_columns: str | None, m
         df.write.mode(mode).parquet(path)
 
 
+#: what the log remembers of each source: its last batch, the ids before and after it, how far its batches are compacted
+_MARK = T.StructType(
+    [T.StructField(n, T.StringType() if n == "source" else T.LongType()) for n in
+     ("source", "batch", "log_before", "log_last", "negative_before", "negative_last", "compacted", "generation", "version")]
+)
+
+
+def _with_batch(fields: list[T.StructField]) -> T.StructType:
+    return T.StructType([*fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
+
+
 class VerdictLog:
     """The verdict log and its feed of failures as two Parquet tables under one directory.
 
-    Every batch owns the partition ``source=<name>/batch=<n>`` of both tables and replaces it, so writing
-    a batch again after a crash leaves one copy.
+    Every batch owns the partition ``source=<name>/batch=<n>`` of both tables and replaces it, so writing a batch again after a
+    crash leaves one copy.  A mark, one row per source, holds the last ids: a batch costs the same however long the log is.
+    The mark is written after the batch, in turn to one of two slots, so the one before survives a crash; a batch
+    that the mark already holds is a replay and gets its ids again.
+
+    ``compact`` moves the batches since the last time into a few files, each row once.  Readers take a batch either from its
+    partition or, if the mark says so, from the compacted generations, so a crash in between loses and doubles nothing.
     """
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
-        self.log_path = f"{directory.rstrip('/')}/trigger_control"
-        self.negative_path = f"{directory.rstrip('/')}/negative_flag_logs"
-
-        self.staging_path = f"{directory.rstrip('/')}/staging"
-
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType(
-            schema.fields
-            + [
-                T.StructField("path", T.StringType()),
-                T.StructField("source", T.StringType()),
-                T.StructField("batch", T.LongType()),
-            ]
-        )
+        self.directory = directory.rstrip("/")
+        self.log_path = f"{self.directory}/trigger_control"
+        self.negative_path = f"{self.directory}/negative_flag_logs"
+        self.staging_path = f"{self.directory}/staging"
+        self.mark_path = f"{self.directory}/mark"
+        self.empty_path = f"{self.directory}/empty_arrivals"
+
+    def _read(self, schema: T.StructType, *paths: str) -> DataFrame:
         try:
-            return self.spark.read.schema(full).parquet(path)
+            return self.spark.read.schema(schema).parquet(*paths)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return local_frame(self.spark, [], full)  # nothing logged yet
+            return local_frame(self.spark, [], schema)  # nothing written yet
+
+    def marks(self) -> list[dict]:
+        """One row per source; the number of sources bounds it."""
+        rows = [r.asDict() for r in self._read(T.StructType([*_MARK.fields, T.StructField("slot", T.IntegerType())]), self.mark_path).collect()]
+        newest = max((r["version"] for r in rows), default=0)
+        return [{k: v for k, v in r.items() if k != "slot"} for r in rows if r["version"] == newest]
+
+    def _write_marks(self, marks: list[dict], version: int) -> None:
+        rows = [tuple((m | {"version": version})[f.name] for f in _MARK) for m in marks]
+        local_frame(self.spark, rows, _MARK).coalesce(1).write.mode("overwrite").parquet(f"{self.mark_path}/slot={version % 2}")
+
+    def _live(self, path: str, schema: T.StructType, marks: list[dict]) -> DataFrame:
+        """Rows of the batches that are not compacted."""
+        out = self._read(_with_batch([*schema.fields, T.StructField("path", T.StringType())]), path)
+        for m in marks:
+            out = out.where((F.col("source") != m["source"]) | (F.col("batch") > m["compacted"]))
+        return out
+
+    def _table(self, path: str, schema: T.StructType) -> DataFrame:
+        marks = self.marks()
+        live = self._live(path, schema, marks)
+        old = [self._compacted(path, m["source"], g + 1) for m in marks for g in range(m["generation"])]
+        return live.unionByName(self._read(live.schema, *old)) if old else live
+
+    @staticmethod
+    def _compacted(path: str, source: str, generation: int) -> str:
+        return f"{path}_compacted/{source}/generation-{generation}"
 
     def read(self) -> DataFrame:
-        return self._read(self.log_path, model.VERDICT_LOG)
+        return self._table(self.log_path, model.VERDICT_LOG)
 
     def read_negative(self) -> DataFrame:
-        return self._read(self.negative_path, model.NEGATIVE_LOG)
+        return self._table(self.negative_path, model.NEGATIVE_LOG)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Run ``df`` once into a staging table and read that from now on; the next use replaces it."""
@@ -92,14 +129,61 @@ class VerdictLog:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def empty_arrivals(self, listing: DataFrame, source: str, batch: int) -> DataFrame:
+        """The rows of ``listing``, files of zero bytes, that no other batch has logged; they are remembered as those of this batch."""
+        seen = self._read(_with_batch(listing.schema.fields), self.empty_path)
+        others = seen.where((F.col("source") != source) | (F.col("batch") != batch)).select("path")
+        mine = f"{self.empty_path}/source={source}/batch={batch}"
+        listing.join(others, "path", "left_anti").select(*listing.columns).coalesce(1).write.mode("overwrite").parquet(mine)
+        return self.spark.read.schema(listing.schema).parquet(mine)
+
     def write_batch(self, rows: DataFrame, source: str, batch: int) -> None:
-        """Log a batch of verdicts (``plans.files.log_rows``: log columns without id, plus ``path``)."""
-        others = ~((F.col("source") == source) & (F.col("batch") == batch))
-        here = f"source={source}/batch={batch}"
-        numbered = with_next_ids(self.stage(rows, f"{source}-rows"), self.read().filter(others), ["path"])
-        numbered.write.mode("overwrite").parquet(f"{self.log_path}/{here}")
-        written = self.spark.read.schema(numbered.schema).parquet(f"{self.log_path}/{here}")
-        failures = with_next_ids(
-            logqueries.negative_rows(written), self.read_negative().filter(others), ["trigger_id"]
-        )
-        failures.write.mode("overwrite").parquet(f"{self.negative_path}/{here}")
+        """Log a batch of verdicts (``plans.files.log_rows``: log columns without id, plus ``path``).
+
+        Reads the batch's own rows and the mark, nothing of what was logged before.
+        """
+        marks = self.marks()
+        rows, here = self.stage(rows, f"{source}-rows"), f"source={source}/batch={batch}"
+        mine = next((m for m in marks if m["source"] == source), None)
+        mark = {"source": source, "batch": batch, "compacted": -1, "generation": 0} | ({k: mine[k] for k in ("compacted", "generation")} if mine else {})
+
+        def write(new: DataFrame, name: str, path: str, order: str) -> DataFrame:
+            if marks:
+                top = max(m[f"{name}_last"] for m in marks)
+            else:  # the first batch, or the first after a log without marks
+                others = (F.col("source") != source) | (F.col("batch") != batch)
+                top = (self.read() if name == "log" else self.read_negative()).where(others).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+            before = mine[f"{name}_before"] if mine and mine["batch"] == batch else top
+            n = new.count()
+            if before != top and top != mine[f"{name}_last"] and n != mine[f"{name}_last"] - before:
+                before = top  # others wrote meanwhile, and the batch has another size than it had
+            numbered = with_next_ids(new, before, [order])
+            numbered.write.mode("overwrite").parquet(f"{path}/{here}")
+            mark[f"{name}_before"], mark[f"{name}_last"] = before, before + n
+            return self.spark.read.schema(numbered.schema).parquet(f"{path}/{here}")
+
+        written = write(rows, "log", self.log_path, "path")
+        write(logqueries.negative_rows(written), "negative", self.negative_path, "trigger_id")
+        version = max((m["version"] for m in marks), default=0) + 1
+        self._write_marks([m for m in marks if m["source"] != source] + [mark], version)
+
+    def compact(self, source: str, files: int = 1) -> None:
+        """Move the batches of a source since the last time, but the newest, which may be replayed, into ``files`` files ordered by id.
+
+        The writer's own thread calls this between batches.
+        """
+        marks = self.marks()
+        mine = next((m for m in marks if m["source"] == source), None)
+        if mine is None or mine["batch"] - 1 <= mine["compacted"]:
+            return
+        through, generation = mine["batch"] - 1, mine["generation"] + 1
+        for path, schema in ((self.log_path, model.VERDICT_LOG), (self.negative_path, model.NEGATIVE_LOG)):
+            old = self._live(path, schema, marks).where((F.col("source") == source) & (F.col("batch") <= through))
+            old.repartitionByRange(files, "id").sortWithinPartitions("id").write.mode("overwrite").parquet(self._compacted(path, source, generation))
+        now = mine | {"compacted": through, "generation": generation}
+        self._write_marks([m for m in marks if m["source"] != source] + [now], mine["version"] + 1)
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in (self.log_path, self.negative_path):
+            for batch in range(mine["compacted"] + 1, through + 1):
+                gone = jvm.org.apache.hadoop.fs.Path(f"{path}/source={source}/batch={batch}")
+                gone.getFileSystem(conf).delete(gone, True)

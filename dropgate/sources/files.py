@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import model
 from ..functions.text import extension_of, file_name_of
 from ..operators.rules import CORRUPT
+from . import listing
 from .tables import local_frame
 
 # Reader defaults per format; other formats have none.
@@ -99,25 +100,37 @@ def list_landing(spark: SparkSession, directory: str, name_filter: str | None =
     """Files below a landing directory: path, file_uri, file_name, length, modification_time.
 
     Only file metadata is read.  Spark itself hides names starting with '.' or '_' and names ending
-    in '._COPYING_' (files still being copied).  A scan has no rows for files of zero bytes, so those
-    are added from the file index, with length 0 and no time.
+    in '._COPYING_' (files still being copied).  A scan has no rows for files of zero bytes: see ``empty_files``.
     """
+    return listing_columns(_scan_of(spark, directory, name_filter)).unionByName(empty_files(spark, directory, name_filter))
+
+
+def _scan_of(spark: SparkSession, directory: str, name_filter: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    found = reader.load(directory)
-    listed = listing_columns(found)
+    return reader.load(directory)
+
+
+def empty_files(spark: SparkSession, directory: str, name_filter: str | None = None) -> DataFrame:
+    """The files of zero bytes, in the columns of ``list_landing``.
+
+    Executors list the directories (``listing``).  In a store that only Spark reads, and for patterns, they are
+    what Spark's file index has and its scan has not; their time is unknown then.
+    """
+    if listing.reachable(directory):
+        return listing.list_files(spark, directory, name_filter).where("length = 0")
+    found = _scan_of(spark, directory, name_filter)
     # the index writes file:///x where the scan writes file:/x
     uris = [(unquote(u), u) for u in (re.sub("^file:/+", "file:/", f) for f in found.inputFiles())]
     index = local_frame(spark, uris, T.StructType([T.StructField(n, T.StringType()) for n in ("path", "file_uri")]))
-    empty = index.join(listed, "path", "left_anti").select(
+    return index.join(found, "path", "left_anti").select(
         "path",
         "file_uri",
         file_name_of(F.col("path")).alias("file_name"),
         F.lit(0).cast("bigint").alias("length"),
         F.lit(None).cast("timestamp").alias("modification_time"),
     )
-    return listed.unionByName(empty)
 
 
 def listing_columns(binary_files: DataFrame) -> DataFrame:

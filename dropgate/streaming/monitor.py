@@ -3,6 +3,9 @@
 The file source remembers paths, so a file dropped again is only seen under a new path: landing areas
 use one directory per upload (``landing/<upload>/<name>``).  The stream carries file names and sizes only;
 contents are read inside the batch by one scan per group of like files.
+
+A file of zero bytes starts a batch like any other, but Spark's scan has no row for it.  Each batch
+therefore lists the landing area's empty files (``sources.files.empty_files``) and adds those that no batch has logged.
 """
 
 from __future__ import annotations
@@ -16,11 +19,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import file_name_of
 from ..plans import files as judge
 from ..sinks.writers import VerdictLog
-from ..sources.files import listing_columns
+from ..sources.files import empty_files, listing_columns
 
 POLL_INTERVAL = "10 seconds"
 # files per batch: bounds the path list the driver holds, later files go to the next batch
 MAX_FILES_PER_BATCH = 10_000
+# batches whose log partitions are moved into one file
+COMPACT_EVERY = 100
 
 
 def arrivals(
@@ -72,6 +77,8 @@ def monitor(
     def judge_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         group = itertools.count()
+        empty = empty_files(session, landing, arrival_options.get("name_filter")).select(*batch.columns)
+        batch = batch.unionByName(log.empty_arrivals(empty, source, batch_id))
         judged = judge.judge_landing(
             session,
             batch.withColumn("file_name", name_of(F.col("path"))),
@@ -80,6 +87,8 @@ def monitor(
             materialise=lambda df: log.stage(df, f"{source}-group-{next(group)}"),
         )
         log.write_batch(judge.log_rows(judged, environment), source, batch_id)
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            log.compact(source)
 
     writer = (
         arrivals(spark, landing, **arrival_options)
