@@ -40,33 +40,40 @@ REJECT, LEAD_BINS, ENTROPY_STEP = 0.995, 40, 0.02
 SPACE = 32
 
 
-def _table() -> np.ndarray:
-    """What becomes of each 16-bit character: a letter in lower case, a mark as it is, or a space."""
-    out = np.full(1 << 16, SPACE, np.uint64)
-    for c in range(1 << 16):
-        x = chr(c)
-        if x.isalpha():
-            out[c] = ord(x.lower()[0])
-        elif unicodedata.category(x)[0] == "M":
-            out[c] = c
-    return out
+def _become(c: int) -> tuple[int, bool]:
+    """What becomes of a character, and is it a letter: a letter in lower case, a mark as it is, or a space.
+
+    Those beyond 16 bits are folded into the private area of 16 bits, apart from all others; a few of them may share a place there.
+    """
+    x = chr(c)
+    if x.isalpha():
+        low = ord(x.lower()[0])
+        return (low if low < 1 << 16 else 0xE000 + (low & 0xFFF)), True
+    if unicodedata.category(x)[0] == "M":
+        return (c if c < 1 << 16 else 0xE000 + (c & 0xFFF)), False
+    return SPACE, False
 
 
 class Reader:
     """Packed grams of texts."""
 
     def __init__(self):
-        self.table = _table()
+        became = [_become(c) for c in range(1 << 16)]
+        self.table, self.letter = np.array([b for b, _ in became], np.uint64), np.array([x for _, x in became])
 
     def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(packed 4-gram ending at each character, text of each); texts without a letter have none."""
         raw = [np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
         of = np.repeat(np.arange(len(texts)), [len(x) for x in raw])
         flat = np.concatenate(raw) if raw else np.empty(0, np.uint32)
-        high = flat > 0xFFFF  # beyond 16 bits: folded into the private area, kept apart from spaces
-        chars = self.table[np.where(high, 0, flat)]
+        high = flat > 0xFFFF
+        low = np.where(high, 0, flat)
+        chars, letter = self.table[low], self.letter[low]
         if high.any():
-            chars[high] = 0xE000 + (flat[high] & 0xFFF)
+            rare, at = np.unique(flat[high], return_inverse=True)
+            became = [_become(int(c)) for c in rare]
+            chars[high], letter[high] = np.array([b for b, _ in became], np.uint64)[at], np.array([x for _, x in became])[at]
+        chars[np.bincount(of[letter], minlength=len(texts))[of] == 0] = SPACE  # marks without a letter
         space = chars == SPACE
         again = np.r_[True, space[:-1] & (of[1:] == of[:-1])] if len(of) else space
         first = np.r_[True, of[1:] != of[:-1]] if len(of) else space

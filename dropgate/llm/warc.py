@@ -10,7 +10,8 @@ Both carry WARC-Refers-To (the response's id), WARC-Target-URI and WARC-Date of
 (SHA-1, base 32) and WARC-Payload-Digest of the response's payload; the metadata record also names the conversion by
 WARC-Concurrent-To.  Ids are name-based (SHA-1 of the response's id and the type), so a job run again makes the same records.
 
-``write`` lets Spark's text writer put records, ended by two line ends, into WARC files; blocks hold no such pair of line ends.
+``write`` lets Spark's text writer put records, ended by two line ends, into WARC files; blocks hold no such pair of line ends, so ``read`` can split the
+files.  ``read_files`` reads any WARC file by the lengths of its records, and ``http_responses`` makes its responses ready for ``derive``.
 
 Defined results: a null or empty payload gives an empty conversion block and the metadata of an empty text; a null URI is the empty
 one; repeated responses give repeated records; an empty table gives no records; other columns are ignored.
@@ -23,6 +24,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -128,8 +130,13 @@ def derive(responses: DataFrame) -> DataFrame:
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """Pages (page_id, url, html) as responses: an id named by the page, and the header such a page is served with."""
-    digest_ = F.sha1(F.concat_ws("\n", F.lit("response"), F.col("page_id").cast("string"), F.coalesce("url", F.lit(""))))
+    """Pages (page_id, url, html) as responses: an id named by the page and its payload, and the header such a page is served with.
+
+    The table holds neither a date nor an HTTP header: ``date`` and the three header lines are made up here.  Pages with the same id and address
+    but other payloads have ids of their own; rows equal in all three are one record.
+    """
+    named = (F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce("url", F.lit("")), F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
+    digest_ = F.sha1(F.concat_ws("\n", F.lit("response"), *named))
     name = F.concat_ws("-", *[F.substring(digest_, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(F.coalesce("html", F.lit(""))), F.lit("\r\n"))
     return pages.select(
@@ -149,3 +156,68 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     order = Window.partitionBy("file").orderBy("at")
     headed = parts.withColumns({"block": F.lead("value").over(order), "place": F.row_number().over(order)})
     return headed.where("place % 2 = 1").select(F.col("value").alias("header"), F.coalesce("block", F.lit("")).alias("block"))
+
+
+_RECORDS = pa.schema([("header", pa.string()), ("block", pa.binary())])
+
+
+def _records(data: bytes):
+    """(header, block) of the records in the bytes of a WARC file; a block ends where its Content-Length says."""
+    end, at = END.encode(), 0
+    while True:
+        while data[at : at + len(end)] == end:
+            at += len(end)
+        close = data.find(end * 2, at)
+        if close < 0:
+            return
+        header = data[at:close].decode("utf-8", "replace")
+        size = next((int(v) for k, _, v in (line.partition(":") for line in header.split(END)[1:]) if k.strip().lower() == "content-length"), 0)
+        start = close + 2 * len(end)
+        yield header, data[start : start + size]
+        at = start + size
+
+
+def _members(data: bytes):
+    """The bytes of a file, or of each member of a gzip file, one after the other."""
+    while data[:2] == b"\x1f\x8b":
+        one = zlib.decompressobj(31)
+        yield one.decompress(data) + one.flush()
+        data = one.unused_data
+    if data:
+        yield data
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(header, block) of the records in real WARC files, plain or with a gzip member for each record.
+
+    Blocks may hold anything, blank lines too: their length is read from the header.  A task reads a whole file, as a gzip file can't be cut; WARC
+    files are about 1 GB by convention.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                for part in _members(content.as_buffer().to_pybytes()):
+                    for header, block in _records(part):
+                        yield pa.RecordBatch.from_arrays([pa.array([header]), pa.array([block], pa.binary())], schema=_RECORDS)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "header string, block binary")
+
+
+def http_responses(records: DataFrame) -> DataFrame:
+    """The response records of ``read_files`` in the columns that ``derive`` takes: the HTTP header apart from the payload.
+
+    Payloads are taken as UTF-8, with U+FFFD for what is none; page_id is null.
+    """
+
+    def field(name: str):
+        return F.regexp_extract("header", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+
+    text = F.make_valid_utf8(F.col("block").cast("string"))
+    apart = F.instr(text, END * 2)
+    whole = F.length(text)
+    return records.where(field("WARC-Type") == "response").select(
+        F.lit(None).cast("long").alias("page_id"), field("WARC-Record-ID").alias("record_id"), field("WARC-Target-URI").alias("url"), field("WARC-Date").alias("date"),
+        F.when(apart > 0, F.substring(text, F.lit(1), apart + 1)).otherwise(text).alias("http"),
+        F.when(apart > 0, F.substring(text, apart + 4, whole)).otherwise(F.lit("")).alias("payload"),
+    )

@@ -463,3 +463,47 @@ def test_warc_keeps_the_whole_http_header(spark, tmp_path):
     assert sorted((r.header, r.block) for r in warc.read(spark, str(tmp_path / "w")).collect()) == sorted((r.header, r.block) for r in records.collect())
     served = warc.derive(warc.responses(spark.createDataFrame([(1, "u", "<p>é")], "page_id long, url string, html string"))).where("warc_type = 'metadata'").first().block
     assert served.endswith("http-status-line: HTTP/1.1 200 OK\r\nhttp-content-type: text/html; charset=utf-8\r\nhttp-content-length: 5")
+
+
+def test_warc_ids_are_unique_for_each_payload(spark):
+    pages = spark.createDataFrame([(None, None, "<p>a</p>"), (None, None, "<p>b</p>"), (None, None, None), (1, "u", "x"), (1, "u", "y"), (1, "u", "y")], "page_id long, url string, html string")
+    found = warc.responses(pages.selectExpr("*", "1 AS record_id", "'x' AS payload", "2 AS http")).select("record_id", "payload").distinct().collect()
+    assert len(found) == len({r.record_id for r in found}) == 5
+
+
+def test_real_warc_files(spark, tmp_path):
+    """Records with blank lines in their blocks, gzip members, other record types: responses become derivatives, and these a file again."""
+    import gzip
+
+    def record(kind, name, block, more=""):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{name}>\r\nWARC-Target-URI: http://x/{name}\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n{more}Content-Length: {len(block)}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nX-A: 1\r\nX-A: 2\r\nContent-Type: text/html\r\n\r\n"
+    page = "<html lang=de><title>T</title>\r\n\r\n<p>Grüße\r\n\r\nWARC/1.0\r\n\r\n</p></html>".encode()
+    records = [record("warcinfo", "i", b"software: x\r\n\r\n"), record("response", "a", http + page), record("request", "q", b"GET / HTTP/1.1\r\n\r\n"),
+               record("response", "b", http + b"\xff\x00<p>b</p>"), record("response", "c", b""), record("response", "d", b"HTTP/1.1 304 Not Modified")]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "plain.warc").write_bytes(b"".join(records))
+    (tmp_path / "w" / "packed.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "w" / "empty.warc").write_bytes(b"")
+    read = warc.read_files(spark, str(tmp_path / "w"))
+    assert sorted(bytes(r.block) for r in read.collect()) == sorted([b"software: x\r\n\r\n", http + page, b"GET / HTTP/1.1\r\n\r\n", http + b"\xff\x00<p>b</p>", b"", b"HTTP/1.1 304 Not Modified"] * 2)
+    responses = warc.http_responses(read)
+    got = {r.record_id: r for r in responses.collect()}
+    assert sorted(got) == ["<urn:a>", "<urn:b>", "<urn:c>", "<urn:d>"] and responses.count() == 8
+    assert got["<urn:a>"].payload.encode() == page and got["<urn:a>"].http.encode() == http[:-2] and got["<urn:a>"].url == "http://x/a"
+    assert got["<urn:d>"].http == "HTTP/1.1 304 Not Modified" and got["<urn:d>"].payload == "" == got["<urn:c>"].http
+    meta = next(r for r in warc.derive(responses).collect() if r.refers_to == "<urn:a>" and r.warc_type == "metadata")
+    assert "http-x-a: 1\r\nhttp-x-a: 2" in meta.block and meta.payload_digest == warc.digest(page)
+
+
+def test_texts_without_letters_have_no_language(spark):
+    """Signs, digits, marks alone and characters beyond 16 bits that are no letters."""
+    train = [f"{w} {w}s the {w}" for w in ("house", "mouse", "river")] * 4 + [f"{w} {w}n der {w}" for w in ("haus", "maus", "fluss")] * 4
+    odd = ["\U0001f642 \U0001f642", "\u0301", "\u0301 12 \u0302!", "\U0001f1e9\U0001f1ea 1", "\U000e0100", None, "", "12 - 3"]
+    letters = ["\U0001d41a\U0001d41b", "e\u0301", "\U00010400"]
+    rows = [(i, t, "en" if i < 12 else "de") for i, t in enumerate(train)] + [(100 + i, t, None) for i, t in enumerate(odd + letters)]
+    got = {r.doc_id: r for r in language_id.by_fold(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[100 + i].lang_pred == "und" and got[100 + i].score == 0 for i in range(len(odd)))
+    assert all(got[100 + len(odd) + i].lang_pred in ("en", "de") for i in range(len(letters)))
