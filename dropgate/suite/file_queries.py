@@ -258,3 +258,24 @@ def stream_restart_no_dup(spark, sf):
     return logged.join(negative, "validation_flag", "left").select(
         "validation_flag", "n", F.coalesce("n_negative", F.lit(0)).alias("n_negative")
     )
+
+
+@query(
+    "stream_empty_arrivals",
+    "SELECT r_regionkey AS upload, CASE WHEN r_regionkey % 2 = 1 THEN '33' ELSE '32' END AS validation_flag, 1 AS n FROM region",
+)
+def stream_empty_arrivals(spark, sf):
+    """Files of one column, and of zero bytes for odd regions, judged by a stream that runs twice: one verdict each."""
+    nations, inbox = spark.read.parquet(f"{sf}/nation.parquet"), writers.shared_dir(spark, "inbox")
+    regions = [r[0] for r in spark.read.parquet(f"{sf}/region.parquet").select("r_regionkey").collect()]
+    for key in regions:
+        names = nations.where((F.col("n_regionkey") == key) & (F.col("n_regionkey") % 2 == 0)).select("n_name")
+        names.coalesce(1).write.text(f"{inbox}/upload={key}")
+    log, checkpoint = writers.VerdictLog(spark, writers.shared_dir(spark, "stream")), writers.shared_dir(spark, "checkpoint")
+    for _ in range(2):
+        M.monitor(
+            spark, inbox, log, checkpoint, lambda: landing.configuration(spark, sf).where("id = 1"), lambda: BOOK,
+            available_now=True, name_of=lambda path: landing.file_name(F.lit(0)),
+        ).awaitTermination()
+    judged = log.read().withColumn("upload", landing.upload_of("path"))
+    return judged.groupBy("upload", "validation_flag").agg(F.count(F.lit(1)).cast("int").alias("n"))
