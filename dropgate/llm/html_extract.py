@@ -12,6 +12,8 @@ element further in, or where the page has none, of all words outside links; for
 has-sidebar around the whole article costs little, and those with half the share or more leave what is said around and inside them as it is.
 Names of html and body say nothing.
 
+Tags are read forward once: a page of a megabyte of open tags, quotes or nested elements takes about a second.
+
 Inside a block white space becomes one space, character references are decoded; kept blocks are joined by a line end.  Nothing else is
 dropped.
 
@@ -33,7 +35,7 @@ from .common import by_batch
 
 #: elements without an end tag, and those whose content is no text (fixed values)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math canvas video audio title textarea".split())
+RAW = frozenset("script style noscript template iframe object svg canvas video audio title textarea".split())
 #: elements that end a block of text
 BLOCK = frozenset("""
 address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -59,7 +61,10 @@ W_BOILER, W_CONTENT, W_LINKS, W_TEXT_TAG, W_ITEM, W_LENGTH, W_END, W_BIAS = -8.0
 #: edges: adjacent blocks, and consecutive ones of one parent
 E_NEXT, E_PARENT = 0.8, 0.5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>", re.S)
+#: what begins a token, and a tag up to its end: quotes hide a ">", and nothing is tried twice
+_BEGIN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))*+)>", re.S)
+_BLIND = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _END = re.compile(r"[.!?:;\"')\]…»”]$")
@@ -79,13 +84,16 @@ def _telling(tag: str, attributes: str, inside: int) -> int:
 
 
 class Blocks:
-    """The blocks of a page: text, score, path of the elements around."""
+    """The blocks of a page: text, score, innermost block element around.  Reading takes time in proportion to the page."""
 
     def __init__(self, page: str):
         self.texts: list[str] = []
         self.scores: list[float] = []
-        self.paths: list[tuple[int, ...]] = []
-        self._stack: list[tuple[str, int, int]] = []  # tag, number, innermost telling element
+        self.nodes: list[int] = []
+        # block elements, the page itself first: the one around, depth, tag
+        self.parent, self.depth, self._tags = [0], [0], [""]
+        self._stack: list[tuple[str, int, int]] = []  # tag, innermost block element, innermost telling element
+        self._open: dict[str, int] = {}  # how many elements of each tag are open
         # telling elements, the page itself first: what they say, the one around, is it a wrapper; and of each block its own and its words
         self._says, self._around, self._wraps = [0], [0], [False]
         self._of: list[int] = []
@@ -96,60 +104,93 @@ class Blocks:
         self._read(page)
         self._judge()
 
+    def _pop(self) -> str:
+        tag = self._stack.pop()[0]
+        self._open[tag] -= 1
+        return tag
+
     def _read(self, page: str) -> None:
-        at, count, end = 0, 0, len(page)
+        at, end, form = 0, len(page), _TAG
+        without: set[str] = set()  # elements of which no end tag follows
         while at < end:
-            m = _TOKEN.search(page, at)
+            begin = _BEGIN.search(page, at)
+            if begin is None:
+                break
+            self._text(page[at : begin.start()])
+            at, kind = begin.start(), begin[0]
+            if kind == "<!--" or kind == "<![CDATA[":
+                mark = "-->" if kind == "<!--" else "]]>"
+                close = page.find(mark, begin.end())
+                close = end if close < 0 else close
+                if mark == "]]>":
+                    self._text(page[begin.end() : close])
+                at = close + 3
+                continue
+            if kind in ("<!", "<?"):
+                close = page.find(">", at)
+                if close < 0:
+                    break
+                at = close + 1
+                continue
+            m = form.match(page, at)
+            if m is None and form is _TAG:  # a quote is left open: from here on quotes hide nothing
+                form = _BLIND
+                m = form.match(page, at)
             if m is None:
-                self._text(page[at:])
                 break
-            self._text(page[at : m.start()])
             at = m.end()
-            tag = (m[2] or "").lower()
-            if not tag:
-                if m[0].startswith("<![CDATA["):
-                    self._text(m[0][9:].removesuffix("]]>"))
-                continue
+            tag = m[2].lower()
             if m[1]:
-                if any(t == tag for t, _, _ in self._stack):
+                if self._open.get(tag):
                     if tag in BLOCK:
                         self._flush()
-                    while self._stack.pop()[0] != tag:
+                    while self._pop() != tag:
                         pass
                 elif tag in BLOCK:
                     self._flush()
                 continue
+            closed = m[3].endswith("/")
             if tag == "br":
                 self._parts.append(" ")
             if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at) if not m[3].endswith("/") else None
-                at = close.end() if close else (at if m[3].endswith("/") or tag in ("svg", "math", "object") else end)
+                close = None if closed or tag in without else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                if close:
+                    at = close.end()
+                elif not closed:
+                    without.add(tag)
+                    at = at if tag in ("svg", "object") else end
                 continue
             if tag in BLOCK:
                 self._flush()
                 while self._stack and tag in IMPLIED.get(self._stack[-1][0], ()):
-                    self._stack.pop()
+                    self._pop()
                 if self._stack and tag not in ("p", "li") and any(t == "p" for t, _, _ in self._stack[-3:]) and tag in IMPLIED["p"]:
-                    while self._stack.pop()[0] != "p":
+                    while self._pop() != "p":
                         pass
                 self._tag = tag
-            if tag in VOID or m[3].endswith("/"):
+            if tag in VOID or closed:
                 continue
-            count += 1
-            inside = self._stack[-1][2] if self._stack else 0
+            _, node, inside = self._stack[-1] if self._stack else ("", 0, 0)
+            if tag in BLOCK:
+                self.parent.append(node)
+                self.depth.append(self.depth[node] + 1)
+                self._tags.append(tag)
+                node = len(self.parent) - 1
             says = _telling(tag, m[3], self._says[inside])
             if says:
                 self._says.append(says)
                 self._around.append(inside)
                 self._wraps.append(tag in WRAPPERS)
                 inside = len(self._says) - 1
-            self._stack.append((tag, count, inside))
+            self._stack.append((tag, node, inside))
+            self._open[tag] = self._open.get(tag, 0) + 1
+        self._text(page[at:])
         self._flush()
 
     def _text(self, text: str) -> None:
         if text:
             self._parts.append(text)
-            if any(t == "a" for t, _, _ in self._stack):
+            if self._open.get("a"):
                 self._linked += len(text)
 
     def _flush(self) -> None:
@@ -158,15 +199,15 @@ class Blocks:
         linked, self._parts, self._linked = self._linked, [], 0
         if not text:
             return
-        inner = [(t, n) for t, n, _ in self._stack if t in BLOCK]
-        tag = inner[-1][0] if inner else self._tag
+        _, node, telling = self._stack[-1] if self._stack else ("", 0, 0)
+        tag = self._tags[node] if node else self._tag
         words, links = text.count(" ") + 1, min(1.0, linked / max(1, len(raw)))
         score = W_BIAS + W_LINKS * links + W_LENGTH * min(words, 40) / 40 + (W_END if _END.search(text) else 0)
         score += W_TEXT_TAG if tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") else W_ITEM if tag in ("li", "td", "th", "dt", "dd", "option") else 0
         self.texts.append(text)
         self.scores.append(score)
-        self.paths.append(tuple(n for _, n in inner))
-        self._of.append(self._stack[-1][2] if self._stack else 0)
+        self.nodes.append(node)
+        self._of.append(telling)
         self._words.append(words * (1 - links))
 
     def _judge(self) -> None:
@@ -196,27 +237,27 @@ class Blocks:
             self.scores[i] += W_BOILER * (1 - least[e]) + (W_CONTENT if says[e] > 0 else 0)
 
 
-def edges(paths: list[tuple[int, ...]]) -> dict[tuple[int, int], float]:
-    """Smoothness edges (i < j) of blocks in page order."""
+def edges(nodes: list[int], parent: list[int], depth: list[int]) -> dict[tuple[int, int], float]:
+    """Smoothness edges (i < j) of blocks in page order, given the block element of each and the tree of these."""
 
-    def near(a: tuple[int, ...], b: tuple[int, ...]) -> float:
-        common = 0
-        for x, y in zip(a, b):
-            if x != y:
-                break
-            common += 1
-        return 2 * common / max(1, len(a) + len(b))
+    def near(a: int, b: int) -> float:
+        both = depth[a] + depth[b]
+        while a != b:  # as many steps as elements began or ended between the two
+            if depth[a] >= depth[b]:
+                a = parent[a]
+            else:
+                b = parent[b]
+        return 2 * depth[a] / max(1, both)
 
     out: dict[tuple[int, int], float] = {}
     last: dict[int, int] = {}
-    for j, path in enumerate(paths):
+    for j, node in enumerate(nodes):
         if j:
-            out[j - 1, j] = E_NEXT * near(paths[j - 1], path)
-        parent = path[-2] if len(path) > 1 else 0
-        i = last.get(parent)
+            out[j - 1, j] = E_NEXT * near(nodes[j - 1], node)
+        i = last.get(parent[node])
         if i is not None:
-            out[i, j] = out.get((i, j), 0.0) + E_PARENT * near(paths[i], path)
-        last[parent] = j
+            out[i, j] = out.get((i, j), 0.0) + E_PARENT * near(nodes[i], node)
+        last[parent[node]] = j
     return {k: w for k, w in out.items() if w > 0}
 
 
@@ -269,7 +310,8 @@ def _max_flow(nodes: list[int], score: list[float], near: list[dict[int, float]]
                     queue.append(v)
         if sink not in level:
             return set(level)
-        ways = {u: iter(list(room[u])) for u in level}
+        ways = {u: list(room[u]) for u in level}
+        at = dict.fromkeys(level, 0)  # the edge in use; those before it lead nowhere any more
         path = [source]
         while path:
             u = path[-1]
@@ -280,12 +322,13 @@ def _max_flow(nodes: list[int], score: list[float], near: list[dict[int, float]]
                     room[b][a] += flow
                 cut = next(k for k, (a, b) in enumerate(zip(path, path[1:])) if room[a][b] <= tiny)
                 del path[cut + 1 :]
-                ways[path[-1]] = iter([v for v in room[path[-1]] if room[path[-1]][v] > tiny])
                 continue
-            for v in ways[u]:
+            while at[u] < len(ways[u]):
+                v = ways[u][at[u]]
                 if level.get(v, -1) == level[u] + 1 and room[u][v] > tiny:
                     path.append(v)
                     break
+                at[u] += 1
             else:
                 path.pop()
                 level[u] = -1
@@ -293,7 +336,7 @@ def _max_flow(nodes: list[int], score: list[float], near: list[dict[int, float]]
 
 def main_text(page: str | None) -> str:
     blocks = Blocks(page or "")
-    kept = min_cut(blocks.scores, edges(blocks.paths))
+    kept = min_cut(blocks.scores, edges(blocks.nodes, blocks.parent, blocks.depth))
     return "\n".join(t for t, k in zip(blocks.texts, kept) if k)
 
 

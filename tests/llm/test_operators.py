@@ -507,3 +507,25 @@ def test_texts_without_letters_have_no_language(spark):
     got = {r.doc_id: r for r in language_id.by_fold(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert all(got[100 + i].lang_pred == "und" and got[100 + i].score == 0 for i in range(len(odd)))
     assert all(got[100 + len(odd) + i].lang_pred in ("en", "de") for i in range(len(letters)))
+
+
+HOSTILE = ["<a ", "<b \"'>", "<b \"<b '>", "<div>x ", "<svg>x", "</p>", "<!--", "<![CDATA[x", "x<p>y</p>", "<a href=x>y ", "<li>a", "&#", "<div><p>words here.</p>"]
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_hostile_pages_take_linear_time(part):
+    import time
+
+    times = []
+    for n in (50_000, 400_000):
+        page = part * (n // len(part))
+        began = time.process_time()
+        html_extract.main_text(page)
+        times.append(time.process_time() - began)
+    assert times[1] < 25 * max(times[0], 0.02)
+
+
+def test_tags_with_open_quotes():
+    assert html_extract.main_text("<article><p>One sentence of words, quite long enough.</p><p class='x\">Two sentences here, also long enough.</p></article>").startswith("One sentence")
+    assert html_extract.main_text("<article><p title=\"a > b\">Words after a quoted sign, they go on.</p></article>") == "Words after a quoted sign, they go on."
+    assert html_extract.main_text("<article><p>Area is <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, as the formula says here.</p></article>") == "Area is x=1, as the formula says here."
