@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import salted_anti_join
+from .joins import skew_anti_join
 
 # Fixed value: separator of the concatenated key.
 KEY_SEPARATOR = "§"
@@ -44,7 +44,7 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str, where: Co
 
 def delete_by_key(table: DataFrame, key: str, deleted: DataFrame) -> DataFrame:
     """Rows of ``table`` that stay when the keys in ``deleted`` (column named as ``key``) are removed."""
-    return salted_anti_join(table, deleted, [key])
+    return skew_anti_join(table, deleted, [key])
 
 
 def cascade_delete(

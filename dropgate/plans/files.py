@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import model
 from ..functions.text import extension_of
 from ..operators import rules as R
-from ..operators.joins import salted_left_join
+from ..operators.joins import skew_left_join
 from ..sources import files as src
 from ..sources.tables import local_frame
 from . import verdict as V
@@ -107,12 +107,12 @@ def lookup_profiles(listing: DataFrame, file_configuration: DataFrame) -> DataFr
     """Left join of files to profiles by exact file name; the lowest id wins when a name repeats.
 
     Profile columns are prefixed ``cfg_`` (``cfg_id`` null = unconfigured).  No broadcast is forced:
-    Spark picks it from the measured size of the configuration table.  Beyond that size the join is
-    salted, since one file name may be dropped over and over.
+    Spark picks it from the measured size of the configuration table.  Beyond that size the rows of a
+    file name that is dropped over and over are spread.
     """
     names = [c for c in file_configuration.columns if c != "file_name"]
     first = file_configuration.groupBy("file_name").agg(F.min_by(F.struct(*names), "id").alias("__cfg"))
-    return salted_left_join(listing, first, ["file_name"]).select(
+    return skew_left_join(listing, first, ["file_name"]).select(
         *listing.columns, *[F.col(f"__cfg.{c}").alias(f"cfg_{c}") for c in names]
     )
 

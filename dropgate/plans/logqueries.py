@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import model
-from ..operators.joins import salted_left_join
+from ..operators.joins import skew_left_join
 from ..sources.tables import local_frame
 
 LOG_COLUMNS = [f.name for f in model.VERDICT_LOG.fields]
@@ -108,12 +108,12 @@ def pass_rates(log: DataFrame) -> DataFrame:
 def with_profile(log: DataFrame, profiles: DataFrame) -> DataFrame:
     """Log rows next to their profile (inner join); profile columns are prefixed ``cfg_``.
 
-    Salted: one profile may own most of the log.
+    One profile may own most of the log: its rows are spread if they are measured to be many.
     """
     cfg = profiles.filter("id IS NOT NULL").select(
         F.col("id").cast("int").alias("file_config_id"), *[F.col(c).alias(f"cfg_{c}") for c in profiles.columns]
     )
-    return salted_left_join(log, cfg, ["file_config_id"]).filter("cfg_id IS NOT NULL")
+    return skew_left_join(log, cfg, ["file_config_id"]).filter("cfg_id IS NOT NULL")
 
 
 def negative_rows(log: DataFrame) -> DataFrame:

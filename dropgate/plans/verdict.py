@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import model
 from ..functions.casts import name
 from ..operators import rules as R
-from ..operators.joins import salted_left_join
+from ..operators.joins import hot_counted, key_types, skew_left_join
 from ..operators.structural import HEADER_DIFFERS, HEADER_ONE_COLUMN, line_marks
 
 
@@ -57,13 +57,15 @@ def violations(
     options: R.Options,
     keep: Sequence[str],
     keep_raw: bool = False,
+    keys: bool = False,
 ) -> DataFrame:
-    """``keep`` (+ the raw columns) + ``__hits``, the ascending array of all violated row rules.
+    """``keep`` (+ the raw columns, + the key as ``__k0..``) + ``__hits``, the ascending array of all violated row rules.
 
     Lists are only built for rows with a first violation; clean rows cost no more than in a verdict.
     """
     passed = [name(k) for k in keep]
     names = [f.field_name for f in contract] if keep_raw else []
+    named_keys = R.key_fields(contract) if keys else []
 
     def hits(phase: str) -> str:
         return (
@@ -74,11 +76,15 @@ def violations(
     step = df.selectExpr(
         *passed,
         *[f"{name(n)} AS {name('__raw_' + n)}" for n in names],
+        *[f"{name(k)} AS __k{i}" for i, k in enumerate(named_keys)],
         *R.business_values(contract, profile, options, R.types_of(df)),
         f"{hits('typing')} AS __early",
     )
     return step.selectExpr(
-        *passed, *[f"{name('__raw_' + n)} AS {name(n)}" for n in names], f"concat(__early, {hits('functional')}) AS __hits"
+        *passed,
+        *[f"{name('__raw_' + n)} AS {name(n)}" for n in names],
+        *[f"__k{i}" for i in range(len(named_keys))],
+        f"concat(__early, {hits('functional')}) AS __hits",
     )
 
 
@@ -232,20 +238,28 @@ def violation_counts(
 ) -> DataFrame:
     """Violating rows per file and rule, not only the first: by.., flag, field_name, error_message, n_rows.
 
-    Clean rows vanish at the explode; hits are counted map-side before the shuffle.  Rows with a
-    repeated key are counted from per-key groups.
+    One scan and one shuffle of the keys: every row gives its key once and each rule it breaks once, without
+    the key.  Both are counted map-side, so hits shrink to one row per file and rule and a hot key to one row
+    per task.  A key counted more than once adds its rows to rule 39.
     """
     rules = R.cascade(contract, profile, business, options, R.types_of(df))
-    cols = [F.col(f"`{c}`") for c in by]
-    hits = violations(df, contract, profile, rules, options, by)
-    parts = hits.select(*cols, F.explode("__hits").alias("__rule")).groupBy(*by, "__rule").agg(F.count(F.lit(1)).alias("n_rows"))
     keys = R.key_fields(contract)
+    key_index = _index(rules, "39")
+    rows = violations(df, contract, profile, rules, options, by, keys=True)
+    files = [name(c) for c in by]
     if keys:
-        repeated = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-        parts = parts.unionByName(
-            repeated.groupBy(*by).agg(F.sum("__n").alias("n_rows"))
-            .withColumn("__rule", F.lit(_index(rules, "39"))).filter("n_rows IS NOT NULL")
+        key = f"struct({', '.join(f'__k{i}' for i in range(len(keys)))})"
+        marks = (
+            f"concat(array(struct({key} AS __key, {key_index} AS __rule)), "
+            f"transform(__hits, i -> struct(if(false, {key}, NULL) AS __key, i AS __rule)))"
         )
+        marked = rows.selectExpr(*files, f"inline({marks})")
+        counted = marked.groupBy(*by, "__key", "__rule").agg(F.count(F.lit(1)).alias("__n"))
+        counted = counted.filter((F.col("__rule") != key_index) | (F.col("__n") > 1))
+        parts = counted.groupBy(*by, "__rule").agg(F.sum("__n").alias("n_rows"))
+    else:
+        marked = rows.selectExpr(*files, "explode(__hits) AS __rule")
+        parts = marked.groupBy(*by, "__rule").agg(F.count(F.lit(1)).alias("n_rows"))
     return parts.selectExpr(
         *[name(c) for c in by],
         f"{R.rule_attribute(rules, 'flag', '__rule')} AS flag",
@@ -268,8 +282,8 @@ def split_rows(
 
     Columns: by.., keep.. (passed through), the contract's columns, flags.
 
-    All rows sharing a key with another row of the file carry 39.  The repeated keys are joined back
-    with salt: one key may own a large share of the rows.
+    All rows sharing a key with another row of the file carry 39.  The repeated keys are counted from the
+    key columns alone and joined back; those that own many rows are spread by their counts.
     """
     rules = R.cascade(contract, profile, business, options, R.types_of(df))
     labels = [*by, *keep]
@@ -277,11 +291,10 @@ def split_rows(
     names = [f.field_name for f in contract]
     keys = R.key_fields(contract)
     if keys:
-        repeated = (
-            df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-            .select(*by, *keys, F.lit(_index(rules, "39")).alias("__dup"))
-        )
-        rows = salted_left_join(rows, repeated, [*by, *keys])
+        counted = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+        repeated = counted.select(*by, *keys, F.lit(_index(rules, "39")).alias("__dup"))
+        hot = hot_counted(counted, key_types(rows, repeated, [*by, *keys]), "__n")
+        rows = skew_left_join(rows, repeated, [*by, *keys], hot=hot)
         rows = rows.withColumn(
             "__hits", F.when(F.col("__dup").isNotNull(), F.array_sort(F.array_append("__hits", F.col("__dup")))).otherwise(F.col("__hits"))
         ).drop("__dup")

@@ -20,19 +20,47 @@ def test_concatenated_keys_collide(spark):
     assert keys.key_is_unique(df, []).first().is_unique and keys.key_is_unique(df, ["a", "b"]).first().is_unique
 
 
-def test_salted_joins_equal_plain_ones(spark):
+@pytest.mark.parametrize("rows_per_bucket", [50, joins.ROWS_PER_BUCKET])
+def test_skew_joins_equal_plain_ones(spark, rows_per_bucket):
     left = spark.range(0, 3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id END AS k")
-    right = spark.range(0, 500).selectExpr("id AS k", "id * 2 AS v")
-    plain = left.join(right, "k", "left").select("id", "k", "v")
+    left = left.unionAll(left.filter("k = 7 OR k IS NULL OR k = 2999"))
+    right = spark.range(0, 500).selectExpr("CAST(id AS INT) AS k", "id * 2 AS v")
+    right = right.unionAll(spark.createDataFrame([(None, -1)], "k int, v long"))
+    plain = left.join(right, left.k.eqNullSafe(right.k), "left").select("id", left.k, "v")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert sorted(joins.salted_left_join(left, right, ["k"]).collect(), key=str) == sorted(plain.collect(), key=str)
-        anti = joins.salted_anti_join(left, right, ["k"]).collect()
+        got = joins.skew_left_join(left, right, ["k"], rows_per_bucket).collect()
+        anti = joins.skew_anti_join(left, right, ["k"], rows_per_bucket).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(got, key=str) == sorted(plain.collect(), key=str)
     assert sorted(anti, key=str) == sorted(left.join(right, "k", "left_anti").select("id", "k").collect(), key=str)
 
 
+def test_only_hot_keys_are_spread(spark):
+    left = spark.range(0, 3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k")
+    right = spark.range(0, 500).selectExpr("id AS k", "id * 2 AS v")
+    types = joins.key_types(left, right, ["k"])
+    hot = joins.hot_keys(left, types, 100).collect()
+    seven = spark.sql("SELECT xxhash64(CAST(7 AS BIGINT)) AS h").first().h
+    assert [tuple(r) for r in hot] == [(seven, 11)]  # 1,001 rows, one bucket for every 100
+    counts = left.groupBy("k").count()
+    assert joins.hot_counted(counts, types, "count", 100).collect() == hot
+    l, r = joins._salted(left, right, types, joins.hot_keys(left, types, 100))
+    assert r.count() == 500 + 10 and l.filter("k = 7").select("__salt").distinct().count() == 11
+    assert l.filter("k <> 7 AND __salt <> 0").isEmpty()
+    l, r = joins._salted(left, right, types, joins.hot_keys(left, types))
+    assert r.count() == 500 and l.filter("__salt <> 0").isEmpty()
+
+
+def test_skew_joins_of_empty_tables(spark):
+    left = spark.createDataFrame([], "id long, k string")
+    right = spark.createDataFrame([], "k string, v int")
+    full = spark.createDataFrame([(1, None), (2, "a"), (2, "a")], "id long, k string")
+    assert joins.skew_left_join(left, right, ["k"]).count() == 0
+    assert joins.skew_left_join(full, right, ["k"], 1).count() == 3 and joins.skew_anti_join(full, right, ["k"], 1).count() == 3
+
+
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     source = spark.createDataFrame([(2, None), (3, "c")], "id int, v string")

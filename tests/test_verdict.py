@@ -171,6 +171,23 @@ def test_one_scan_one_key_shuffle(spark, options):
     assert final.count("Exchange hashpartitioning(file_name") == 2
 
 
+def test_violation_counts_read_once(spark, accounts, options):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+
+    source = fx.files(spark, SF)
+    own, final = plan(source), plan(V.violation_counts(source, by=["file_name"], options=options))
+    for part in ("FileScan", "Join", "Union"):
+        assert final.count(part) == own.count(part)
+    assert final.count("Exchange hashpartitioning(file_name") == 2
+    rows = accounts + [dict(accounts[0], first_name=None), dict(accounts[0], overdraft_limit="-1.00"), dict(accounts[1])]
+    df = frame(spark, rows)
+    got = {(r.flag, r.field_name): r.n_rows for r in V.violation_counts(df, options=options).collect()}
+    split = V.split_rows(df, options=options).selectExpr("explode(flags) AS flag").groupBy("flag").count().collect()
+    assert got == {("36", "first_name"): 1, ("39", "account_number"): 5, ("47", "overdraft_limit"): 1}
+    assert {r.flag: r["count"] for r in split} == {"36": 1, "39": 5, "47": 1}
+
+
 def test_split_rows(spark, accounts, options):
     rows = accounts + [dict(accounts[0], first_name=None, overdraft_limit="-1.00")]
     split = V.split_rows(frame(spark, rows), options=options)
