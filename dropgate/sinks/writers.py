@@ -50,6 +50,18 @@ def write_partitioned(df: DataFrame, path: str, partition_columns: str | None, m
         df.write.mode(mode).parquet(path)
 
 
+def write_split(split: DataFrame, path: str, mode: str = "append") -> None:
+    """Write ``plans.verdict.split_rows`` in one pass: ``outcome=accepted`` and ``outcome=quarantined`` under one path.
+
+    Both sides come from the same job, so no row can be in both or in neither; ``flags`` tells why a row is quarantined and
+    is empty in accepted ones.  A column of the data that is called ``outcome`` is refused.
+    """
+    if "outcome" in split.columns:
+        raise ValueError("the data has a column named 'outcome'")
+    outcome = F.when(F.size("flags") == 0, "accepted").otherwise("quarantined")
+    split.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+
+
 #: what the log remembers of each source: its last batch, the ids before and after it, how far its batches are compacted
 _MARK = T.StructType(
     [T.StructField(n, T.StringType() if n == "source" else T.LongType()) for n in

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import casts, text
-from ..operators import constraints, keys, probes, rules as R
+from ..operators import constraints, keys, probes, rules as R, schema_import
 from ..operators.structural import parsed_structure
 from ..plans import verdict as V
+from ..sinks import writers
 from . import fixtures as fx
 from . import oracle as O
 from .base import OPTIONS, query
@@ -270,6 +271,18 @@ def accepted_rows(spark, sf):
     return V.accepted(split).groupBy("country", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "sink_accepted_table",
+    f"WITH a AS ({D}), k AS (SELECT *, count(*) OVER (PARTITION BY account_number) AS n_key FROM a) "
+    f"SELECT order_key, account_number, CASE WHEN flags = '' THEN 'accepted' ELSE 'quarantined' END AS outcome, flags "
+    f"FROM (SELECT order_key, account_number, {_ROW_FLAGS} AS flags FROM k) q",
+)
+def sink_accepted_table(spark, sf):
+    path = writers.shared_dir(spark, "split")
+    writers.write_split(V.split_rows(fx.dirty(spark, sf), options=OPTIONS, keep=["order_key"]), path)
+    return spark.read.parquet(path).select("order_key", "account_number", "outcome", F.array_join("flags", ",").alias("flags"))
+
+
 # --- contracts ---------------------------------------------------------------------------------
 
 _C = fx.duck(fx.CONTRACTS)
@@ -302,3 +315,44 @@ def contract_problems(spark, sf):
 def structural_empty_file(spark, sf):
     """The older emptiness check on a parsed frame."""
     return parsed_structure(fx.accounts(spark, sf).drop("order_key"), model.BANK_ACCOUNTS)
+
+
+# a JSON Schema per customer: one nested object, in some documents required, and a broken text now and then
+_SCHEMAS = """
+SELECT cast(c_custkey as int) AS file_config_id,
+  CASE WHEN c_custkey % 97 = 0 THEN concat('{{"properties": ', c_name) ELSE concat(
+    '{{"type": "object", "required": ["key"', CASE WHEN c_custkey % 2 = 0 THEN ', "home"' ELSE '' END, '], "properties": {{',
+    '"key": {{"type": "integer", "x-primary-key": true}}, ',
+    '"balance": {{"type": "number", "multipleOf": 0.01}}, ',
+    '"home": {{"type": ', CASE WHEN c_custkey % 3 = 0 THEN '["object", "null"]' ELSE '"object"' END, ', "required": ["nation"], "properties": {{',
+    '"nation": {{"type": "string", "maxLength": ', cast(c_nationkey + 1 as string), '}}, "since": {{"type": "string", "format": "date"}}}}}}, ',
+    '"note": ', CASE WHEN c_custkey % 89 = 0 THEN '{{"$ref": "#/note"}}' ELSE '{{"type": ["string", "null"]}}' END, '}}}}') END AS document
+FROM customer
+"""
+_IMPORTED = """
+SELECT cast(c_custkey as int) AS file_config_id, cast(field_position as int) AS field_position, field_name, pk, data_type, length, nullable
+FROM (
+  SELECT *, 1 AS field_position, 'balance' AS field_name, false AS pk, 'DECIMAL' AS data_type, '38,2' AS length, true AS nullable FROM customer
+  UNION ALL SELECT *, 2, 'home.nation', false, 'varchar', cast(c_nationkey + 1 as string), c_custkey % 2 <> 0 OR c_custkey % 3 = 0 FROM customer
+  UNION ALL SELECT *, 3, 'home.since', false, 'DATE', NULL, true FROM customer
+  UNION ALL SELECT *, 4, 'key', true, 'BIGINT', NULL, false FROM customer
+  UNION ALL SELECT *, 5, 'note', false, 'varchar', NULL, true FROM customer
+) f WHERE c_custkey % 97 <> 0 AND c_custkey % 89 <> 0
+"""
+_SCHEMA_PROBLEMS = f"""
+SELECT cast(c_custkey as int) AS file_config_id, CASE WHEN c_custkey % 97 <> 0 THEN 'note' END AS field_name,
+  CASE WHEN c_custkey % 97 = 0 THEN '{schema_import.NO_JSON}' ELSE '{schema_import.NO_TYPE}' END AS problem
+FROM customer WHERE c_custkey % 97 = 0 OR c_custkey % 89 = 0
+"""
+
+
+@query("contract_json_schema", _IMPORTED)
+def contract_json_schema(spark, sf):
+    got = schema_import.contract_from_schemas(fx.frame(spark, sf, _SCHEMAS))
+    return got.select("file_config_id", "field_position", "field_name", "pk", "data_type", "length", "nullable")
+
+
+@query("json_schema_problems", _SCHEMA_PROBLEMS)
+def json_schema_problems(spark, sf):
+    got = schema_import.schema_fields(fx.frame(spark, sf, _SCHEMAS)).filter("problem IS NOT NULL")
+    return got.select("file_config_id", "field_name", "problem")

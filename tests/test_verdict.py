@@ -198,6 +198,19 @@ def test_split_rows(spark, accounts, options):
     assert good.count() == len(rows) - 2 and good.columns == NAMES
 
 
+def test_split_is_written_once(spark, accounts, options, tmp_path):
+    from dropgate.sinks import writers
+
+    rows = accounts + [dict(accounts[0], first_name=None)]
+    split = V.split_rows(frame(spark, rows), options=options)
+    writers.write_split(split, f"{tmp_path}/t")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    assert {r.outcome: r["count"] for r in back.groupBy("outcome").count().collect()} == {"accepted": len(rows) - 2, "quarantined": 2}
+    assert back.filter("outcome = 'accepted' AND size(flags) > 0").isEmpty()
+    with pytest.raises(ValueError, match="outcome"):
+        writers.write_split(split.withColumn("outcome", F.lit(1)), f"{tmp_path}/u")
+
+
 def test_hot_key_rows_are_all_quarantined(spark, accounts, options):
     rows = [dict(accounts[0]) for _ in range(300)] + accounts[1:]
     split = V.split_rows(frame(spark, rows), options=options)
