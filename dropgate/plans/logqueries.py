@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import model
@@ -14,6 +14,13 @@ from ..sources.tables import local_frame
 
 LOG_COLUMNS = [f.name for f in model.VERDICT_LOG.fields]
 
+#: column of a log kept by day: the UTC day of ``logged_at``, whatever the session's zone
+DAY = "day"
+
+
+def day_of(at: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(at.cast("timestamp")) / 86400).cast("int"))
+
 
 def list_log(log: DataFrame) -> DataFrame:
     return log.select(*LOG_COLUMNS)
@@ -27,19 +34,25 @@ def filter_log(
     flag: str | None = None,
 ) -> DataFrame:
     """Newest first.  Both bounds are inclusive; a date means its midnight, so ``to_date`` keeps nothing
-    after 00:00 of that day."""
+    after 00:00 of that day.  Of a log kept by day only the days between are read."""
     out = log
     if environment is not None:
         out = out.filter(F.col("environment") == environment)
     if from_date is not None:
-        out = out.filter(F.col("logged_at") >= F.lit(str(from_date)).cast("timestamp"))
+        low = F.lit(str(from_date)).cast("timestamp")
+        out = _on_days(out.filter(F.col("logged_at") >= low), F.col(DAY) >= day_of(low))
     if to_date is not None:
-        out = out.filter(F.col("logged_at") <= F.lit(str(to_date)).cast("timestamp"))
+        high = F.lit(str(to_date)).cast("timestamp")
+        out = _on_days(out.filter(F.col("logged_at") <= high), F.col(DAY) <= day_of(high))
     if flag is not None:
         out = out.filter(F.col("validation_flag") == flag)
     return out.orderBy(F.desc("logged_at"), F.desc("id"))
 
 
+def _on_days(log: DataFrame, where: Column) -> DataFrame:
+    return log.filter(where) if DAY in log.columns else log
+
+
 def latest(log: DataFrame, n: int = 20) -> DataFrame:
     return log.orderBy(F.desc("logged_at"), F.desc("id")).limit(n)
 
@@ -59,6 +72,7 @@ def page(log: DataFrame, size: int, after: tuple[Any, int] | None = None) -> Dat
     if after is not None:
         at, last = F.lit(after[0]).cast("timestamp"), F.lit(after[1])
         out = out.filter((F.col("logged_at") < at) | ((F.col("logged_at") == at) & (F.col("id") < last)))
+        out = _on_days(out, F.col(DAY) <= day_of(at))
     return out.orderBy(F.desc("logged_at"), F.desc("id")).limit(size)
 
 

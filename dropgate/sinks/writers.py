@@ -6,7 +6,7 @@ import uuid
 from typing import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from .. import model
@@ -24,6 +24,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a directory in whatever store it lies; one that is not there is no error."""
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -69,6 +75,10 @@ _MARK = T.StructType(
 )
 
 
+#: how many rows of the log a compacted generation holds by day
+_DAYS = T.StructType([T.StructField(logqueries.DAY, T.DateType()), T.StructField("n_rows", T.LongType())])
+
+
 def _with_batch(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([*fields, T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
 
@@ -81,8 +91,10 @@ class VerdictLog:
     The mark is written after the batch, in turn to one of two slots, so the one before survives a crash; a batch
     that the mark already holds is a replay and gets its ids again.
 
-    ``compact`` moves the batches since the last time into a few files, each row once.  Readers take a batch either from its
-    partition or, if the mark says so, from the compacted generations, so a crash in between loses and doubles nothing.
+    ``compact`` moves the batches since the last time into a few files, each row once, in a partition per UTC day and ordered by time.
+    Readers take a batch either from its partition or, if the mark says so, from the compacted generations, so a crash in
+    between loses and doubles nothing.  ``read`` gives the column ``day``; ``filter`` reads only the days between its bounds, ``latest`` and
+    ``page`` only as many of the newest days as hold their rows, both besides the few batches not compacted yet.
     """
 
     def __init__(self, spark: SparkSession, directory: str):
@@ -93,10 +105,12 @@ class VerdictLog:
         self.staging_path = f"{self.directory}/staging"
         self.mark_path = f"{self.directory}/mark"
         self.empty_path = f"{self.directory}/empty_arrivals"
+        self.days_path = f"{self.directory}/days"
 
-    def _read(self, schema: T.StructType, *paths: str) -> DataFrame:
+    def _read(self, schema: T.StructType, *paths: str, base: str | None = None) -> DataFrame:
+        reader = self.spark.read.schema(schema)
         try:
-            return self.spark.read.schema(schema).parquet(*paths)
+            return (reader.option("basePath", base) if base else reader).parquet(*paths)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -121,13 +135,17 @@ class VerdictLog:
 
     def _table(self, path: str, schema: T.StructType) -> DataFrame:
         marks = self.marks()
-        live = self._live(path, schema, marks)
-        old = [self._compacted(path, m["source"], g + 1) for m in marks for g in range(m["generation"])]
-        return live.unionByName(self._read(live.schema, *old)) if old else live
+        live = self._live(path, schema, marks).withColumn(logqueries.DAY, logqueries.day_of(F.col("logged_at")))
+        old = self._generations(path, marks)
+        return live.unionByName(self._read(live.schema, *old, base=f"{path}_compacted").select(*live.columns)) if old else live
+
+    @staticmethod
+    def _generations(path: str, marks: list[dict]) -> list[str]:
+        return [VerdictLog._compacted(path, m["source"], g + 1) for m in marks for g in range(m["generation"])]
 
     @staticmethod
     def _compacted(path: str, source: str, generation: int) -> str:
-        return f"{path}_compacted/{source}/generation-{generation}"
+        return f"{path}_compacted/source={source}/generation={generation}"
 
     def read(self) -> DataFrame:
         return self._table(self.log_path, model.VERDICT_LOG)
@@ -135,6 +153,35 @@ class VerdictLog:
     def read_negative(self) -> DataFrame:
         return self._table(self.negative_path, model.NEGATIVE_LOG)
 
+    def filter(self, environment: str | None = None, from_date=None, to_date=None, flag: str | None = None) -> DataFrame:
+        """``logqueries.filter_log`` of the log, which prunes the days."""
+        return logqueries.filter_log(self.read(), environment, from_date, to_date, flag)
+
+    def latest(self, n: int = 20) -> DataFrame:
+        return self.page(n)
+
+    def page(self, size: int, after: tuple | None = None) -> DataFrame:
+        """``logqueries.page`` of the log.  The compacted rows are counted by day, so the day that fills the page is known before anything is read."""
+        log, first = self.read(), self._first_day(size, after)
+        if first is not None:
+            log = log.filter(F.col(logqueries.DAY) >= F.lit(first))
+        return logqueries.page(log, size, after)
+
+    def _first_day(self, size: int, after: tuple | None):
+        """The newest day from which on the compacted log holds ``size`` rows, counting whole days before ``after``; None where it holds fewer.
+
+        Rows not compacted can only push older ones off the page, so no row of the page is older.
+        """
+        old = self._generations(self.days_path, self.marks())
+        if not old:
+            return None
+        days = self._read(_DAYS, *old, base=f"{self.days_path}_compacted").filter(F.col(logqueries.DAY).isNotNull())
+        if after is not None:
+            days = days.filter(F.col(logqueries.DAY) < logqueries.day_of(F.lit(after[0]).cast("timestamp")))
+        newest = Window.orderBy(F.desc(logqueries.DAY))  # one row per calendar day
+        total = days.groupBy(logqueries.DAY).agg(F.sum("n_rows").alias("n")).withColumn("n", F.sum("n").over(newest))
+        return total.filter(F.col("n") >= size).agg(F.max(logqueries.DAY)).first()[0]
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Run ``df`` once into a staging table and read that from now on; the next use replaces it."""
         path = f"{self.staging_path}/{name}"
@@ -179,8 +226,8 @@ class VerdictLog:
         version = max((m["version"] for m in marks), default=0) + 1
         self._write_marks([m for m in marks if m["source"] != source] + [mark], version)
 
-    def compact(self, source: str, files: int = 1) -> None:
-        """Move the batches of a source since the last time, but the newest, which may be replayed, into ``files`` files ordered by id.
+    def compact(self, source: str) -> None:
+        """Move the batches of a source since the last time, but the newest, which may be replayed, into a file per day, or several of a large one.
 
         The writer's own thread calls this between batches.
         """
@@ -191,11 +238,14 @@ class VerdictLog:
         through, generation = mine["batch"] - 1, mine["generation"] + 1
         for path, schema in ((self.log_path, model.VERDICT_LOG), (self.negative_path, model.NEGATIVE_LOG)):
             old = self._live(path, schema, marks).where((F.col("source") == source) & (F.col("batch") <= through))
-            old.repartitionByRange(files, "id").sortWithinPartitions("id").write.mode("overwrite").parquet(self._compacted(path, source, generation))
+            by_day = old.withColumn(logqueries.DAY, logqueries.day_of(F.col("logged_at"))).hint("rebalance", logqueries.DAY)
+            ordered = by_day.sortWithinPartitions(logqueries.DAY, "logged_at", "id")
+            ordered.write.mode("overwrite").partitionBy(logqueries.DAY).parquet(self._compacted(path, source, generation))
+        moved = self._read(T.StructType([*model.VERDICT_LOG.fields, _DAYS[logqueries.DAY]]), self._compacted(self.log_path, source, generation))
+        counted = moved.groupBy(logqueries.DAY).agg(F.count(F.lit(1)).alias("n_rows"))
+        counted.coalesce(1).write.mode("overwrite").parquet(self._compacted(self.days_path, source, generation))
         now = mine | {"compacted": through, "generation": generation}
         self._write_marks([m for m in marks if m["source"] != source] + [now], mine["version"] + 1)
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in (self.log_path, self.negative_path):
             for batch in range(mine["compacted"] + 1, through + 1):
-                gone = jvm.org.apache.hadoop.fs.Path(f"{path}/source={source}/batch={batch}")
-                gone.getFileSystem(conf).delete(gone, True)
+                remove_dir(self.spark, f"{path}/source={source}/batch={batch}")

@@ -1,6 +1,7 @@
 """The verdict log at constant cost, its compaction and replays; arrivals of zero bytes; listing on executors; ids at skew."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,89 @@ def test_ids_follow_the_order_at_any_skew(spark, monkeypatch, first):
     assert [r.id for r in got] == list(range(11, 5011)) and [key(r) for r in got] == sorted(map(key, got))
     buckets = rows.groupBy(ids._range_of(rows, ["v", "w"]).alias("b")).count().collect()
     assert max(r["count"] for r in buckets) <= 3 * 100 and len(buckets) > 20
+
+
+def dated(spark, n, day, rows=3, hour=10):
+    """A batch of ``rows`` rows of one January day."""
+    names = [f"p/{n:03d}-{i}" for i in range(rows)]
+    at = F.concat(F.lit(f"2024-01-{day:02d} {hour}:00:0"), F.substring("path", -1, 1)).cast("timestamp")
+    return batch(spark, *names).withColumn("logged_at", at)
+
+
+@pytest.fixture
+def month(spark, tmp_path):
+    """Twelve days of three rows, the two newest batches not compacted; one of them is late and old."""
+    log = VerdictLog(spark, str(tmp_path))
+    for n in range(12):
+        log.write_batch(dated(spark, n, n + 1), "s", n)
+        if n == 5:
+            log.compact("s")
+    log.compact("s")
+    log.write_batch(dated(spark, 12, 2, hour=11), "s", 12)
+    return log
+
+
+def days_read(df):
+    """Days of the compacted files that the plan's partition filters leave."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[([^]]*day#[^]]*)\]", plan)
+
+
+def keyed(df):
+    return [(r.logged_at, r.id) for r in df.collect()]
+
+
+def test_filter_prunes_days(spark, month):
+    from dropgate.plans import logqueries as L
+
+    plain = month.read().drop("day")
+    for bounds in (("2024-01-03", "2024-01-05"), (None, "2024-01-02 11:00:00"), ("2024-01-11 10:00:01", None), (None, None)):
+        got = month.filter(None, *bounds)
+        assert keyed(got) == keyed(L.filter_log(plain, None, *bounds))
+        assert bool(days_read(got)) == any(bounds)
+    assert month.filter("none").isEmpty() and month.filter(flag="30").count() == 13
+    # the days lie on disk as directories, so a pruned day's files are not opened
+    for root, _, names in os.walk(f"{month.log_path}_compacted"):
+        for f in names:
+            if "day=2024-01-07" in root and f.endswith(".parquet"):
+                with open(f"{root}/{f}", "wb") as out:
+                    out.write(b"not read")
+                crc = f"{root}/.{f}.crc"
+                if os.path.exists(crc):
+                    os.unlink(crc)
+    assert month.filter(None, "2024-01-08", "2024-01-09 23:00:00").count() == 6
+    assert len(month.latest(5).collect()) == 5
+    with pytest.raises(Exception):
+        month.filter(None, "2024-01-06", "2024-01-09").collect()
+
+
+def test_pages_read_the_newest_days(spark, month):
+    from dropgate.plans import logqueries as L
+
+    plain = month.read().drop("day")
+    for size in (1, 3, 4, 20, 38, 39, 40, 1000):
+        assert keyed(month.latest(size)) == keyed(L.latest(plain, size))
+    assert days_read(month.latest(5)) and not days_read(month.latest(1000))
+    got, after = [], None
+    while rows := month.page(7, after).collect():
+        got += [(r.logged_at, r.id) for r in rows]
+        after = (rows[-1].logged_at, rows[-1].id)
+    assert got == keyed(L.latest(plain, 1000)) and len(got) == 39
+
+
+def test_days_do_not_follow_the_session_zone(spark, month):
+    before = [keyed(month.filter(None, "2024-01-03 10:00:01", "2024-01-05 10:00:00")), keyed(month.latest(8))]
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")  # 14 hours ahead
+    try:
+        assert [keyed(month.filter(None, "2024-01-04 00:00:01", "2024-01-06 00:00:00")), keyed(month.latest(8))] == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_rows_without_time(spark, tmp_path):
+    log = VerdictLog(spark, str(tmp_path))
+    for n in range(3):
+        log.write_batch(batch(spark, f"a/{n}").withColumn("logged_at", F.lit(None).cast("timestamp")), "s", n)
+    log.compact("s")
+    log.write_batch(dated(spark, 3, 1, 1), "s", 3)
+    assert [r.id for r in log.latest(10).collect()] == [4, 3, 2, 1] and log.filter(None, "2020-01-01").count() == 1
