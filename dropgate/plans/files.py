@@ -47,6 +47,12 @@ READ_CONDITIONS = frozenset((
 READ_MARKERS = (
     "FileNotFoundException", "is not a Parquet file", "is not a parquet file", "ZipException", "EOFException", "Malformed ORC file",
 )
+# causes that belong to the store or the network, whatever file was being read: the file may be healthy, so the run fails
+STORAGE_FAULTS = (
+    "SocketTimeoutException", "SocketException", "ConnectException", "ConnectTimeoutException", "NoRouteToHostException", "UnknownHostException",
+    "InterruptedIOException", "ClosedByInterruptException", "BlockMissingException", "StandbyException", "RetriableException",
+    "SSLException", "NoHttpResponseException", "AccessControlException",
+)
 MSG_NO_CONTRACT = "No column contract for the file"
 
 
@@ -162,10 +168,16 @@ def names_file(text: str, uri: str) -> bool:
 
 
 def is_read_error(e: Exception, uris: Sequence[str] = ()) -> bool:
-    """Does the failure belong to a file?  Conditions decide; loose markers need one of ``uris`` to be named."""
+    """Does the failure belong to a file?  Conditions decide; loose markers need one of ``uris`` to be named.
+
+    A fault of the store or the network anywhere among the causes does not, even where a file is named.
+    """
     text = str(e)
     if re.search(r"FetchFailed|FETCH_FAILED|ExecutorLost|OutOfMemory", text):
         return False
+    causes = re.findall(r"(?:^|[\s:])(?:[a-z]\w*\.)+(\w+)(?=[:\s]|$)", f"{text}\n{getattr(e, '_stackTrace', None) or ''}")
+    if not set(STORAGE_FAULTS).isdisjoint(causes):
+        return False
     condition = e.getCondition() if isinstance(e, PySparkException) else None
     found = {c.split(".")[0] for c in re.findall(r"\[([A-Z][A-Z0-9_]+(?:\.[A-Z0-9_]+)*)\]", text)} | {(condition or "").split(".")[0]}
     return bool(found & READ_CONDITIONS) or any(m in text for m in READ_MARKERS) and any(names_file(text, u) for u in uris)

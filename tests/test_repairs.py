@@ -61,6 +61,15 @@ def test_cluster_faults_are_no_verdicts():
     fault = RuntimeError("FetchFailed(BlockManagerId(1), shuffleId=0): java.io.EOFException")
     assert not judge.is_read_error(fault, ["file:/in/x.csv"])
     assert not judge.is_read_error(RuntimeError("java.io.EOFException at shuffle"), ["file:/in/x.csv"])
+    broken = "[FAILED_READ_FILE.NO_HINT] Encountered error while reading file file:/in/x.csv. SQLSTATE: KD001"
+    assert judge.is_read_error(RuntimeError(broken + "\nCaused by: java.io.EOFException: Unexpected end of ZLIB input stream"))
+    for cause in ("java.net.SocketTimeoutException: Read timed out", "org.apache.hadoop.hdfs.BlockMissingException: Could not obtain block", "java.net.ConnectException"):
+        assert not judge.is_read_error(RuntimeError(f"{broken}\n\tat a.b.C(D.scala:1)\nCaused by: {cause}\n\tat x.y.Z(W.java:2)"), ["file:/in/x.csv"])
+        hidden = RuntimeError(broken)  # the causes are in the trace only
+        hidden._stackTrace = f"org.apache.spark.SparkException: {broken}\nCaused by: {cause}"
+        assert not judge.is_read_error(hidden, ["file:/in/x.csv"])
+    named = RuntimeError(broken.replace("x.csv", "SocketTimeoutException.csv"))
+    assert judge.is_read_error(named)
     assert judge.is_read_error(RuntimeError("java.io.EOFException: file:/in/x.csv"), ["file:/in/x.csv"])
 
 
