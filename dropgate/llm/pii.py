@@ -96,13 +96,12 @@ def _starts(s: Column, heads: list[str]) -> Column:
     return s.rlike("^(?:" + "|".join(heads) + ")")
 
 
-def votes(s: Column, text: Column) -> Column:
-    """struct(kind, one vote of each labeler) of a candidate."""
+def votes(s: Column, windows: Column) -> Column:
+    """struct(kind, one vote of each labeler) of a candidate; ``windows``: those of its text, led by BEFORE characters."""
     kind, match = s["kind"], s["match"]
     digits = _digits(match)
-    before = F.lower(F.substring(text, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, F.least(s["start"], F.lit(BEFORE))))
-    last = F.substring(text, F.greatest(s["start"], F.lit(1)), F.when(s["start"] > 0, 1).otherwise(0))
-    after = F.substring(text, s["end"] + 1, 1)
+    before = F.lower(S.before(windows, BEFORE, s["start"], BEFORE))
+    last, after = S.before(windows, BEFORE, s["start"], 1), S.char_at(windows, BEFORE, s["end"])
     card, ends = luhn(digits), F.lower(F.regexp_extract(match, r"([A-Za-z]+)$", 1))
     mail = kind.isin("email", "disguised")
     pattern = _vote(kind.isin(*BASE) & ((kind != "card") | card), F.lit(True))
@@ -140,9 +139,9 @@ def scan(docs: DataFrame) -> DataFrame:
         S.find(t, DISGUISED, "disguised", 4, needs=t.contains("(at)") | t.contains("[at]") | t.contains(" at ")), S.find(t, LOCAL, "local", 5), S.find(t, NATIONAL, "national", 6, needs=t.contains("-")), S.find(t, ACCOUNT, "account", 7),
         F.transform(F.filter("numbers", lambda s: ~_card(s["match"]) & (F.length(_digits(s["match"])) >= 12)), lambda s: s.withField("kind", F.lit("digits")).withField("rank", F.lit(8))),
     )
-    free = F.filter(loose, lambda s: ~S.inside(s, F.col("base")))
+    free = S.apart(loose, F.col("base"))
     found = found.withColumn("candidates", F.concat("base", free))
-    voted = F.transform("candidates", lambda s: F.struct(_bare(s).alias("span"), votes(s, F.col("text")).alias("votes")))
+    voted = S.let(S.windows(t, BEFORE), lambda w: F.transform("candidates", lambda s: F.struct(_bare(s).alias("span"), votes(s, w).alias("votes"))))
     return found.select("doc_id", F.transform("base", _bare).alias("base"), voted.alias("voted"))
 
 

@@ -188,7 +188,7 @@ def scan(docs: DataFrame) -> DataFrame:
         return s.withField("match", F.lit("")).withField("part", F.lit(""))
 
     def with_tested(base: Column) -> Column:
-        free = F.filter(F.flatten(F.transform(S.find(text, TOKEN, "random", 3), with_parts)), lambda s: ~S.inside(s, base))
+        free = S.apart(F.flatten(F.transform(S.find(text, TOKEN, "random", 3), with_parts)), base)
         tested = F.transform(free, lambda s: F.struct(
             bare(s).alias("span"), battery(s["match"]).alias("b"), _bin(text_p(s["match"])).alias("bin"), stratum(F.length(s["match"])).alias("stratum")
         ))
@@ -208,13 +208,7 @@ def decide(found: DataFrame) -> DataFrame:
             limit = F.when(t["stratum"] == k, F.lit(low)).otherwise(limit)
         return (t["bin"] >= limit) & (t["b"]["random_p"] >= LEVEL)
 
-    def widest(spans: Column) -> Column:
-        def wider(s: Column, o: Column) -> Column:
-            return (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
-
-        return F.filter(spans, lambda s: ~F.exists(spans, lambda o: wider(s, o)))
-
-    random = S.let(F.transform(F.filter("__tested", secret), lambda t: t["span"]), widest)
+    random = S.let(F.transform(F.filter("__tested", secret), lambda t: t["span"]), S.widest)
     return found.withColumn("__random", random).drop("__tested")
 
 
