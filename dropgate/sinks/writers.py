@@ -112,7 +112,7 @@ class VerdictLog:
         try:
             return (reader.option("basePath", base) if base else reader).parquet(*paths)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if base or e.getCondition() != "PATH_NOT_FOUND":  # what a mark names has to be there
                 raise
             return local_frame(self.spark, [], schema)  # nothing written yet
 

@@ -232,6 +232,12 @@ def test_days_do_not_follow_the_session_zone(spark, month):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_a_lost_generation_is_an_error(spark, month):
+    os.rename(f"{month.log_path}_compacted/source=s/generation=1", f"{month.directory}/elsewhere")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        month.read()
+
+
 def test_rows_without_time(spark, tmp_path):
     log = VerdictLog(spark, str(tmp_path))
     for n in range(3):
