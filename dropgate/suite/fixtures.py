@@ -14,8 +14,8 @@ AS_OF = "2024-01-01"
 
 ACCOUNT_COLUMNS = [f.field_name for f in model.BANK_ACCOUNTS]
 
-# one clean bank account per order
-ACCOUNTS = """
+# one clean bank account per order, from rows of orders with their customer
+_ACCOUNT = """
 SELECT
   lpad(cast(o_orderkey as string),10,'0') AS account_number,
   concat('Name',cast(o_custkey as string)) AS first_name,
@@ -47,9 +47,15 @@ SELECT
   CASE WHEN o_orderkey%4=0 THEN 'Yes' ELSE 'No' END AS is_joint_account,
   cast(o_orderkey%20+2 as string) AS num_transactions,
   concat(cast(o_orderkey%900 as string),'.25') AS avg_transaction_amount,
-  o_orderkey AS order_key
-FROM orders JOIN customer ON o_custkey=c_custkey
-"""
+  o_orderkey AS order_key"""
+ORDERED = "orders JOIN customer ON o_custkey=c_custkey"
+
+
+def accounts_of(source: str, extra: str = "") -> str:
+    return f"{_ACCOUNT}{extra}\nFROM {source}\n"
+
+
+ACCOUNTS = accounts_of(ORDERED)
 
 # error class -> overridden columns (SQL over the clean columns)
 INJECTED: dict[int, dict[str, str]] = {
@@ -182,9 +188,9 @@ FROM events
 TABLES = ["orders", "customer", "lineitem", "events", "part", "documents", "supplier", "nation"]
 
 
-def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run an input definition over the given tables, without touching the session catalog."""
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if t in sql}
+def frame(spark: SparkSession, sf_dir: str, sql: str, **frames: DataFrame) -> DataFrame:
+    """Run an input definition over the given tables, and ``frames`` by name, without touching the session catalog."""
+    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if t in sql} | frames
     for t in used:
         sql = _named(sql, t)
     return spark.sql(sql, **used)

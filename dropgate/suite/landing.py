@@ -26,9 +26,10 @@ UPLOAD = f"order_key % {N_SCENARIOS} + {N_SCENARIOS} * (order_key DIV {N_SCENARI
 _CLASS = "CASE upload % {n} {w} ELSE 0 END".format(
     n=N_SCENARIOS, w=" ".join(f"WHEN {s} THEN {c}" for s, c in CLASS_OF.items())
 )
+_DEFECT = f"CASE WHEN (order_key DIV 14) % 31 = 3 THEN {_CLASS} ELSE 0 END"
 UPLOADS = (
     fx._overridden(
-        f"CASE WHEN (order_key DIV 14) % 31 = 3 THEN {_CLASS} ELSE 0 END",
+        _DEFECT,
         f"SELECT *, {UPLOAD} AS upload FROM ({fx.ACCOUNTS}) b",
         ", upload",
     )
@@ -45,11 +46,25 @@ def name_of(path: Column) -> Column:
     return file_name(F.regexp_extract(path, "upload=([0-9]+)", 1).cast("bigint"))
 
 
+_UPLOAD_OF_ORDER = UPLOAD.replace("order_key", "o_orderkey")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(upload, place, value): the lines of every file in order."""
-    df = fx.frame(spark, sf_dir, UPLOADS)
-    names = fx.ACCOUNT_COLUMNS
+    """(value, upload): the lines of every file, each file in one partition and in order.
+
+    The orders are dealt to their files and sorted before they become text: an order with its customer is a fraction of its line.
+    """
     scenario = F.col("upload") % N_SCENARIOS
+    orders = fx.frame(spark, sf_dir, f"SELECT *, {_UPLOAD_OF_ORDER} AS upload, o_orderkey AS place FROM {fx.ORDERED}")
+    # a header has no order; orders without a key are in no file
+    found = uploads(spark, sf_dir)
+    headers = found.filter(scenario != NO_HEADER).withColumn("place", F.lit(-1).cast("bigint"))
+    dealt = orders.filter(scenario != EMPTY).unionByName(headers, allowMissingColumns=True)
+    # as many partitions as files, never fewer: a task that sorts several files at once spills
+    n = max(1, found.count())
+    dealt = dealt.repartitionById(n, F.pmod("upload", F.lit(n)).cast("int")).sortWithinPartitions("upload", "place")
+    df = fx.frame(spark, sf_dir, fx._overridden(_DEFECT, fx.accounts_of("dealt", ", upload"), ", upload"), dealt=dealt)
+    names = fx.ACCOUNT_COLUMNS
 
     def cell(n: str) -> Column:
         c = F.coalesce(F.col(n), F.lit(""))
@@ -58,51 +73,52 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = F.array(*[cell(n) for n in names])
     short = F.slice(full, 1, len(names) - 1)
     cut = (scenario == WIDTH) & (F.expr("order_key DIV 14") % 31 == 3)
+    swapped = [names[0], names[2], names[1], *names[3:]]
+    header = (
+        F.when(scenario == SEPARATOR, ";".join(names)).when(scenario == HEADER, ",".join(swapped))
+        .otherwise(",".join(names))
+    )
     line = (
-        F.when(cut, F.concat_ws(",", short))
+        F.when(F.col("order_key").isNull(), header)
+        .when(cut, F.concat_ws(",", short))
         .when(scenario == SEPARATOR, F.concat_ws(";", full))
         .otherwise(F.concat_ws(",", full))
     )
-    rows = df.filter(scenario != EMPTY).select("upload", F.col("order_key").alias("place"), line.alias("value"))
-    swapped = [names[0], names[2], names[1], *names[3:]]
-    header = (
-        df.select("upload").distinct()
-        .filter(scenario != NO_HEADER)
-        .select(
-            "upload",
-            F.lit(-1).cast("bigint").alias("place"),
-            F.when(scenario == SEPARATOR, ";".join(names)).when(scenario == HEADER, ",".join(swapped))
-            .otherwise(",".join(names)).alias("value"),
-        )
-    )
-    return rows.unionByName(header)
+    return df.select(line.alias("value"), "upload")
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def directory(spark: SparkSession, sf_dir: str) -> str:
-    """Write the landing once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _written(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The path of what ``write`` makes, once per session and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        path = shared_dir(spark, "landing")
-        (
-            lines(spark, sf_dir).repartition("upload").sortWithinPartitions("upload", "place")
-            .select("value", "upload").write.partitionBy("upload").text(path)
-        )
+        path = shared_dir(spark, name)
+        write(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
 
+def directory(spark: SparkSession, sf_dir: str) -> str:
+    """Write the landing once per session and data set."""
+    return _written(spark, sf_dir, "landing", lambda path: lines(spark, sf_dir).write.partitionBy("upload").text(path))
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uploads that have orders, found once per session and data set: headers, and the profiles of every batch, ask for them."""
+    found = fx.frame(spark, sf_dir, f"SELECT DISTINCT {_UPLOAD_OF_ORDER} AS upload FROM {fx.ORDERED}")
+    return spark.read.schema(found.schema).parquet(_written(spark, sf_dir, "uploads", found.write.parquet))
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.list_landing(spark, directory(spark, sf_dir)).withColumn("file_name", name_of(F.col("path")))
 
 
 def configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A profile per upload but the unconfigured ones; id = upload + 1."""
-    uploads = fx.frame(spark, sf_dir, UPLOADS).select("upload").distinct()
     scenario = F.col("upload") % N_SCENARIOS
-    return uploads.filter(scenario != UNCONFIGURED).select(
+    return uploads(spark, sf_dir).filter(scenario != UNCONFIGURED).select(
         (F.col("upload") + 1).cast("int").alias("id"),
         F.lit("csv").alias("file_format"),
         F.lit("/data/").alias("path"),
