@@ -529,3 +529,25 @@ def test_tags_with_open_quotes():
     assert html_extract.main_text("<article><p>One sentence of words, quite long enough.</p><p class='x\">Two sentences here, also long enough.</p></article>").startswith("One sentence")
     assert html_extract.main_text("<article><p title=\"a > b\">Words after a quoted sign, they go on.</p></article>") == "Words after a quoted sign, they go on."
     assert html_extract.main_text("<article><p>Area is <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, as the formula says here.</p></article>") == "Area is x=1, as the formula says here."
+
+
+def test_language_models_are_stored_by_level(spark):
+    """The driver plans one level at a time; the models are a union of scans."""
+    df = _syllabic(spark, ["aa", "bb", "cc"], 20, random.Random(15))
+    table = language_id.models(language_id.count(df, F.lit(False)).select("lang", "gram", "n"))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") <= 1
+
+
+def test_language_model_is_fetched_compactly_and_let_go(spark, monkeypatch):
+    df = _syllabic(spark, ["cc", "aa", "bb"], 20, random.Random(16))
+    table = language_id.train(df)
+    want, got = language_id.Model(table.toArrow()), language_id.Model.collected(table)
+    assert got.langs == want.langs == ["aa", "bb", "cc"] and got.arrays.keys() == want.arrays.keys()
+    for k, (h, v) in want.arrays.items():
+        assert (got.arrays[k][0] == h).all() and (got.arrays[k][1] == v).all()
+    from pyspark import Broadcast
+
+    gone, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (gone.append(1), destroy(self, *a)))
+    assert language_id.by_fold(df).count() == 60 and len(gone) == 2
